@@ -2,8 +2,8 @@
 
 A change set gives, for the records that were added, changed or deleted, their rows before and after
 (before is empty for added records, after for deleted ones). Only these rows are aggregated: first to
-the pairs (record, term), then to one signed row per term, ``d_occurrences`` and ``d_records``. Deltas
-merge into counts by addition, so they come in any order and number, and ``TermStore`` keeps the counts
+the pairs (record, term), then to one signed row per term, ``d_occurrences`` and ``d_records``. For
+change sets that only add rows ``signed_deltas`` needs no rows of before. Deltas merge into counts by addition, so they come in any order and number, and ``TermStore`` keeps the counts
 as a table partitioned by term bucket of which a delta rewrites only the buckets it touches.
 
 Rows equal in record, term and the given place columns count once (re-delivered rows). Rows with a null
@@ -29,9 +29,9 @@ def clean_term(text: Column) -> Column:
     return F.regexp_replace(t, r"(?U)^[\s\p{Punct}]+|[\s\p{Punct}]+$", "")
 
 
-def term_rows(df: DataFrame, record: str, text: str, place: list[str]) -> DataFrame:
-    """(record, term, place): place is a hash of the columns that tell one occurrence from another."""
-    rows = df.select(F.col(record).alias("record"), clean_term(F.col(text)).alias("term"), F.xxhash64(*place).alias("place"))
+def term_rows(df: DataFrame, record: str, text: str, place: list[str], *more: str) -> DataFrame:
+    """(record, term, place, more): place is a hash of the columns that tell one occurrence from another."""
+    rows = df.select(F.col(record).alias("record"), clean_term(F.col(text)).alias("term"), F.xxhash64(*place).alias("place"), *more)
     return rows.where("record is not null and term is not null and term <> ''")
 
 
@@ -47,6 +47,22 @@ def signed_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def signed_deltas(rows: DataFrame, change_sets: int) -> DataFrame:
+    """(change_set, term, d_occurrences, d_records) of change sets that only add rows, in one aggregation.
+
+    rows: those of ``term_rows`` with a column change_set from 0. What a record held before a change set
+    is known from the same pair (record, term), so no earlier state is read again: a pair adds to the
+    records of a term in the first change set that holds it, and a place to its occurrences likewise.
+    """
+    places = rows.groupBy("record", "term", "place").agg(F.min("change_set").alias("change_set"))
+    new = [F.count(F.when(F.col("change_set") == k, 1)).alias(f"n{k}") for k in range(change_sets)]
+    pairs = places.groupBy("record", "term").agg(F.min("change_set").alias("first"), *new)
+    sums = [F.sum(f"n{k}").alias(f"o{k}") for k in range(change_sets)] + [F.count(F.when(F.col("first") == k, 1)).alias(f"r{k}") for k in range(change_sets)]
+    terms = pairs.groupBy("term").agg(*sums)
+    each = F.array(*[F.struct(F.lit(k).alias("change_set"), F.col(f"o{k}").alias("d_occurrences"), F.col(f"r{k}").alias("d_records")) for k in range(change_sets)])
+    return terms.select("term", F.explode(each).alias("d")).select("d.change_set", "term", "d.d_occurrences", "d.d_records").where("d_occurrences <> 0 or d_records <> 0")
+
+
 def merge(counts: DataFrame | None, *deltas: DataFrame) -> DataFrame:
     """Counts with signed deltas added; COUNTS columns."""
     parts = [d.select("term", F.col("d_occurrences").alias("n_occurrences"), F.col("d_records").alias("n_records")) for d in deltas]
@@ -87,16 +103,10 @@ PLACE = ["phrase_id", "field_path", "token_start", "token_end"]
 def occurrence_counts(spark: SparkSession, sf_dir: str, late_days: int = 7) -> tuple[DataFrame, int]:
     """Counts of occurrences.verbatim_text in two change sets: the rows on time, then the late ones."""
     occ = table(spark, sf_dir, "occurrences")
-    rows = term_rows(occ, "tinyId", "verbatim_text", PLACE)
     late = F.coalesce(F.col("loaded_at") > F.col("mined_at") + F.expr(f"INTERVAL {late_days} DAYS"), F.lit(False))
-    on_time, behind = (term_rows(occ.where(c), "tinyId", "verbatim_text", PLACE) for c in (~late, late))
-    nothing = rows.where(F.lit(False))
-    first = signed_delta(nothing, on_time)
-    touched = behind.select("record").distinct()
-    before = on_time.join(touched, "record", "left_semi")
-    second = signed_delta(before, before.unionByName(behind))
+    rows = term_rows(occ.withColumn("change_set", late.cast("int")), "tinyId", "verbatim_text", PLACE, "change_set")
     total = occ.select("tinyId").where("tinyId is not null").distinct().count()
-    return merge(None, first, second), total
+    return merge(None, signed_deltas(rows, 2)), total
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

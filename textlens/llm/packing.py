@@ -128,7 +128,7 @@ def packed(sizes: DataFrame, key: str = "doc_id", size: str = "n_tokens", capaci
         boxes = pack(pdf["n"].tolist(), capacity)
         return pd.DataFrame({"container": [f"{s}/{b}" for s, b in zip(pdf["shard"], boxes)], "key": pdf["key"], "part": pdf["part"], "n": pdf["n"]})
 
-    dealt = rests.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
+    dealt = rests.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")).repartition(shards, "shard")  # a number: else tiny shards share one task
     shared = dealt.groupBy("shard").applyInPandas(lambda pdf: one(pdf), f"container string, key {kind}, part int, n bigint")
     return shared.unionByName(full).select("container", F.col("key").alias(key), "part", F.col("n").alias("n_tokens"))
 

@@ -121,22 +121,23 @@ def segment(cell: str | None, known: ahocorasick.Automaton | None, words: bool =
     if cell is None or not cell.strip():
         return []
     p = pieces(_unwrap(cell, words), words)
-    texts = [_norm(x) if i % 2 == 0 else x for i, x in enumerate(p)]
     whole: dict[int, list[int]] = {}  # last piece -> first pieces of known values that end there
     if known is not None:
-        # positions of pieces in the normalised text the automaton reads
+        # places of the pieces in the normalised text that the automaton reads
         line, begin, end = "", {}, {}
-        for i, x in enumerate(texts):
-            if i % 2 == 0:
-                x = _norm(x)
-                if line and x:
-                    line += " "
-                begin.setdefault(len(line), i) if x else None
+        for i, raw in enumerate(p):
+            if i % 2:
+                line += raw.strip() or ("" if line.endswith(" ") else " ")
+                continue
+            x = _norm(raw)
+            if raw[:1].isspace() and line and not line.endswith(" "):
+                line += " "
+            if x:
+                begin[len(line)] = i
                 line += x
-                if x:
-                    end[len(line)] = i
-            else:
-                line += x.strip() or " "
+                end[len(line)] = i
+                if raw[-1:].isspace():
+                    line += " "
         for stop, value in known.iter(line):
             b, a = end.get(stop + 1), begin.get(stop + 1 - len(value))
             if a is not None and b is not None and a < b:

@@ -18,11 +18,11 @@ ID_SEPARATORS = r"[\s|,;]+"
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType = RECORD, lines: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(records, broken): JSON records by schema; rows that do not parse go to broken (column text)."""
-    bad = "_corrupt"
-    full = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
-    df = spark.read.schema(full).option("columnNameOfCorruptRecord", bad).option("mode", "PERMISSIVE").json(path, multiLine=not lines)
-    return df.where(F.col(bad).isNull()).drop(bad), df.where(F.col(bad).isNotNull()).select(F.col(bad).alias("text"))
+    """(records, broken): JSON records by schema, one a line, or one object or list a file; texts that do not parse go to broken (column text)."""
+    kind = T.ArrayType(schema)
+    rows = spark.read.text(path, wholetext=not lines).where("trim(value) <> ''").select(F.col("value").alias("text"), F.from_json("value", kind, {"mode": "PERMISSIVE"}).alias("r"))
+    rows = rows.withColumn("ok", F.try_parse_json("text").isNotNull() & F.col("r").isNotNull())
+    return rows.where("ok").select(F.explode("r").alias("r")).select("r.*"), rows.where("not ok").select("text")
 
 
 def _column(df: DataFrame, wanted: str) -> str:

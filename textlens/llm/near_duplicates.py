@@ -90,7 +90,7 @@ class Index:
         for i in self.present:
             low, high = self.classes[max(0, i - 1)][0], self.classes[i][1]
             near = [s for s in sample if low <= len(s) <= high]
-            self.segments[i] = balanced(near, self.m[i]) if near and self.m[i] > 1 else {}
+            self.segments[i] = balanced(near, self.m[i]) if near and 1 < self.m[i] <= 64 else {}  # very long texts: by hash
         df: Counter = Counter(w for s in sample for w in s)
         self.rank = {w: (c, code(w)) for w, c in df.items()}
 
@@ -203,7 +203,7 @@ ORACLES = {
     "p7_found": r"""
 WITH w AS (SELECT DISTINCT tinyId, list_sort(list_distinct(regexp_extract_all(lower(name), '[\p{L}\p{N}]+'))) AS ws FROM duplicates_manifest WHERE tinyId IS NOT NULL AND name IS NOT NULL),
 u AS (SELECT tinyId, ws, len(ws) AS n, unnest(ws) AS word FROM w),
-c AS (SELECT a.tinyId AS tinyid_a, b.tinyId AS tinyid_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS both
+c AS (SELECT a.tinyId AS tinyid_a, b.tinyId AS tinyid_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
       FROM u a JOIN u b ON a.word = b.word AND a.tinyId < b.tinyId GROUP BY 1, 2)
-SELECT tinyid_a, tinyid_b FROM c WHERE both >= 0.7 * (na + nb - both) - 1e-9"""
+SELECT tinyid_a, tinyid_b FROM c WHERE shared >= 0.7 * (na + nb - shared) - 1e-9"""
 }

@@ -408,3 +408,16 @@ def test_bands_on_awkward_tables(spark):
     assert rl.document_frequencies(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         rl.fit(rl.document_frequencies(df), labels.limit(0))
+
+
+def test_crowded_blocks_merge_through_hubs(spark, monkeypatch):
+    monkeypatch.setattr(nv, "CROWDED", 2)
+    rnd = random.Random(1)
+    rows, base = [], "plafuplezudo"
+    for i in range(30):
+        s = list(base)
+        s[rnd.randrange(12)] = rnd.choice("abcdefg")
+        rows.append((i, "".join(s) + " Sleep Scale", None))
+    rows += [(100 + i, n + " Sleep Scale", None) for i, n in enumerate(("zuvastetroba", "zuvastetrobi", "kokokokokoko"))]
+    e = {r.id: r.entity for r in nv.resolve(nv.profiles(_names(spark, rows))).collect()}
+    assert len({e[i] for i in range(30)}) == 1 and e[100] == e[101] and len(set(e.values())) == 3

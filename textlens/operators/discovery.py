@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,32 +14,56 @@ from textlens.operators import matching, mining, patterns as pt
 from textlens.session import written
 
 
+def fixed_word(pattern: str) -> str | None:
+    """The longest word that every flexible spelling of the pattern has: no little, hyphenated or bracketed ones."""
+    words = [w for w in pattern.lower().split() if not re.search(r"[-()]", w) and w not in pt.ARTICLES and w not in pt.OPTIONAL]
+    runs = [m[0] for w in words if (m := re.search("[a-z0-9]+", w))]
+    return max(runs, key=lambda w: (len(w), w), default=None)
+
+
 def discover(texts: DataFrame, patterns: DataFrame, scopes: DataFrame | None = None, key: str = "tinyId") -> DataFrame:
     """(pattern, verbatim, key, field_path): spellings of each pattern found by its flexible regex.
 
-    A text meets a pattern only if it holds the pattern's longest word (hyphens aside), by an equi-join on
-    words; with scopes (pattern, key) only the record's own patterns. Regexes run in Arrow batches, each
-    compiled once for a batch.
+    The list (at most MOST_PATTERNS rows, counted first) goes to the workers; there an automaton of the
+    patterns' fixed words picks the regexes worth trying on a text, so the texts are read once and nothing
+    is shuffled. Patterns without a fixed word are tried on every text. With scopes (pattern, key) only
+    hits in the pattern's own records stay.
     """
-    word = F.regexp_replace(F.lower("pattern"), "[^a-z0-9]+", " ")
-    longest = F.element_at(F.array_sort(F.transform(F.split(F.trim(word), " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"]
-    pats = patterns.select("pattern").where("pattern is not null and trim(pattern) <> ''").distinct().withColumn("word", longest)
-    words = F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " ")), " "))
-    rows = texts.select(key, "field_path", "text", F.explode(words).alias("word")).join(pats, "word").drop("word")
-    if scopes is not None:
-        rows = rows.join(scopes.select("pattern", key).distinct(), ["pattern", key], "left_semi")
-
-    @F.pandas_udf("array<string>")
-    def found(pattern: pd.Series, text: pd.Series) -> pd.Series:
-        known: dict[str, re.Pattern] = {}
-        out = []
-        for p, t in zip(pattern, text):
-            if p not in known:
-                known[p] = re.compile(pt.flexible_regex(p), re.I)
-            out.append([m[0].strip() for m in known[p].finditer(t)])
-        return pd.Series(out)
-
-    return rows.select("pattern", F.explode(found("pattern", "text")).alias("verbatim"), key, "field_path").where("verbatim <> ''")
+    head = [r.pattern for r in patterns.select("pattern").where("pattern is not null and trim(pattern) <> ''").distinct().limit(matching.MOST_PATTERNS + 1).collect()]
+    if len(head) > matching.MOST_PATTERNS:
+        raise ValueError(f"a pattern list holds at most {matching.MOST_PATTERNS} patterns; split it")
+    shared, kept = texts.sparkSession.sparkContext.broadcast(sorted(head)), {}
+
+    @F.pandas_udf("array<struct<pattern:string,verbatim:string>>")
+    def found(s: pd.Series) -> pd.Series:
+        if not kept:  # once for each task
+            a, always = ahocorasick.Automaton(), []
+            for p in shared.value:
+                if w := fixed_word(p):
+                    a.add_word(w, (*a.get(w, ()), p))
+                else:
+                    always.append(p)
+            if len(a):
+                a.make_automaton()
+            kept.update(a=a, always=always, rx={})
+
+        def one(t):
+            if not t:
+                return []
+            tried = set(kept["always"])
+            if len(kept["a"]):
+                tried.update(p for _, ps in kept["a"].iter(t.lower()) for p in ps)
+            out = []
+            for p in sorted(tried):
+                if p not in kept["rx"]:
+                    kept["rx"][p] = re.compile(pt.flexible_regex(p), re.I)
+                out += [{"pattern": p, "verbatim": m[0].strip()} for m in kept["rx"][p].finditer(t)]
+            return out
+
+        return s.map(one)
+
+    rows = texts.select(key, "field_path", F.explode(found("text")).alias("m")).select("m.pattern", "m.verbatim", key, "field_path").where("verbatim <> ''")
+    return rows if scopes is None else rows.join(scopes.select("pattern", key).distinct(), ["pattern", key], "left_semi")
 
 
 def undiscovered(patterns: DataFrame, found: DataFrame) -> DataFrame:

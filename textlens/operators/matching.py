@@ -1,15 +1,20 @@
 """Patterns against texts: occurrences, distributions, containment, recall, leakage.
 
-Literal patterns find their texts by an equi-join on one interior word of the pattern (its rarest in the
-pattern list; a word with word characters on neither side of it in the pattern must stand whole in the
-text), then ``contains`` verifies. Patterns without such a word go the exact way of a nested loop, which
-is right for any pattern and only touches the few that need it. Patterns with a scope join on the record.
+A pattern list of up to ``MOST_PATTERNS`` rows (counted first) is sent to the workers and becomes one
+Aho-Corasick automaton for each task: texts are read once, nothing is shuffled, and time is linear in the
+text however many patterns there are. Longer lists find their texts by an equi-join on one interior word
+of the pattern (its rarest in the list; such a word must stand whole in the text), then ``contains``
+verifies; patterns without such a word meet the texts in a loop, which is right for any pattern. Patterns
+with a scope join on the record.
 """
 
 from __future__ import annotations
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+MOST_PATTERNS = 100_000
 WORD = r"[A-Za-z0-9]+"
 
 
@@ -18,9 +23,34 @@ def _interior(p: Column) -> Column:
     return F.filter(F.transform(F.regexp_extract_all(p, F.lit(rf"(?<=[^A-Za-z0-9])({WORD})(?=[^A-Za-z0-9])"), F.lit(1)), F.lower), lambda w: F.length(w) > 2)
 
 
-def literal_hits(texts: DataFrame, patterns: DataFrame, ignore_case: bool = True, key: str = "tinyId") -> DataFrame:
+def literal_hits(texts: DataFrame, patterns: DataFrame, ignore_case: bool = True, key: str = "tinyId", most: int = MOST_PATTERNS) -> DataFrame:
     """(pattern, key, field, field_path, text): texts that contain a pattern; patterns: column pattern."""
     pats = patterns.select("pattern").where("pattern is not null and pattern <> ''").distinct()
+    head = [r.pattern for r in pats.limit(most + 1).collect()]
+    if len(head) > most:
+        return _joined_hits(texts, pats, ignore_case, key)
+    shared, kept = texts.sparkSession.sparkContext.broadcast(head), {}  # bounded by most
+
+    @F.pandas_udf("array<string>")
+    def found(s: pd.Series) -> pd.Series:
+        if "a" not in kept:  # once for each task
+            a = ahocorasick.Automaton()
+            for p in shared.value:
+                k = p.lower() if ignore_case else p
+                a.add_word(k, (*a.get(k, ()), p))
+            if len(a):
+                a.make_automaton()
+            kept["a"] = a
+        a = kept["a"]
+        if not len(a):
+            return pd.Series([[]] * len(s))
+        return s.map(lambda t: [] if not t else sorted({p for _, ps in a.iter(t.lower() if ignore_case else t) for p in ps}))
+
+    rows = texts.select(key, "field", "field_path", "text").withColumn("_p", found("text")).where(F.size("_p") > 0)
+    return rows.select(F.explode("_p").alias("pattern"), key, "field", "field_path", "text")
+
+
+def _joined_hits(texts: DataFrame, pats: DataFrame, ignore_case: bool, key: str) -> DataFrame:
     words = pats.select("pattern", F.explode(F.array_distinct(_interior(F.col("pattern")))).alias("word"))
     df = words.groupBy("word").agg(F.count("*").alias("n"))
     rare = words.join(df, "word").groupBy("pattern").agg(F.min(F.struct("n", "word")).alias("m")).select("pattern", "m.word")

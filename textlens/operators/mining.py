@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textlens.functions import text as tx
-from textlens.session import written
+from textlens.session import discard, written
 
 
 def sequences(texts: DataFrame, key: str = "tinyId") -> DataFrame:
@@ -54,17 +54,20 @@ def mine(texts: DataFrame, k_max: int = 25, k_min: int = 3, least: int = 3, leas
     live = seqs.select(key, "field_path", F.explode(windows(k_min)).alias("w")).join(seeds, F.col("w.kmer") == F.col("kmer"), "left_semi")
     live = live.groupBy(key, "field_path").agg(F.collect_set("w.pos").alias("at"))
     free = F.transform("free", lambda f, i: F.exists("at", lambda s: (i >= s) & (i < s + k_min)))
-    seqs = written(seqs.join(live, [key, "field_path"]).withColumn("free", free).drop("at"), "sequences")
+    before, seqs = seqs, written(seqs.join(live, [key, "field_path"]).withColumn("free", free).drop("at"), "sequences")
+    discard(before)
     longest = seqs.agg(F.max(F.size("tokens"))).first()[0] or 0
     found = None
     for k in range(min(k_max, longest), k_min - 1, -1):
         level = written(count_kmers(seqs, k, least, least_ids, key), "phrases")
         if level.isEmpty():
+            discard(level)
             continue
         rows = level.select(F.col("kmer").alias("phrase"), F.lit(k).alias("k"), "freq", "n_ids")
         found = rows if found is None else found.unionByName(rows)
         if k > k_min:
-            seqs = written(mask(seqs, level, k, key), "sequences")
+            before, seqs = seqs, written(mask(seqs, level, k, key), "sequences")
+            discard(before)
     if found is None:
         return texts.sparkSession.createDataFrame([], "phrase string, k int, freq bigint, n_ids bigint")
     return found

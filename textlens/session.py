@@ -57,4 +57,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables of ``written()`` that nothing reads any more, as a loop's last state once the next is written."""
+    for df in tables:
+        if path := getattr(df, "_written_at", None):
+            jvm = df.sparkSession._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)

@@ -98,10 +98,14 @@ def mask_after(texts: DataFrame, names: list[str], contexts: list[str] = list(pt
     return texts.withColumn("masked", masked("text"))
 
 
+# Punctuation that belongs to a span it touches (fixed values).
+LEADING, TRAILING = r"""[(\[{'"“”\-–—]*$""", r"""^[)\]}.,;:?!'"“”\-–—/\\%°]*"""
+
+
 def extend_span(text: Column, start: Column, end: Column) -> Column:
     """The verbatim text from start to end (0-based, end excluded) with the punctuation that touches it."""
     before, after = F.substring(text, F.lit(1), start), F.substring(text, end + 1, F.length(text))
-    return F.concat(F.regexp_extract(before, r"[(\[\"']*$", 0), F.substring(text, start + 1, end - start), F.regexp_extract(after, r"^[)\]\"'.,;:!?]*", 0))
+    return F.concat(F.regexp_extract(before, LEADING, 0), F.substring(text, start + 1, end - start), F.regexp_extract(after, TRAILING, 0))
 
 
 def whole_text_phrases(texts: DataFrame, k_max: int = 25, least_ids: int = 2, key: str = "tinyId") -> DataFrame:

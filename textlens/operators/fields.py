@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from textlens.functions import paths, text as tx
 
-QUESTION_TAGS, NAME_TAGS = r"Question Text", r"Long Name|Short Name|Shortname"
+# Tags that tell questions and names (fixed values).
+QUESTION_TAGS, NAME_TAGS = "Question", "Primary Name|Long Common Name|Short Name|Shortname"
 
 
 def field_texts(items: DataFrame, key: str = "tinyId") -> DataFrame:

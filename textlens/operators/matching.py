@@ -137,7 +137,7 @@ def marginal_gains(now: DataFrame, before: DataFrame) -> DataFrame:
 
 
 # Frames of time in item texts and usual boilerplate (fixed values).
-TEMPORAL = r"(?:in|over|during|within) the (?:past|last|previous) (?:\d+ )?(?:hours?|days?|weeks?|months?|years?)"
+TEMPORAL = r"\b(?:in|over|during|for|within)\s+the\s+(?:past|last)\s+(?:\d+|[a-z]+)\s+(?:days?|weeks?|months?|years?)"
 BOILERPLATE = r"as part of the \w+ battery|based on the \w+|free-text field related to|indicator of whether"
 ANCHORS = ("as part of", "as a part of", "based on", "related to")
 

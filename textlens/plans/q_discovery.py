@@ -48,7 +48,7 @@ def _(spark, d):
     return dc.mask_after(m, ["scale", "index", "inventory", "questionnaire", "survey", "interview", "checklist", "battery", "schedule", "form"])
 
 
-@query("extended_spans", """SELECT row_id, regexp_extract(substr(pattern, 1, 3), '[(\\["'']*$', 0) || substr(pattern, 4, 5) || regexp_extract(substr(pattern, 9), '^[)\\]"''.,;:!?]*', 0) AS span FROM inst_full_patterns WHERE pattern IS NOT NULL""")
+@query("extended_spans", "SELECT row_id, regexp_extract(substr(pattern, 1, 3), '" + dc.LEADING.replace("'", "''") + "', 0) || substr(pattern, 4, 5) || regexp_extract(substr(pattern, 9), '" + dc.TRAILING.replace("'", "''") + "', 0) AS span FROM inst_full_patterns WHERE pattern IS NOT NULL")
 def _(spark, d):
     return table(spark, d, "inst_full_patterns").where("pattern is not null").select("row_id", dc.extend_span(F.col("pattern"), F.lit(3), F.lit(8)).alias("span"))
 

@@ -48,8 +48,8 @@ def _(spark, d):
 
 
 @query("name_question", with_items(r"""SELECT tinyId,
-  coalesce(list_filter(designations, lambda e: e.designation IS NOT NULL AND len(list_filter(e.tags, lambda t: regexp_matches(t, 'Long Name|Short Name|Shortname'))) > 0)[1].designation, designations[1].designation) AS name,
-  coalesce(list_filter(designations, lambda e: e.designation IS NOT NULL AND len(list_filter(e.tags, lambda t: regexp_matches(t, 'Question Text'))) > 0)[1].designation, designations[2].designation) AS question FROM items"""))
+  coalesce(list_filter(designations, lambda e: e.designation IS NOT NULL AND len(list_filter(e.tags, lambda t: regexp_matches(t, 'Primary Name|Long Common Name|Short Name|Shortname'))) > 0)[1].designation, designations[1].designation) AS name,
+  coalesce(list_filter(designations, lambda e: e.designation IS NOT NULL AND len(list_filter(e.tags, lambda t: regexp_matches(t, 'Question'))) > 0)[1].designation, designations[2].designation) AS question FROM items"""))
 def _(spark, d):
     return items(spark, d, "designations").select("tinyId", fields.name_and_question(F.col("designations")).alias("x")).select("tinyId", "x.name", "x.question")
 

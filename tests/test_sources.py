@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textlens.plans.workflow import Step, Workflow, resolve
+from textlens.operators import curation as cu
 from textlens.sources import files
 from textlens.streaming import terms
 
@@ -56,6 +57,28 @@ def test_sinks(spark, tmp_path):
     assert "| 1 |" in files.markdown(df.select("b"), "t")
 
 
+def test_dictionary_and_ledger(spark, tmp_path):
+    d = tmp_path / "d.tsv"
+    d.write_text("Abbreviation\texpansion\tcategory\tconfidence\tdecision\nAB\tx\tinstrument\t0.9\t\nCD\ty\tother\t0.9\tskip\n")
+    df = files.read_dictionary(spark, str(d))
+    files.write_dictionary(df, str(tmp_path / "out"))
+    back = {r.abbreviation: r.decision for r in spark.read.csv(str(tmp_path / "out"), sep="\t", header=True).collect()}
+    assert back == {"AB": "tentative_strip", "CD": "skip"}
+    led = tmp_path / "l.tsv"
+    led.write_text("pattern\tdecision\tdecided_at\nfoo\tkeep\t2024-01-01\nfoo\tremove\t2024-02-01\nbar\tSTRIP\t\n")
+    assert {r.pattern: r.decision for r in files.read_ledger(spark, str(led)).collect()} == {"foo": "skip", "bar": "strip"}
+
+
+def test_gate_and_sheets(spark):
+    c = spark.createDataFrame([("a", "auto_strip", "strip", None), ("b", "review_new", None, None), ("c", "review_changed_skip", "skip", None)], "pattern string, status string, prior string, modification string")
+    auto, review = cu.gate(c)
+    assert [r.pattern for r in auto.collect()] == ["a"] and {r.pattern: r.notes for r in review.collect()} == {"b": "", "c": "previously skip; new records"}
+    assert cu.sheets(c.select("pattern"), ["x", "y"]).count() == 6
+    filled = spark.createDataFrame([("x", "a", "keep"), ("y", "a", "strip"), ("x", "b", "skip"), ("y", "b", "strip"), ("y", "c", " ")], "curator string, pattern string, decision string")
+    agreed, open_ = cu.merge_sheets(filled)
+    assert {r.item: r.consensus for r in agreed.collect()} == {"a": "strip", "b": "strip"} and [r.item for r in open_.collect()] == ["b"]
+
+
 def test_variables():
     assert resolve("${A:-x}/${B}", {"B": "b"}) == "x/b"
     assert resolve(["${A}"], {"A": "${B}", "B": "c"}) == ["c"]

@@ -45,6 +45,15 @@ def count_fields(leaf: DataFrame, fields: list[str], how: str = "non_null", patt
     return rows.groupBy(*by).agg(F.count("*").alias("n"))
 
 
+def group_values(df: DataFrame, key: str, by: str, how: str = "top", columns: list[str] | None = None) -> DataFrame:
+    """(key, group): a record's group value: a top-level field, the last leaf whose path contains ``by``, or the last leaf named so."""
+    if how == "top":
+        return df.select(key, F.coalesce(F.col(by).cast("string"), F.lit("<unknown>")).alias("group"))
+    leaf = paths.leaves(df, columns)
+    fits = (lambda x: F.contains(x["path"], F.lit(by))) if how == "path" else (lambda x: F.element_at(F.split(x["path"], r"\."), -1) == by)
+    return df.select(key, F.coalesce(F.get(F.reverse(F.filter(leaf, lambda x: fits(x) & x["value"].isNotNull())), F.lit(0))["value"], F.lit("<unknown>")).alias("group"))
+
+
 def duplicate_texts(texts: DataFrame, key: str = "tinyId", least_ids: int = 2) -> DataFrame:
     """(text_hash, n_occurrences, n_ids, sample_text): texts equal up to white space in several records."""
     norm = F.trim(F.regexp_replace("text", r"\s+", " "))

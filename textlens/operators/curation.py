@@ -48,6 +48,26 @@ def finalise(reviewed: DataFrame) -> DataFrame:
     return reviewed.select("pattern", d.alias("decision"), F.when(d == "skip", None).when(d == "modify", F.coalesce("modification", "pattern")).otherwise(F.col("pattern")).alias("final_pattern"), F.when(d == "substitute", F.coalesce("modification", F.lit(""))).when(d != "skip", "").alias("replacement"))
 
 
+def gate(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(resolved, needs review) of ``classify`` rows; review rows have empty decision and notes to fill in."""
+    auto = F.startswith("status", F.lit("auto_"))
+    note = F.when(F.startswith("status", F.lit("review_changed_")), F.concat(F.lit("previously "), "prior", F.lit("; new records")))
+    review = classified.where(~auto).select("pattern", F.lit("").alias("decision"), "modification", F.coalesce(note, F.lit("")).alias("notes"))
+    return classified.where(auto).select("pattern", F.col("prior").alias("decision"), "modification", F.concat(F.lit("ledger_"), "status").alias("source")), review
+
+
+def sheets(patterns: DataFrame, curators: list[str]) -> DataFrame:
+    """(curator, pattern, decision, modification): an empty sheet of every pattern for each curator, to be written by curator."""
+    each = F.explode(F.array(*[F.lit(c) for c in curators]))
+    return patterns.select(each.alias("curator"), "pattern", F.lit("").alias("decision"), F.lit("").alias("modification"))
+
+
+def merge_sheets(filled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(consensus rows, discrepancies) of filled sheets (curator, pattern, decision)."""
+    labels = filled.select(F.col("pattern").alias("item"), F.col("curator").alias("rater"), decision(F.col("decision")).alias("label")).where("label is not null").dropDuplicates(["item", "rater"])
+    return consensus(labels), discrepancies(labels)
+
+
 def consensus(labels: DataFrame) -> DataFrame:
     """(item, n_raters, consensus, agreement): unanimous, majority or split; ties by a fixed order.
 

@@ -14,11 +14,13 @@ from textlens.functions import text as tx
 def encode(texts: DataFrame, ranks: DataFrame, key: str = "tinyId") -> DataFrame:
     """(key, codes): the ranks of all tokens of a record in the order of its fields; unknown tokens are 0.
 
-    ranks: (token, rank). Tokens join the vocabulary and return to their record by one aggregation.
+    ranks: (token, rank). Codes have 16 bits, so no more than 65,535 ranked tokens exist: that bounds the
+    broadcast. Tokens return to their record by one aggregation.
     """
+    known = F.broadcast(ranks.where("rank > 0").select("token", "rank").limit(65_535))
     order = F.struct(F.col("field_path"), F.col("pos"))
     tokens = texts.select(key, "field_path", F.posexplode(tx.tokens(F.col("text"))).alias("pos", "token"))
-    coded = tokens.join(ranks.select("token", "rank"), "token", "left").select(key, order.alias("o"), F.coalesce("rank", F.lit(0)).cast("int").alias("code"))
+    coded = tokens.join(known, "token", "left").select(key, order.alias("o"), F.coalesce("rank", F.lit(0)).cast("int").alias("code"))
     return coded.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("o", "code"))).alias("c")).select(key, F.col("c.code").alias("codes"))
 
 

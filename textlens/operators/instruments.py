@@ -55,6 +55,14 @@ def catalog(found: DataFrame, least_ids: int = 2, key: str = "tinyId") -> DataFr
     return by.join(ids, "name_key").where(F.col("n_ids") >= least_ids).select("name_key", "b.instrument_name", "n", "n_ids", "acronyms")
 
 
+def surface_forms(found: DataFrame, key: str = "tinyId") -> DataFrame:
+    """(instrument_name, n, n_ids, acronym): one row for each surface form, with its most frequent acronym."""
+    n = found.groupBy("instrument_name").agg(F.count("*").alias("n"), F.countDistinct(key).alias("n_ids"))
+    a = found.where("acronym is not null").groupBy("instrument_name", "acronym").agg(F.count("*").alias("c"))
+    best = a.groupBy("instrument_name").agg(F.min(F.struct((-F.col("c")).alias("m"), "acronym")).alias("b"))
+    return n.join(best, "instrument_name", "left").select("instrument_name", "n", "n_ids", "b.acronym")
+
+
 def spelling_variants(found: DataFrame, ratio: float = 0.85, short_ratio: float = 0.95, short: int = 12) -> DataFrame:
     """(acronym, name, canonical, variant_type): spellings merged within an acronym by matching-block ratio.
 

@@ -37,7 +37,7 @@ def mask(seqs: DataFrame, phrases: DataFrame, k: int, key: str = "tinyId") -> Da
     """seqs with the tokens of the phrases (column kmer, k tokens each) masked, left to right without overlap."""
     hits = seqs.select(key, "field_path", F.explode(windows(k)).alias("w")).select(key, "field_path", "w.pos", "w.kmer")
     hits = hits.join(phrases.select("kmer"), "kmer", "left_semi").groupBy(key, "field_path").agg(F.array_sort(F.collect_set("pos")).alias("starts"))
-    taken = F.aggregate("starts", F.array().cast("array<int>"), lambda acc, s: F.when((F.size(acc) == 0) | (s >= F.element_at(acc, -1) + k), F.concat(acc, F.array(s))).otherwise(acc))
+    taken = F.aggregate("starts", F.array().cast("array<int>"), lambda acc, s: F.when((F.size(acc) == 0) | (s >= F.try_element_at(acc, F.lit(-1)) + k), F.concat(acc, F.array(s))).otherwise(acc))
     own = seqs.join(hits, [key, "field_path"], "left").withColumn("starts", F.when(F.col("starts").isNotNull(), taken))
     free = F.transform("free", lambda f, i: f & ~F.exists("starts", lambda s: (i >= s) & (i < s + k)))
     return own.withColumn("free", F.when(F.col("starts").isNull(), F.col("free")).otherwise(free)).drop("starts")

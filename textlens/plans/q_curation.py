@@ -74,6 +74,14 @@ def _(spark, d):
     return cu.classify(current, ids, _ledger(spark, d), c.where("loaded_at < timestamp'2024-09-01'").select("pattern", F.col("curator").alias("tinyId")))
 
 
+@query("curation_gate")
+def _(spark, d):
+    c = table(spark, d, "curation_decision").where("pattern is not null")
+    ids = c.select("pattern", F.col("curator").alias("tinyId")).distinct()
+    auto, review = cu.gate(cu.classify(c.select("pattern"), ids, _ledger(spark, d), c.where("loaded_at < timestamp'2024-09-01'").select("pattern", F.col("curator").alias("tinyId"))))
+    return auto.select(F.lit("resolved").alias("part"), "pattern", "decision").unionByName(review.select(F.lit("review").alias("part"), "pattern", "decision"))
+
+
 @query("ledger_upsert", f"WITH {_DEC} SELECT pattern_id, label, decided_at FROM n WHERE label IS NOT NULL AND decided_at IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pattern_id ORDER BY decided_at DESC, label DESC) = 1")
 def _(spark, d):
     c = table(spark, d, "curation_decision").select("pattern_id", "decided_at", cu.decision(F.col("decision")).alias("label")).where("label is not null and decided_at is not null and pattern_id is not null")

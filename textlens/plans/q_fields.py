@@ -167,6 +167,11 @@ def _(spark, d):
     return items(spark, d, "stewardOrg").groupBy(F.coalesce("stewardOrg.name", F.lit("<unknown>")).alias("value")).agg(F.count("*").alias("n"))
 
 
+@query("group_value_terminal", with_items("SELECT tinyId, coalesce(valueDomain.uom, '<unknown>') AS \"group\" FROM items"))
+def _(spark, d):
+    return ag.group_values(items(spark, d, "valueDomain", "stewardOrg"), "tinyId", "uom", "terminal", ["valueDomain", "stewardOrg"])
+
+
 @query("slug_names", "SELECT DISTINCT instrument_name AS name, regexp_replace(regexp_replace(lower(trim(instrument_name)), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug FROM instrument_match WHERE instrument_name IS NOT NULL")
 def _(spark, d):
     return table(spark, d, "instrument_match").where("instrument_name is not null").select(F.col("instrument_name").alias("name"), tx.slug(F.col("instrument_name")).alias("slug")).distinct()

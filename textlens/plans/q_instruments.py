@@ -60,6 +60,11 @@ def _(spark, d):
     return ins.catalog(_found(spark, d))
 
 
+@query("instrument_surface_forms", f"WITH {_FOUND}, n AS (SELECT instrument_name, count(*) AS n, count(DISTINCT tinyId) AS n_ids FROM f GROUP BY 1), a AS (SELECT instrument_name, acronym, count(*) AS c FROM f WHERE acronym IS NOT NULL GROUP BY 1, 2), b AS (SELECT instrument_name, acronym FROM a QUALIFY row_number() OVER (PARTITION BY instrument_name ORDER BY c DESC, acronym) = 1) SELECT n.instrument_name, n, n_ids, b.acronym FROM n LEFT JOIN b ON b.instrument_name = n.instrument_name")
+def _(spark, d):
+    return ins.surface_forms(_found(spark, d))
+
+
 @query("spelling_variants")
 def _(spark, d):
     return ins.spelling_variants(_found(spark, d))

@@ -147,6 +147,36 @@ def bracket_scopes(patterns: dict[str, list[str] | None]) -> dict[str, list[str]
     return out
 
 
+DICTIONARY = "abbreviation string, expansion string, category string, confidence double, source string, n_tinyIds int, decision string, notes string"
+
+
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """An abbreviation dictionary (TSV with the columns of DICTIONARY, in any order, missing ones null)."""
+    df = read_tsv(spark, path)
+    have = {c.lower(): c for c in df.columns}
+    kinds = [f.split(" ") for f in DICTIONARY.split(", ")]
+    return df.select(*[(F.col(f"`{have[n.lower()]}`") if n.lower() in have else F.lit(None)).cast(t).alias(n) for n, t in kinds])
+
+
+def write_dictionary(df: DataFrame, path: str) -> None:
+    """The dictionary as TSV; blank decisions become tentative ones by category and confidence."""
+    sure = F.col("confidence") >= 0.8
+    guess = F.when(F.col("category").isin("instrument", "study") & sure, "tentative_strip").otherwise("tentative_skip")
+    write_flat(df.withColumn("decision", F.coalesce(F.nullif(F.trim("decision"), F.lit("")), guess)), path)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """(phase, pattern, decision, modification, decided_at, notes): a decision ledger in TSV, old words mapped, the last row of a key wins."""
+    from textlens.operators.curation import decision
+
+    df = read_tsv(spark, path)
+    have = {c.lower(): c for c in df.columns}
+    pick = lambda c: F.col(f"`{have[c]}`") if c in have else F.lit(None).cast("string")
+    rows = df.select(F.coalesce(pick("phase"), F.lit("")).alias("phase"), pick("pattern").alias("pattern"), decision(pick("decision")).alias("decision"), pick("modification").alias("modification"), pick("decided_at").alias("decided_at"), pick("notes").alias("notes"), F.monotonically_increasing_id().alias("row")).where("pattern is not null and pattern <> ''")
+    rest = ["decision", "modification", "decided_at", "notes"]
+    return rows.groupBy("phase", "pattern").agg(F.max(F.struct(F.coalesce("decided_at", F.lit("")).alias("at"), "row", *rest)).alias("m")).select("phase", "pattern", *[F.col(f"m.{c}").alias(c) for c in rest])
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

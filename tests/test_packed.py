@@ -11,7 +11,7 @@ from textlens.operators import packed as pk
     [
         ('a|"b; c", d', ["a", "b; c", "d"]), ("'x, y','z'", ["x, y", "z"]), ("patient's pain|the patient's pain", ["patient's pain", "the patient's pain"]),
         ('"say ""raw"""|b', ['say "raw"', "b"]), ('"a \\"q\\" b";c', ['a "q" b', "c"]), ("a||b;; c|", ["a", "b", "c"]), ("one\ntwo\tthree four", ["one", "two", "three four"]),
-        ('"open|b', ['"open', "b"]), ("", []), ("  ", []), (None, []), ("a|a", ["a", "a"]), ("['a', 'b c']", ["a", "b c"]),
+        ('"open|b', ['"open', "b"]), ("", []), ("  ", []), (None, []), ("a|a", ["a", "a"]), ("[a], [b c]", ["a", "b c"]), ("a (total)|(b)", ["a (total)", "(b)"]), ("['a', 'b c']", ["a", "b c"]),
     ],
 )
 def test_variants(cell, want):

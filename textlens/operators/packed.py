@@ -31,11 +31,13 @@ def _norm(text: str) -> str:
 
 
 def _unquote(piece: str) -> str:
-    """Without the quotes around it; a doubled or escaped quote inside stands for one."""
+    """Without the quotes or square brackets around it; a doubled or escaped quote inside stands for one."""
     p = piece.strip()
     if len(p) >= 2 and p[0] == p[-1] and p[0] in _QUOTES:
         q = p[0]
         return re.sub(rf"\\({q})|{q}({q})", lambda m: q, p[1:-1]).strip()
+    if len(p) >= 2 and p[0] == "[" and p[-1] == "]" and not set(p[1:-1]) & {"[", "]"}:
+        return _unquote(p[1:-1])
     return p
 
 
@@ -43,7 +45,7 @@ def _unwrap(cell: str, words: bool) -> str:
     """Without the brackets around the whole cell, and for single words without quotes around it."""
     c = cell.strip()
     while len(c) >= 2:
-        if c[0] in _CLOSERS and c[-1] == _CLOSERS[c[0]] and (words or c[0] == "["):
+        if c[0] in _CLOSERS and c[-1] == _CLOSERS[c[0]] and (words or c[0] == "[") and not set(c[1:-1]) & {c[0], c[-1]}:
             c = c[1:-1].strip()
         elif words and c[0] == c[-1] and c[0] in _QUOTES and c[0] not in c[1:-1]:
             c = c[1:-1].strip()

@@ -24,6 +24,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from textlens.session import written
+
 
 @dataclass(frozen=True)
 class Shredded:
@@ -87,16 +89,19 @@ def _below_list(row, items: Column, slot: str, t: T.StructType, kind: str) -> li
 
 
 def shred(records: DataFrame, keys: list[str], columns: list[str]) -> Shredded:
-    """Shred the nested ``columns`` of ``records``; ``keys`` identify a record and are kept in roots."""
+    """Shred the nested ``columns`` of ``records``; ``keys`` identify a record and are kept in roots.
+
+    Records are hashed once and written (shared folder); the three tables read what they need of it.
+    """
     t = T.StructType([records.schema[c] for c in columns])
     held = records.select(*keys, F.struct(*[F.col(c) for c in columns]).alias("_record"))
-    roots = held.select(*keys, _identity(F.col("_record"), t).alias("root_id"))
     parts = [F.coalesce(F.filter(p, lambda r: r.isNotNull()), F.array().cast(_EDGES)) for p in _below(F.col("_record"), t, "")]
-    rows = held.select(F.explode(F.flatten(F.array(*parts))).alias("r")).select("r.*")
+    hashed = written(held.select(*keys, _identity(F.col("_record"), t).alias("root_id"), F.flatten(F.array(*parts)).alias("_edges")), "shredded")
+    rows = hashed.select(F.explode("_edges").alias("r")).select("r.*")
     bridges = rows.select("parent_id", "slot", "ordinal", "child_id").distinct()
     # The kind is part of the key: an empty designation and an empty definition are two objects.
     objects = rows.select(F.col("child_id").alias("object_id"), "kind", "body").distinct()
-    return Shredded(roots, bridges, objects)
+    return Shredded(hashed.select(*keys, "root_id"), bridges, objects)
 
 
 def descend(s: Shredded, path: list[str]) -> DataFrame:

@@ -146,11 +146,9 @@ def similar_sets(sets: DataFrame, t: float, hot: int = 256) -> DataFrame:
         return s.map(lambda w: index.value.prefix(list(w)))
 
     bit = lambda half: F.aggregate("words", F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(F.when(F.pmod(F.xxhash64(w), F.lit(2)) == half, F.expr("1L")).otherwise(F.expr("0L")) * F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(w, F.lit(1)), F.lit(64)).cast("int"))))
-    rows = sets.select("set_id", F.size("words").alias("n"), bit(0).alias("s0"), bit(1).alias("s1"), prefix("words").alias("prefix"), F.explode(emit("words")).alias("e"))
-    rows = written(rows.select("set_id", "n", "s0", "s1", "prefix", "e.*"), "signatures")
-    busy = rows.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") > hot).select("sig", F.lit(True).alias("busy"))
-    tagged = rows.join(busy, "sig", "left")
-    cool, warm = tagged.where("busy is null").drop("prefix", "busy"), tagged.where("busy").withColumn("word", F.explode("prefix")).drop("prefix", "busy")
+    rows = sets.select("set_id", F.size("words").alias("n"), bit(0).alias("s0"), bit(1).alias("s1"), F.explode(emit("words")).alias("e"))
+    rows = written(rows.select("set_id", "n", "s0", "s1", "e.*"), "signatures")
+    busy = written(rows.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") > hot).select("sig"), "busy-signatures")
     share = (1 - t) / (1 + t)
 
     def meet(x: DataFrame, on: list[str]) -> DataFrame:
@@ -163,7 +161,13 @@ def similar_sets(sets: DataFrame, t: float, hot: int = 256) -> DataFrame:
         keys = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
         return left.join(right, keys + [near]).select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b"))
 
-    pairs = meet(cool, ["sig"]).unionByName(meet(warm, ["sig", "word"])).distinct()
+    if busy.isEmpty():
+        pairs = meet(rows, ["sig"]).distinct()
+    else:
+        # only the rows of busy signatures ever carry prefix words
+        heads = sets.select("set_id", F.explode(prefix("words")).alias("word"))
+        warm = rows.join(busy, "sig", "left_semi").join(heads, "set_id")
+        pairs = meet(rows.join(busy, "sig", "left_anti"), ["sig"]).unionByName(meet(warm, ["sig", "word"])).distinct()
     one, two = (sets.select(F.col("set_id").alias(c), F.col("words").alias(f"{c}_words")) for c in ("a", "b"))
     both = F.size(F.array_intersect("a_words", "b_words"))
     return pairs.join(one, "a").join(two, "b").where(both >= t * (F.size("a_words") + F.size("b_words") - both) - 1e-9).select("a", "b")

@@ -421,3 +421,19 @@ def test_crowded_blocks_merge_through_hubs(spark, monkeypatch):
     rows += [(100 + i, n + " Sleep Scale", None) for i, n in enumerate(("zuvastetroba", "zuvastetrobi", "kokokokokoko"))]
     e = {r.id: r.entity for r in nv.resolve(nv.profiles(_names(spark, rows))).collect()}
     assert len({e[i] for i in range(30)}) == 1 and e[100] == e[101] and len(set(e.values())) == 3
+
+
+def test_pairs_of_a_block_that_was_crowded_once_are_compared(spark, monkeypatch):
+    # the block of the acronym has 5 profiles; the hub's two merge in the first round, which leaves 4: no longer crowded
+    monkeypatch.setattr(nv, "CROWDED", 4)
+    members = [("a1", "plafuplezudo", "pss"), ("a2", "plafuplezuda", "pss"), ("b1", "zuvastetroba", "pss"), ("b2", "zuvastimroka", "pss"), ("c1", "kokokokokoko", "pss")]
+    rows = [(i, p, "sleep", "", 0, name, [acr]) for i, (p, name, acr) in enumerate(members)]
+    df = spark.createDataFrame(rows, "id bigint, pid string, subject string, grp string, edition int, author string, acronyms array<string>")
+    e = {r.id: r.entity for r in nv.resolve(df).collect()}
+    assert e[0] == e[1] and e[2] == e[3] and len(set(e.values())) == 3
+
+
+def test_rounds_used_up_raise(spark):
+    rows = [(1, "Plafuplezu Sleep Scale", None), (2, "Plafuplexu Sleep Scale", "PSS"), (3, "PSS by Plafiblexo Sleep", None)]
+    with pytest.raises(ValueError):
+        nv.resolve(nv.profiles(_names(spark, rows)), most_rounds=1)

@@ -11,7 +11,8 @@ profiles of the same subject, group, edition and acronym. Candidates are verifie
 ``DISTANCE`` edits (transpositions count one), or ``FAR`` edits if an acronym and the first letter agree
 as well. Matched profiles merge: spellings and acronyms unite, and the richer profiles enter blocking
 again, until a round merges nothing. A block of more than ``CROWDED`` profiles pairs with one of them
-only, as long as that merges; then, merged and small, pair by pair. Merging is by connected components over profile ids (label
+only, as long as that merges; then every block is compared pair by pair, also one that was crowded in an
+earlier round only. Merging is by connected components over profile ids (label
 propagation with pointer jumping, written out between steps), never on the driver.
 
 Co-authors that stand beside very many different names tell nothing; tokens seen in ``COMMON`` contexts
@@ -272,7 +273,7 @@ def resolve(members: DataFrame, most_rounds: int = 50) -> DataFrame:
     def match(a: pd.Series, b: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([same(*row) for row in zip(a, b, x, y)])
 
-    hot_left = False
+    hot_left, owed = False, False  # owed: a crowded block met its hub only, and no pass over all pairs came since
     for _ in range(most_rounds):
         told = current.where("subject is not null")
         blocks = told.select("pid", "fresh", F.xxhash64("subject", "grp", "edition").alias("block"), F.explode(keys("names", "acronyms")).alias("key"))
@@ -287,12 +288,12 @@ def resolve(members: DataFrame, most_rounds: int = 50) -> DataFrame:
         sides = [told.select(F.col("pid").alias(c), F.struct("subject", "grp", "edition").alias(f"{c}_is"), F.col("names").alias(f"{c}_names"), F.col("acronyms").alias(f"{c}_acr")) for c in "ab"]
         checked = pairs.join(sides[0], "a").join(sides[1], "b").where("a_is = b_is").where(match("a_names", "b_names", "a_acr", "b_acr"))
         edges = written(checked.select("a", "b"), "matches")
-        crowded = not size.where(F.col("c") > CROWDED).isEmpty()
+        owed = not hot_left and (owed or not size.where(F.col("c") > CROWDED).isEmpty())
         discard(blocks)
         if edges.isEmpty():
-            if hot_left or not crowded:
+            if not owed:
                 break
-            hot_left = True  # hubs have nothing left to merge: the rest of the crowded blocks pair by pair
+            hot_left = True  # hubs have nothing left to merge: what was crowded once goes pair by pair
             continue
         hot_left = False
         linked = edges.select(F.col("a").alias("pid")).unionByName(edges.select(F.col("b").alias("pid"))).distinct()
@@ -306,6 +307,8 @@ def resolve(members: DataFrame, most_rounds: int = 50) -> DataFrame:
         before, current = current, written(merged.withColumnRenamed("root", "pid"), "profiles")
         discard(before)
         owner = written(rooted(owner).select("id", F.col("root").alias("pid")), "owners")
+    else:
+        raise ValueError(f"names still merge after {most_rounds} rounds")
     return owner.select("id", F.col("pid").alias("entity"))
 
 

@@ -1,6 +1,7 @@
 """Core operators on small inputs: paths, filters, aggregates, mining, matching, stripping, curation."""
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -240,3 +241,33 @@ def test_empty_inputs(spark):
     p = spark.createDataFrame([], "pattern string")
     for df in (ag.duplicate_texts(t), mining.mine(t), mt.literal_hits(t, p), ins.mentions(t), vb.templates(spark.createDataFrame([], "phrase_id string, verbatim_text string")), mt.leakage(t, {"a": "b"})):
         assert df.count() == 0
+
+
+def test_strip_lists_equal_the_rules_one_after_the_other(spark):
+    rnd = random.Random(3)
+    word = lambda n: "".join(rnd.choice("ab ") for _ in range(rnd.randint(1, n)))
+    rules = {s: [(i, word(4), rnd.choice(["", "b", "ab"]), rnd.choice([[], ["r1"], ["r1", "r2"]])) for i in range(30)] for s in "xy"}
+    rows = [(f"r{i % 3}", f"p{i}", word(30)) for i in range(60)]
+
+    def fold(key, t, stage):
+        for i, p, r, ids in sorted(rules[stage], key=lambda x: (x[3] != [], -len(x[1]), x[0])):
+            t = t.replace(p, r) if not ids or key in ids else t
+        return t
+
+    lists = {s: spark.createDataFrame(v, "file_ord int, phrase string, replace_with string, ids array<string>") for s, v in rules.items()}
+    got = sp.strip_lists(spark.createDataFrame(rows, "tinyId string, field_path string, text string"), lists, {"a": ("x",), "b": ("x", "y")}).collect()
+    want = {f: (fold(k, t, "x"), fold(k, fold(k, t, "x"), "y")) for k, f, t in rows}
+    assert len(got) == 60 and {r.field_path: (r.a, r.b) for r in got} == want
+
+
+def test_production_strip_reads_the_pattern_tables(spark, small):
+    from textlens.plans import corpus
+
+    own = corpus.pattern_lists(spark, small)["substitute"].where("size(ids) > 0 and phrase <> ''").orderBy("file_ord").first()
+    texts = spark.createDataFrame([(own.ids[0], "a", f"x {own.phrase} y"), ("nobody", "a", f"x {own.phrase} y"), ("nobody", "b", "Within the previous 7 days pain")], "tinyId string, field_path string, text string")
+    from textlens.plans.workflow import production_strip
+
+    tables = production_strip(corpus.pattern_lists(spark, small), gr.TEMPORAL_SEEDS).run(spark, {"texts": texts})["tables"]
+    done = {(r.tinyId, r.field_path): r.text for r in tables["substitute"].collect()}
+    assert own.phrase not in done[own.ids[0], "a"] and done["nobody", "a"] == f"x {own.phrase} y"
+    assert {r.MFSFPT for r in tables["branch"].where("field_path = 'b'").collect()} == {" pain"}

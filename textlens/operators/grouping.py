@@ -8,6 +8,15 @@ from textlens.functions import text as tx
 from textlens.session import written
 
 # Words that end no group label (fixed values).
+# Temporal phrases that are expanded into their spellings (fixed values).
+TEMPORAL_SEEDS = [
+    "In the past 7 days", "In the last 12 months", "In the past year", "In the last 6 months", "During the past 4 weeks",
+    "During the past 30 days", "Over the past month", "Over the past 2 weeks", "In the past 14 days", "In the past 3 months",
+    "Within the last three months", "Over the past week", "In the past 3 years", "Over the past ten years", "In the last two months",
+    "During the last 365 days", "During the past few weeks", "In the last few days", "Over the past few months", "In the past 90 days",
+    "In the past 12 weeks", "In the last 3 weeks", "In the past 24 hours", "During the last 48 hours", "In the last 8 hours",
+    "since the last visit",
+]
 FUNCTION_WORDS = "a an the of in on at by for to and or with from as is was were are be".split()
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlens.operators import fields, nested
+from textlens.operators import discovery, fields, nested
+from textlens.sources import files
 from textlens.session import table
 
 COLUMNS = ["designations", "definitions", "valueDomain", "stewardOrg", "registrationState", "views", "archived", "created"]
@@ -20,6 +21,28 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.field_texts(items(spark, sf_dir, "designations", "definitions", "valueDomain"))
 
 
+def pattern_lists(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The pattern tables as lists of ``stripping.strip_lists``: substitute, inst_full, inst_sub, phrase."""
+    none, empty = F.array().cast("array<string>"), F.lit("")
+    sub = table(spark, sf_dir, "substitute_patterns").where("pattern is not null").select(F.col("row_id").alias("file_ord"), F.col("pattern").alias("phrase"), "replace_with", files.ids(F.col("tinyIds")).alias("ids"))
+    inst = table(spark, sf_dir, "inst_full_patterns").where("pattern is not null").select(F.col("row_id").alias("file_ord"), F.col("pattern").alias("phrase"), empty.alias("replace_with"), files.ids(F.col("tinyIds")).alias("ids"))
+    parts = discovery.splits(inst.select(F.col("phrase").alias("name")).distinct()).where("sub is not null").select(F.col("name").alias("phrase"), "sub")
+    part = inst.join(parts, "phrase").select("file_ord", F.col("sub").alias("phrase"), "replace_with", "ids")
+    phrases = table(spark, sf_dir, "phrases").where("text is not null").select(F.coalesce("phrase_id", empty).alias("id"), F.col("text").alias("phrase"), F.filter(F.coalesce("distinct_tinyids", none), lambda x: x.isNotNull()).alias("ids"))
+    phrases = phrases.groupBy("id", "phrase").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"), F.min(F.size("ids")).alias("least"))
+    universal = F.when(F.col("least") > 0, F.col("ids")).otherwise(none)  # a row without ids is for all records
+    phrase = phrases.select(F.concat_ws("|", "id", "phrase").alias("file_ord"), "phrase", empty.alias("replace_with"), universal.alias("ids"))
+    return {"substitute": sub, "inst_full": inst, "inst_sub": part, "phrase": phrase}
+
+
+def with_rules(patterns: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """The list and universal rules (phrase, replacement) besides."""
+    kind = dict(patterns.dtypes)["file_ord"]
+    ord_ = [(-1 - i if kind == "bigint" else f"rule {i}", p, r) for i, (p, r) in enumerate(rules)]
+    more = patterns.sparkSession.createDataFrame(ord_, f"file_ord {kind}, phrase string, replace_with string")
+    return patterns.unionByName(more.withColumn("ids", F.array().cast("array<string>")))
+
+
 SQL_ITEMS = """items AS (
   SELECT * FROM cde_item WHERE tinyId IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY tinyId ORDER BY x__v DESC NULLS LAST, loaded_at) = 1)"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textlens.operators import grouping as gr, mining
 from textlens.plans import workflow
-from textlens.plans.corpus import items, texts, with_items, with_texts
+from textlens.plans.corpus import items, pattern_lists, texts, with_items, with_rules, with_texts
 from textlens.sources import files
 from textlens.streaming import terms
 from textlens.session import table
@@ -90,8 +90,10 @@ def _(spark, d):
 
 @query("production_strip")
 def _(spark, d):
-    rules = {"substitute": [("at the time of sampling", "then")], "inst_full": [("As part of the", "")], "inst_sub": [(" battery,", ",")], "temporal": [("since the last visit", ""), ("in the past 7 days", "")], "phrase": [("Indicator of whether", "")]}
-    return workflow.production_strip(rules).run(spark, {"texts": texts(spark, d).select("tinyId", "field_path", "text")})["tables"]["report"]
+    lists = pattern_lists(spark, d)
+    rules = {"substitute": [("at the time of sampling", "then")], "inst_full": [("As part of the", "")], "inst_sub": [(" battery,", ",")], "phrase": [("Indicator of whether", "")]}
+    lists = {stage: with_rules(lists[stage], rules[stage]) for stage in lists}
+    return workflow.production_strip(lists, gr.TEMPORAL_SEEDS).run(spark, {"texts": texts(spark, d).select("tinyId", "field_path", "text")})["tables"]["report"]
 
 
 @query("daily_occurrences", "SELECT date_trunc('day', mined_at) AS window_start, field_path, count(*) AS n FROM occurrences WHERE mined_at IS NOT NULL GROUP BY 1, 2")

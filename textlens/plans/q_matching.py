@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textlens.operators import matching as mt, stripping as st
-from textlens.plans.corpus import texts, with_texts
+from textlens.plans.corpus import pattern_lists, texts, with_rules, with_texts
 from textlens.session import table
 
 QUERIES, ORACLES = {}, {}
@@ -154,15 +154,21 @@ def _(spark, d):
     return st.strip_regex(texts(spark, d), [("REGEX:in the (?:past|previous) \\d+ (?:days|hours)", ""), ("at baseline", ""), ("as part of the", "")]).select("tinyId", "field_path", "stripped", F.array_join("matched", "|").alias("matched"))
 
 
+def _listed(spark, d):
+    lists = pattern_lists(spark, d)
+    lists["substitute"] = with_rules(lists["substitute"], _RULES)
+    return st.strip_lists(texts(spark, d), lists, {"stripped": ("substitute", "inst_full", "inst_sub", "phrase")})
+
+
 @query("clean_text")
 def _(spark, d):
-    stripped = st.strip(texts(spark, d), _rules(spark, _RULES).select("ord", "phrase", "replace_with"))
+    stripped = _listed(spark, d)
     return st.clean(stripped.select("tinyId", "field_path", "stripped"), "stripped")
 
 
 @query("remnant_report")
 def _(spark, d):
-    stripped = st.strip(texts(spark, d), _rules(spark, _RULES).select("ord", "phrase", "replace_with"))
+    stripped = _listed(spark, d)
     return st.remnants(stripped.select("tinyId", "field_path", F.col("stripped").alias("text")))
 
 

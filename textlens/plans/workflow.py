@@ -89,20 +89,26 @@ class Workflow:
         return {"tables": tables, "status": status}
 
 
-def production_strip(patterns: dict[str, list[tuple[str, str]]]) -> Workflow:
-    """texts -> substitution -> seven variants -> clean-up -> report, as one lazy plan."""
+def production_strip(lists: dict[str, DataFrame], seeds: list[str]) -> Workflow:
+    """texts -> substitution -> expanded temporal seeds -> seven variants -> clean-up -> report.
+
+    lists: substitute, inst_full, inst_sub, phrase as ``stripping.strip_lists`` takes them.
+    """
     from pyspark.sql import functions as F
 
-    from textlens.operators import matching, stripping
+    from textlens.operators import matching, patterns, stripping
 
     def substitute(spark, t, v):
-        rules = [(i, p, r) for i, (p, r) in enumerate(patterns.get("substitute", []))]
-        order = stripping.pattern_order(spark.createDataFrame(rules, "file_ord int, phrase string, replace_with string"))
-        out = stripping.strip(t["texts"], order.select("ord", "phrase", "replace_with"))
+        out = stripping.strip_lists(t["texts"], {"substitute": lists["substitute"]}, {"stripped": ("substitute",)})
         return out.drop("text").withColumnRenamed("stripped", "text")
 
+    def expand(spark, t, v):
+        variants = patterns.expand(spark, seeds, ["temporal", "plural", "number", "case"]).select("variant").distinct()
+        return variants.select(F.col("variant").alias("file_ord"), F.col("variant").alias("phrase"), F.lit("").alias("replace_with"), F.array().cast("array<string>").alias("ids"))
+
     def branch(spark, t, v):
-        return stripping.variants(t["substitute"], patterns)
+        stages = {stage: lists[stage] for stage in ("inst_full", "inst_sub", "phrase")} | {"temporal": t["expand_temporal"]}
+        return stripping.strip_lists(t["substitute"], stages, stripping.STAGES)
 
     def cleaned(spark, t, v):
         # long form: one clean-up expression for all variants, small enough for generated code
@@ -113,4 +119,4 @@ def production_strip(patterns: dict[str, list[tuple[str, str]]]) -> Workflow:
         found = F.regexp_count(F.lower("text"), F.lit(matching.TEMPORAL))
         return t["clean"].groupBy("variant").agg(F.sum(found).alias("n_hits"))
 
-    return Workflow("production_strip", [Step("substitute", substitute), Step("branch", branch, materialise=True), Step("clean", cleaned), Step("report", report)])
+    return Workflow("production_strip", [Step("substitute", substitute), Step("expand_temporal", expand), Step("branch", branch, materialise=True), Step("clean", cleaned), Step("report", report)])

@@ -271,3 +271,11 @@ def test_production_strip_reads_the_pattern_tables(spark, small):
     done = {(r.tinyId, r.field_path): r.text for r in tables["substitute"].collect()}
     assert own.phrase not in done[own.ids[0], "a"] and done["nobody", "a"] == f"x {own.phrase} y"
     assert {r.MFSFPT for r in tables["branch"].where("field_path = 'b'").collect()} == {" pain"}
+
+
+def test_mine_phrases_finds_phrases_of_25_tokens(spark, monkeypatch):
+    from textlens.plans import q_mining
+
+    long = " ".join(f"w{i}" for i in range(25))
+    monkeypatch.setattr(q_mining, "texts", lambda spark, d: _simple(spark, [("a", long), ("b", long), ("c", long)]))
+    assert [(r.phrase, r.k, r.freq, r.n_ids) for r in q_mining.QUERIES["mine_phrases"](spark, "").collect()] == [(long, 25, 3, 3)]

@@ -37,7 +37,7 @@ for _k in (3, 5, 8):
 
 @query("mine_phrases")
 def _(spark, d):
-    return mining.mine(texts(spark, d), k_max=12)
+    return mining.mine(texts(spark, d))
 
 
 @query("masked_kmers")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,15 +32,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_fallback: list[str] = []  # the local folder of this process, once one was needed
+_scratch: dict[str, SparkSession] = {}  # tables of ``written()`` that still exist
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir if set, else (tests only) a local one."""
+    """The folder all executors share: spark.checkpoint.dir if set, else (one machine only) a local one.
+
+    The key belongs to the core, so a running session cannot take it; the local folder is remembered here.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        where = "file://" + os.path.join(tempfile.gettempdir(), "textlens-shared")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
+    if where:
+        return where
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _fallback:
+        _fallback.append("file://" + tempfile.mkdtemp(prefix="textlens-"))
+        atexit.register(shutil.rmtree, _fallback[0][7:], ignore_errors=True)
+    return _fallback[0]
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -59,13 +69,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.parquet(path)
     out._written_at = path
+    _scratch[path] = df.sparkSession
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _scratch.pop(path, None)
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete tables of ``written()`` that nothing reads any more, as a loop's last state once the next is written."""
     for df in tables:
         if path := getattr(df, "_written_at", None):
-            jvm = df.sparkSession._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(df.sparkSession, path)
+
+
+def sweep() -> None:
+    """Delete every table of ``written()`` that still exists: once the results of all queries so far have been read."""
+    for path, spark in list(_scratch.items()):
+        _delete(spark, path)

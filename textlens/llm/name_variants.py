@@ -1,60 +1,63 @@
 """Spellings of names typed by people, linked to one entity by merge-and-rematch resolution (problem 1).
 
-A name is read into a profile: the subject it measures, the target group, the edition, and what is left,
-the authors' names; kind of instrument and aspect, connectives and acronyms are set aside. Words are
-recognised in abbreviated and mistyped form. Profiles of equal reading are one; they carry a set of
-author spellings and a set of acronyms (initials).
-
-Resolution runs in rounds. Blocking joins profiles of the same subject, group and edition whose author
-spellings share a deletion variant (up to two letters left out), and, once acronyms have gathered,
-profiles of the same subject, group, edition and acronym. Candidates are verified: two spellings within
-``DISTANCE`` edits (transpositions count one), or ``FAR`` edits if an acronym and the first letter agree
-as well. Matched profiles merge: spellings and acronyms unite, and the richer profiles enter blocking
-again, until a round merges nothing. A block of more than ``CROWDED`` profiles pairs with one of them
-only, as long as that merges; then every block is compared pair by pair, also one that was crowded in an
-earlier round only. Merging is by connected components over profile ids (label
-propagation with pointer jumping, written out between steps), never on the driver.
-
-Co-authors that stand beside very many different names tell nothing; tokens seen in ``COMMON`` contexts
-or more are found by count and left out of the author spelling unless nothing else remains.
-
-Nulls and blank names have no links. Names without a subject or author match equal spellings only (case,
-white space and punctuation aside). Repeated rows count once; very long names are read whole. Empty
-tables give an empty table. Extra columns are not read.
+A name is read into a profile: topic, target group, edition, author spellings, acronyms (initials). Which
+words are idle and which are topics is learned from the names themselves, by ``learn``:
+
+* A word is idle (an aspect, a co-author, a short form of one) if names are seen with and without it, all
+  other words, group and edition being equal: in ``IDLE`` of its contexts or more. Idle words are left out.
+* Of the others, words in ``TOPIC`` of all names or more are topics and must agree; the rest are the telling
+  words, whose joined letters are the spelling that is compared.
+
+Both measures are shares, so a name is read alike at every size of the collection. Mistyped and shortened
+words are read as the nearest known word. Fixed are only words of naming itself: kinds of instrument, target
+groups, edition words and numerals. Profiles of equal reading are one.
+
+Resolution runs in rounds. Blocking joins profiles of the same topic, group and edition whose spellings
+share a deletion variant (up to two letters left out), and, once acronyms have gathered, profiles of the
+same topic, group, edition and acronym. Candidates are verified: two spellings within ``DISTANCE`` edits
+(transpositions count one), or ``FAR`` edits if topic, an acronym and the first letter agree as well.
+Matched profiles merge: spellings and acronyms unite, and the richer profiles enter blocking again, until a
+round merges nothing. Keys depend on single spellings and acronyms, so they are made once; a round relabels
+them. A block of more than ``CROWDED`` profiles pairs with one of them only, as long as that merges; then
+every block is compared pair by pair, also one that was crowded in an earlier round only. Merging is by
+connected components over profile ids (label propagation with pointer jumping, written out between steps),
+never on the driver.
+
+Nulls and blank names have no links. Names whose telling words have fewer than four letters match equal
+spellings only (case, white space and punctuation aside). Repeated rows count once; very long names are read
+whole. Empty tables give an empty table. Extra columns are not read. A collection too small to teach which
+words are idle or topics reads all words as telling; ``Lexicon`` may be given instead.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import defaultdict
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textlens.session import discard, table, written
 
-DISTANCE, FAR, COMMON, MAX_COMMON, CROWDED = 2, 4, 8, 10_000, 64
+DISTANCE, FAR, CROWDED = 2, 4, 64
+# A word is idle from this share of its contexts, a topic from this share of all names; both want some names to judge by.
+IDLE, TOPIC, LEAST_CONTEXTS, LEAST_TOPIC = 0.01, 0.005, 8, 20
+# Words in fewer of the contexts than one in RARE are not judged: that bounds the lexicon the workers get.
+RARE = 5_000
 
-# Words of names and their usual short forms (fixed values).
+# Words of naming and their usual short forms (fixed values).
 KINDS = {
-    "scale": "sc scl", "index": "idx indx", "inventory": "inv invent", "questionnaire": "questionaire quest qnr q'naire",
+    "scale": "sc scl scales", "index": "idx indx", "inventory": "inv invent", "questionnaire": "questionaire quest qnr q'naire",
     "survey": "srv survy", "interview": "interv intvw", "checklist": "chklist check_list", "battery": "batt bttry",
-    "schedule": "sched schd", "form": "frm rf ratingform", "rating": "rtg", "tool": "", "test": "", "measure": "", "instrument": "",
+    "schedule": "sched schd", "form": "frm rf ratingform", "rating": "rtg", "tool": "", "test": "tests", "measure": "measures", "instrument": "", "assessment": "assess",
 }
 GROUPS = {
-    "adolescent": "adolescents adol teen teens youth youths", "child": "children childs childrens paediatric pediatric kids",
-    "adult": "adults adlt adlts", "teacher": "teachers tchr", "caregiver": "caregivers carer carers care_giver", "clinician": "clinicians clin",
+    "adolescent": "adolescents adol teen teens teenager teenagers youth youths", "child": "children childs childrens paediatric pediatric kids", "infant": "infants baby babies",
+    "adult": "adults adlt adlts", "elderly": "geriatric seniors", "teacher": "teachers tchr", "parent": "parents", "caregiver": "caregivers carer carers care_giver", "clinician": "clinicians clin",
+    "student": "students", "patient": "patients", "nurse": "nurses",
 }
-ASPECTS = {
-    "awareness": "aware", "recovery": "recov", "disturbance": "disturb", "burden": "burdn", "limitation": "limit", "experience": "exper",
-    "impact": "impct", "interference": "interf", "symptom": "symptoms sx", "severity": "sev", "quality": "qual",
-    "function": "functioning func", "perception": "percep", "behaviour": "behavior behav",
-}
-SUBJECTS = (
-    "anger anxiety appetite attention autonomy balance breathing comfort coping craving dexterity dignity exertion fatigue hearing hygiene insight isolation "
-    "itching loneliness memory mobility mood nausea numbness nutrition pain posture recall resilience sadness sleep spasticity speech stress swallowing tremor "
-    "vertigo vision worry"
-).split()
 ORDINALS = {"first": 1, "second": 2, "third": 3, "fourth": 4, "fifth": 5, "sixth": 6, "1st": 1, "2nd": 2, "3rd": 3, "4th": 4, "5th": 5, "6th": 6}
 ROMAN = {"i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6}
 EDITION_WORDS = set("ed edition version ver v edn rev vers".split())
@@ -89,58 +92,48 @@ def edits(a: str, b: str, most: int) -> int:
     return min(last[m], far)
 
 
+def _known(kinds: dict, groups: dict) -> dict[str, tuple[str, str]]:
+    out = {}
+    for role, entries in (("kind", kinds), ("group", groups)):
+        for word, short in entries.items():
+            for w in (word, *short.split()):
+                out[w.replace("_", " ")] = role, word
+    return out
+
+
 class Reader:
-    """Reads names with a lexicon: kinds, groups, aspects (word -> short forms) and subjects."""
-
-    def __init__(self, kinds=None, groups=None, aspects=None, subjects=None):
-        self.words: dict[str, tuple[str, str]] = {}
-        for role, entries in (("kind", kinds or KINDS), ("group", groups or GROUPS), ("aspect", aspects or ASPECTS), ("subject", {s: "" for s in subjects or SUBJECTS})):
-            for word, short in entries.items():
-                for w in (word, *short.split()):
-                    self.words[w.replace("_", " ")] = role, word
-        self.long = [(w, v) for w, v in self.words.items() if len(w) >= 4 and " " not in w]
-        self.seen: dict[str, tuple[str, str] | None] = {}
+    """Reads a name's words, group, edition and acronyms; kinds and groups in a usual form are set aside."""
 
-    def role(self, w: str) -> tuple[str, str] | None:
-        if w in self.words:
-            return self.words[w]
-        if w not in self.seen:
-            best = None
-            if len(w) >= 4:
-                for known, v in self.long:
-                    most = 1 if len(known) < 8 else 2
-                    if (len(w) > 4 or len(known) > 4) and (d := edits(w, known, most)) <= most and (best is None or d < best[0]):
-                        best = d, v
-            self.seen[w] = best and best[1]
-        return self.seen[w]
+    def __init__(self, kinds: dict | None = None, groups: dict | None = None):
+        self.words = _known(kinds or KINDS, groups or GROUPS)
 
     def read(self, name: str | None, acronym: str | None = None) -> dict:
-        """subject, group, edition, others (author tokens in order), acronyms, plain (for equality)."""
-        s = unicodedata.normalize("NFKC", name or "").replace("’", "'").replace("­", "").lower().strip()
+        """words (in order), grp, edition, acronyms, plain (for equality)."""
+        s = unicodedata.normalize("NFKC", name or "").replace("’", "'").replace("\u00ad", "").lower().strip()
         acronyms = set()
         if acronym and (letters := re.sub(r"[^a-z]", "", acronym.lower().split("-")[0])):
             acronyms.add(letters)
         s = re.sub(r"'s\b", "", s).replace("s' ", "s ")
         plain = " ".join(re.findall(r"[^\W_]+", s))
         if m := re.match(r"^([a-z]{2,8})((?:[ -](?:v\.? ?\d|\d\w*(?: ed(?:ition)?\.?)?|[ivx]+|version \d|\w+ edition))?)\s+(?:[-–—/:]|by)\s+", s):
-            if not self.role(m[1]) and len(m[1]) <= 7:
+            if m[1] not in self.words and len(m[1]) <= 7:
                 acronyms.add(m[1])
                 s = m[2] + " " + s[m.end() :]
         if m := re.search(r"\(([a-z]{2,8})(?:-(?:i{1,4}|iv|v|vi|\d))?\)\s*$", s):
-            if not self.role(m[1]) and len(m[1]) <= 7 and re.search(r"[^\W_]{3}", s[: m.start()]) and (m[1] in acronyms or "-" in m[0] or len(m[1]) <= 6):
+            if m[1] not in self.words and len(m[1]) <= 7 and re.search(r"[^\W_]{3}", s[: m.start()]) and (m[1] in acronyms or "-" in m[0] or len(m[1]) <= 6):
                 acronyms.add(m[1])
                 s = s[: m.start()]
-        words = re.findall(r"q'naire|[^\W\d_]+|\d+(?:st|nd|rd|th)?", s)
-        subjects, groups, others, edition, i = [], [], [], None, 0
-        while i < len(words):
-            w, two = words[i], " ".join(words[i : i + 2])
+        found = re.findall(r"q'naire|[^\W\d_]+|\d+(?:st|nd|rd|th)?", s)
+        words, groups, edition, i = [], [], None, 0
+        while i < len(found):
+            w, two = found[i], " ".join(found[i : i + 2])
             i += 1
             if " " in two and two in self.words:
-                found, i = self.words[two], i + 1
+                role, i = self.words[two], i + 1
             elif w in ORDINALS or w.isdigit():
-                edition = ORDINALS.get(w) or int(w)
+                edition = ORDINALS.get(w) or int(w[:9])
                 continue
-            elif w == "v" and i < len(words) and words[i].isdigit():
+            elif w == "v" and i < len(found) and found[i].isdigit():
                 continue
             elif w in ROMAN:
                 edition = ROMAN[w]
@@ -148,23 +141,79 @@ class Reader:
             elif w in EDITION_WORDS or w in CONNECTIVES:
                 continue
             else:
-                found = self.role(w)
-            if found is None:
+                role = self.words.get(w)
+            if role is None:
                 if w not in acronyms:
-                    others.append(w)
-            elif found[0] == "subject":
-                subjects.append(found[1])
-            elif found[0] == "group":
-                groups.append(found[1])
-        return {"subject": subjects[0] if subjects else None, "grp": groups[0] if groups else "", "edition": edition or 0, "others": others, "acronyms": sorted(acronyms), "plain": plain}
+                    words.append(w)
+            elif role[0] == "group":
+                groups.append(role[1])
+        return {"words": words, "grp": groups[0] if groups else "", "edition": edition or 0, "acronyms": sorted(acronyms), "plain": plain}
+
+
+@dataclass(frozen=True)
+class Lexicon:
+    """What the names taught: topics must agree, idle words tell nothing."""
+
+    topics: frozenset[str] = frozenset()
+    idle: frozenset[str] = frozenset()
+    short: tuple[tuple[str, str], ...] = ()  # (short form, topic)
+
+
+class Speller:
+    """Reads words with a lexicon: exact, as the nearest known word, or as a shortened one."""
+
+    def __init__(self, lexicon: Lexicon, kinds: dict | None = None, groups: dict | None = None):
+        self.words = {w: ("idle", w) for w in lexicon.idle} | {w: ("topic", w) for w in lexicon.topics} | _known(kinds or KINDS, groups or GROUPS)
+        self.words |= {w: ("topic", t) for w, t in lexicon.short}
+        self.near: dict[str, list[str]] = defaultdict(list)
+        self.heads: dict[str, list[str]] = defaultdict(list)
+        for w in sorted(self.words):
+            if len(w) >= 4 and " " not in w:
+                for k in self._cuts(w):
+                    self.near[k].append(w)
+                for n in range(4, len(w) - 1 if self.words[w][0] != "topic" else 0):  # half of a name may begin like a topic
+                    self.heads[w[:n]].append(w)
+        self.seen: dict[str, tuple[str, str] | None] = {}
 
+    @staticmethod
+    def _cuts(w: str) -> set[str]:
+        out, level = {w}, {w}
+        for _ in range(1 if len(w) < 7 else 2):
+            level = {x[:i] + x[i + 1 :] for x in level for i in range(len(x))}
+            out |= level
+        return out
 
-def author(others: list[str], common: frozenset[str]) -> str:
-    """The telling author spelling: tokens joined (a name may be split), without common co-authors."""
-    rest = [w for w in others if w not in common and not any(len(w) >= 5 and edits(w, c, 1) <= 1 for c in common)]
-    if sum(map(len, rest)) < 4:
-        rest = sorted(others)
-    return sound("".join(rest))
+    def role(self, w: str) -> tuple[str, str] | None:
+        if w in self.words:
+            return self.words[w]
+        if w not in self.seen:
+            best = None
+            if 4 <= len(w) <= 40:
+                for known in {k for c in self._cuts(w) for k in self.near.get(c, ())}:
+                    most = 1 if len(known) < 8 else 2
+                    if (len(w) > 4 or len(known) > 4) and (d := edits(w, known, most)) <= most and (best is None or (d, known) < best):
+                        best = d, known
+                if best is None and len({self.words[k] if self.words[k][0] != "idle" else "idle" for k in self.heads.get(w, ())}) == 1:
+                    best = 0, self.heads[w][0]
+            self.seen[w] = best and self.words[best[1]]
+        return self.seen[w]
+
+    def settle(self, words: list[str], grp: str) -> tuple[str, str, list[str]]:
+        """(topic, group, spellings of the telling words: in order and, if that differs, in alphabetical order)."""
+        topics, telling, idle = set(), [], []
+        for w in words:
+            role = self.role(w)
+            if role is None:
+                telling.append(w)
+            elif role[0] == "topic":
+                topics.add(role[1])
+            elif role[0] == "idle":
+                idle.append(w)
+            elif role[0] == "group":
+                grp = grp or role[1]
+        if sum(map(len, telling)) < 4:
+            telling += sorted(idle)
+        return " ".join(sorted(topics)), grp, list(dict.fromkeys(sound("".join(t)) for t in (telling, sorted(telling))))
 
 
 def sound(s: str) -> str:
@@ -194,14 +243,14 @@ def deletions(s: str) -> set[str]:
         keys = set()
     out = {s}
     level = {s}
-    for _ in range(DISTANCE if len(s) >= 5 else 1):
+    for _ in range(DISTANCE if len(s) >= 6 else 1):  # shorter ones match within one edit
         level = {w[:i] + w[i + 1 :] for w in level for i in range(len(w))}
         out |= level
     return out | keys
 
 
-def same(a_names, b_names, a_acronyms, b_acronyms) -> bool:
-    shared = any(x in set(b_acronyms) for x in a_acronyms if len(x) >= 3)
+def same(a_names, b_names, a_acronyms, b_acronyms, topic: str) -> bool:
+    shared = bool(topic) and any(x in set(b_acronyms) for x in a_acronyms if len(x) >= 3)
     for x in a_names:
         for y in b_names:
             near = DISTANCE if min(len(x), len(y)) >= 6 else 1
@@ -212,31 +261,56 @@ def same(a_names, b_names, a_acronyms, b_acronyms) -> bool:
     return False
 
 
-def profiles(names: DataFrame, reader: Reader | None = None) -> DataFrame:
-    """(id, pid, subject, grp, edition, names, acronyms) from rows (id, name, acronym)."""
-    reader = reader or Reader()
+def learn(parsed: DataFrame) -> Lexicon:
+    """The lexicon of names read by ``Reader`` (columns words, grp, edition), from counts over all of them.
 
-    @F.pandas_udf("struct<subject:string,grp:string,edition:int,others:array<string>,acronyms:array<string>,plain:string>")
+    The words returned are bounded by RARE and 1 / TOPIC times the words of a name, whatever the number of names.
+    """
+    read = parsed.select(F.array_sort(F.array_distinct("words")).alias("t"), "grp", "edition").where("size(t) > 0").distinct()
+    place = lambda t: F.xxhash64(F.concat_ws(" ", t), "grp", "edition")
+    seen = read.select(place(F.col("t")).alias("place")).distinct()
+    total = read.count()
+    each = read.withColumn("w", F.explode("t")).where("length(w) >= 2")
+    contexts = each.where("size(t) > 1").select("w", place(F.array_remove("t", F.col("w"))).alias("place")).distinct()
+    judged = contexts.join(seen.withColumn("without", F.lit(1)), "place", "left").groupBy("w").agg(F.count("*").alias("n"), F.sum("without").alias("k"))
+    known = {r.w: (r.n, r.k or 0) for r in judged.where(F.col("n") >= max(LEAST_CONTEXTS, total / RARE)).collect()}
+    idle = {w for w, (n, k) in known.items() if k >= IDLE * n}
+    often = each.where("length(w) >= 4").groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= max(LEAST_TOPIC, TOPIC * total))
+    topics = {r.w for r in often.select("w").collect()} - idle
+    heads = lambda w, words: min((v for v in words if len(v) > len(w) + 1 and v.startswith(w)), default=None)
+    cut = {w for w in {*topics, *known} - idle if len(w) >= 4 and heads(w, idle)}
+    topics -= cut
+    short = {w: t for w in {*topics, *known} - idle - cut if len(w) >= 4 and (t := heads(w, topics))}
+    return Lexicon(frozenset(topics - short.keys()), frozenset(idle | cut), tuple(sorted(short.items())))
+
+
+def profiles(names: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
+    """(id, pid, topic, grp, edition, spellings, acronyms) from rows (id, name, acronym); the lexicon is learned if not given."""
+    reader = Reader()
+
+    @F.pandas_udf("struct<words:array<string>,grp:string,edition:int,acronyms:array<string>,plain:string>")
     def read(name: pd.Series, acronym: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([reader.read(n, a) for n, a in zip(name, acronym)], columns=["subject", "grp", "edition", "others", "acronyms", "plain"])
+        return pd.DataFrame([reader.read(n, a) for n, a in zip(name, acronym)], columns=["words", "grp", "edition", "acronyms", "plain"])
 
     texts = names.select("name", F.coalesce("acronym", F.lit("")).alias("acronym")).where("name is not null").distinct()
-    parsed = written(texts.select("name", "acronym", read("name", "acronym").alias("r")).select("name", "acronym", "r.*"), "names-read").where("plain <> ''")  # read once, not under the filter as well
-    contexts = parsed.where("subject is not null").select(F.explode("others").alias("w"), "subject", "grp", "edition").where("length(w) >= 5").distinct()
-    common = frozenset(r.w for r in contexts.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).orderBy(F.desc("n"), "w").limit(MAX_COMMON).collect())
-
-    @F.pandas_udf("string")
-    def spelled(others: pd.Series) -> pd.Series:
-        return others.map(lambda o: author(list(o), common))
-
-    named = parsed.withColumn("author", spelled("others"))
-    told = F.col("subject").isNotNull() & (F.length("author") >= 4)
-    identity = F.md5(F.when(told, F.concat_ws("|", F.lit("p"), "subject", "grp", "edition", "author")).otherwise(F.concat_ws("|", F.lit("t"), "plain")))
-    with_pid = named.select(
-        "name", "acronym", identity.alias("pid"), F.when(told, F.col("subject")).alias("subject"), "grp", "edition", F.when(told, F.col("author")).alias("author"), "acronyms"
-    )
+    written_ = written(texts.select("name", "acronym", read("name", "acronym").alias("r")).select("name", "acronym", "r.*"), "names-read")
+    parsed = written_.where("plain <> ''")  # read once, not under the filter as well
+    known, speller = lexicon or learn(parsed), {}
+
+    @F.pandas_udf("struct<topic:string,grp:string,spellings:array<string>>")
+    def settled(words: pd.Series, grp: pd.Series) -> pd.DataFrame:
+        if not speller:  # once for each task
+            speller[0] = Speller(known)
+        return pd.DataFrame([speller[0].settle(list(w), g) for w, g in zip(words, grp)], columns=["topic", "grp", "spellings"])
+
+    named = parsed.withColumn("s", settled("words", "grp")).select("name", "acronym", "edition", "acronyms", "plain", "s.*")
+    told = F.length(F.get("spellings", F.lit(0))) >= 4
+    identity = F.md5(F.when(told, F.concat_ws("|", F.lit("p"), "topic", "grp", "edition", F.get("spellings", F.lit(0)))).otherwise(F.concat_ws("|", F.lit("t"), "plain")))
+    with_pid = named.select("name", "acronym", identity.alias("pid"), "topic", "grp", "edition", F.when(told, F.col("spellings")).alias("spellings"), "acronyms")
     ids = names.where("name is not null").select("id", "name", F.coalesce("acronym", F.lit("")).alias("acronym"))
-    return ids.join(with_pid, ["name", "acronym"]).select("id", "pid", "subject", "grp", "edition", "author", "acronyms")
+    out = written(ids.join(with_pid, ["name", "acronym"]).select("id", "pid", "topic", "grp", "edition", "spellings", "acronyms"), "name-profiles")
+    discard(written_)
+    return out
 
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -252,45 +326,51 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         last, labels = new, new.select("pid", "root")
         if new.where("root <> old").isEmpty():
             discard(both)
+            labels._written_at = new._written_at
             return labels
 
 
-def resolve(members: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(id, entity) from ``profiles`` rows, by rounds of blocking, matching and merging."""
-    current = written(
-        members.groupBy("pid").agg(
-            F.first("subject").alias("subject"), F.first("grp").alias("grp"), F.first("edition").alias("edition"),
-            F.array_sort(F.collect_set("author")).alias("names"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("acronyms")))).alias("acronyms"),
-        ).withColumn("fresh", F.lit(True)), "profiles",
-    )
-    owner = members.select("id", "pid").distinct()
+def resolve(members: DataFrame) -> DataFrame:
+    """(id, entity) from ``profiles`` rows, by rounds of blocking, matching and merging until a round merges nothing."""
+    unite = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c))))
+    first = members.groupBy("pid").agg(F.first("topic").alias("topic"), F.first("grp").alias("grp"), F.first("edition").alias("edition"), unite("spellings").alias("names"), unite("acronyms").alias("acronyms"))
+    current = written(first.withColumn("fresh", F.lit(True)), "profiles")
 
     @F.pandas_udf("array<string>")
     def keys(names: pd.Series, acronyms: pd.Series) -> pd.Series:
         return pd.Series([sorted(set().union(*map(deletions, n)) | {f"({a})" for a in acs if len(a) >= 3}) for n, acs in zip(names, acronyms)])
 
     @F.pandas_udf("boolean")
-    def match(a: pd.Series, b: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([same(*row) for row in zip(a, b, x, y)])
+    def match(a: pd.Series, b: pd.Series, x: pd.Series, y: pd.Series, topic: pd.Series) -> pd.Series:
+        return pd.Series([same(*row) for row in zip(a, b, x, y, topic)])
+
+    told = current.where("size(names) > 0")
+    made = told.select("pid", F.struct("topic", "grp", "edition").alias("block"), F.explode(keys("names", "acronyms")).alias("k")).select("pid", F.xxhash64("block", "k").alias("key"))
+    # a key of one profile only never joins anything, in any round
+    shared = made.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    made = written(made, "keys")
+    held = written(made.join(shared, "key", "left_semi"), "keys")
+    discard(made)
+    owner = written(current.select("pid", F.col("pid").alias("now")), "owners")
 
     hot_left, owed = False, False  # owed: a crowded block met its hub only, and no pass over all pairs came since
-    for _ in range(most_rounds):
-        told = current.where("subject is not null")
-        blocks = told.select("pid", "fresh", F.xxhash64("subject", "grp", "edition").alias("block"), F.explode(keys("names", "acronyms")).alias("key"))
-        blocks = written(blocks.select("pid", "fresh", F.xxhash64("block", "key").alias("key")), "blocks")
-        size = blocks.groupBy("key").agg(F.count("*").alias("c"), F.min("pid").alias("hub")).where("c > 1")
+    while True:
+        state = current.select(F.col("pid").alias("now"), "fresh")
+        blocks = written(held.join(owner, "pid").join(state, "now").select("now", "fresh", "key").distinct(), "blocks")
+        size = blocks.groupBy("key").agg(F.count("*").alias("c"), F.min("now").alias("hub"), F.max("fresh").alias("moved")).where("c > 1" if hot_left else "c > 1 and moved")
         x = blocks.join(size, "key")
         if not hot_left:  # a crowded block first meets its hub only; what merges with it leaves the block
-            x = x.where((F.col("c") <= CROWDED) | (F.col("pid") == F.col("hub")))
+            x = x.where((F.col("c") <= CROWDED) | (F.col("now") == F.col("hub")))
         x, y = x.alias("x"), blocks.alias("y")
         new = "" if hot_left else "and (x.fresh or y.fresh)"
-        pairs = x.join(y, F.expr(f"x.key = y.key and x.pid < y.pid {new}")).select(F.col("x.pid").alias("a"), F.col("y.pid").alias("b")).distinct()
-        sides = [told.select(F.col("pid").alias(c), F.struct("subject", "grp", "edition").alias(f"{c}_is"), F.col("names").alias(f"{c}_names"), F.col("acronyms").alias(f"{c}_acr")) for c in "ab"]
-        checked = pairs.join(sides[0], "a").join(sides[1], "b").where("a_is = b_is").where(match("a_names", "b_names", "a_acr", "b_acr"))
+        pairs = x.join(y, F.expr(f"x.key = y.key and x.now < y.now {new}")).select(F.col("x.now").alias("a"), F.col("y.now").alias("b")).distinct()
+        sides = [current.select(F.col("pid").alias(c), F.struct("topic", "grp", "edition").alias(f"{c}_is"), F.col("names").alias(f"{c}_names"), F.col("acronyms").alias(f"{c}_acr")) for c in "ab"]
+        checked = pairs.join(sides[0], "a").join(sides[1], "b").where("a_is = b_is").where(match("a_names", "b_names", "a_acr", "b_acr", "a_is.topic"))
         edges = written(checked.select("a", "b"), "matches")
         owed = not hot_left and (owed or not size.where(F.col("c") > CROWDED).isEmpty())
         discard(blocks)
         if edges.isEmpty():
+            discard(edges)
             if not owed:
                 break
             hot_left = True  # hubs have nothing left to merge: what was crowded once goes pair by pair
@@ -298,18 +378,16 @@ def resolve(members: DataFrame, most_rounds: int = 50) -> DataFrame:
         hot_left = False
         linked = edges.select(F.col("a").alias("pid")).unionByName(edges.select(F.col("b").alias("pid"))).distinct()
         roots = components(edges, linked)
-        rooted = lambda df: df.join(roots, "pid", "left").withColumn("root", F.coalesce("root", "pid"))
-        merged = rooted(current).groupBy("root").agg(
-            F.first("subject").alias("subject"), F.first("grp").alias("grp"), F.first("edition").alias("edition"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("names")))).alias("names"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("acronyms")))).alias("acronyms"), (F.count("*") > 1).alias("fresh"),
+        rooted = lambda df, c: df.join(roots.withColumnRenamed("pid", c), c, "left").withColumn("root", F.coalesce("root", c))
+        merged = rooted(current, "pid").groupBy("root").agg(
+            F.first("topic").alias("topic"), F.first("grp").alias("grp"), F.first("edition").alias("edition"), unite("names").alias("names"), unite("acronyms").alias("acronyms"), (F.count("*") > 1).alias("fresh"),
         )
-        before, current = current, written(merged.withColumnRenamed("root", "pid"), "profiles")
-        discard(before)
-        owner = written(rooted(owner).select("id", F.col("root").alias("pid")), "owners")
-    else:
-        raise ValueError(f"names still merge after {most_rounds} rounds")
-    return owner.select("id", F.col("pid").alias("entity"))
+        before = current, owner, edges, roots
+        current = written(merged.withColumnRenamed("root", "pid"), "profiles")
+        owner = written(rooted(owner, "now").select("pid", F.col("root").alias("now")), "owners")
+        discard(*before)
+    discard(held, current)
+    return members.select("id", "pid").distinct().join(owner, "pid").select("id", F.col("now").alias("entity"))
 
 
 def instrument_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,7 +397,7 @@ def instrument_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve(written(profiles(instrument_names(spark, sf_dir)), "name-profiles"))
+    return resolve(profiles(instrument_names(spark, sf_dir)))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

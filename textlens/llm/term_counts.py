@@ -2,9 +2,13 @@
 
 A change set gives, for the records that were added, changed or deleted, their rows before and after
 (before is empty for added records, after for deleted ones). Only these rows are aggregated: first to
-the pairs (record, term), then to one signed row per term, ``d_occurrences`` and ``d_records``. For
-change sets that only add rows ``signed_deltas`` needs no rows of before. Deltas merge into counts by addition, so they come in any order and number, and ``TermStore`` keeps the counts
-as a table partitioned by term bucket of which a delta rewrites only the buckets it touches.
+the pairs (record, term), then to one signed row per term, ``d_occurrences`` and ``d_records``
+(``signed_delta``). For a change set that only adds rows, ``added`` takes as rows of before just those with
+a pair (record, term) of the new rows, since no other can change what the delta holds.
+
+``TermStore`` keeps the counts in a folder, partitioned by term bucket. A delta reads and rewrites the
+buckets it touches and no others; a manifest names the current files of each bucket and is replaced last,
+so a lost job leaves the state before it, and the next process finds the state after it.
 
 Rows equal in record, term and the given place columns count once (re-delivered rows). Rows with a null
 record or text, and texts without any letter or digit at all (empty after cleaning), do not count.
@@ -14,11 +18,12 @@ is combined map-side before each shuffle.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from textlens.session import table
+from textlens.session import discard, shared_dir, table, written
 
 COUNTS = "term string, n_occurrences bigint, n_records bigint"
 
@@ -47,20 +52,21 @@ def signed_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def signed_deltas(rows: DataFrame, change_sets: int) -> DataFrame:
-    """(change_set, term, d_occurrences, d_records) of change sets that only add rows, in one aggregation.
-
-    rows: those of ``term_rows`` with a column change_set from 0. What a record held before a change set
-    is known from the same pair (record, term), so no earlier state is read again: a pair adds to the
-    records of a term in the first change set that holds it, and a place to its occurrences likewise.
-    """
-    places = rows.groupBy("record", "term", "place").agg(F.min("change_set").alias("change_set"))
-    new = [F.count(F.when(F.col("change_set") == k, 1)).alias(f"n{k}") for k in range(change_sets)]
-    pairs = places.groupBy("record", "term").agg(F.min("change_set").alias("first"), *new)
-    sums = [F.sum(f"n{k}").alias(f"o{k}") for k in range(change_sets)] + [F.count(F.when(F.col("first") == k, 1)).alias(f"r{k}") for k in range(change_sets)]
-    terms = pairs.groupBy("term").agg(*sums)
-    each = F.array(*[F.struct(F.lit(k).alias("change_set"), F.col(f"o{k}").alias("d_occurrences"), F.col(f"r{k}").alias("d_records")) for k in range(change_sets)])
-    return terms.select("term", F.explode(each).alias("d")).select("d.change_set", "term", "d.d_occurrences", "d.d_records").where("d_occurrences <> 0 or d_records <> 0")
+def added(held: DataFrame | None, new: DataFrame) -> DataFrame:
+    """(term, d_occurrences, d_records) of new rows beside the rows held; both from ``term_rows``."""
+    if held is None:
+        places = new.select("record", "term", "place").distinct()
+        pairs = places.groupBy("record", "term").agg(F.count("*").alias("n"))
+        return pairs.groupBy("term").agg(F.sum("n").alias("d_occurrences"), F.count("*").alias("d_records"))
+    new = new.select("record", "term", "place")
+    before = held.select("record", "term", "place").join(new.select("record", "term").distinct(), ["record", "term"], "left_semi")
+    places = before.withColumn("was", F.lit(1)).unionByName(new.withColumn("was", F.lit(0))).groupBy("record", "term", "place").agg(F.max("was").alias("was"))
+    pairs = places.groupBy("record", "term").agg(F.sum("was").alias("was"), F.count("*").alias("is"))
+    return (
+        pairs.groupBy("term")
+        .agg(F.sum(F.col("is") - F.col("was")).alias("d_occurrences"), F.sum(F.expr("int(was = 0)")).cast("bigint").alias("d_records"))
+        .where("d_occurrences <> 0 or d_records <> 0")
+    )
 
 
 def merge(counts: DataFrame | None, *deltas: DataFrame) -> DataFrame:
@@ -78,35 +84,85 @@ def marked(counts: DataFrame, total_records: int, rare: int = 2, common: float =
 
 
 class TermStore:
-    """Counts in a folder, partitioned by term bucket; versions are written aside and switched by name."""
+    """Counts in a folder, partitioned by term bucket.
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
-        self.version: str | None = None
+    ``buckets`` is fixed when the store is made (terms are spread by hash, so none is hot); choose it so that
+    a bucket fits a task.
+    """
 
-    def read(self) -> DataFrame:
-        if self.version is None:
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 32):
+        self.spark, self.path = spark, path.rstrip("/")
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        self._at = lambda *parts: hadoop.Path("/".join([self.path, *parts]))
+        self._fs = self._at().getFileSystem(spark._jsc.hadoopConfiguration())
+        self.buckets = self._manifest().get("buckets", buckets)
+
+    def _manifest(self) -> dict:
+        found = []
+        if self._fs.exists(self._at("manifests")):
+            found = sorted(f.getPath().getName() for f in self._fs.listStatus(self._at("manifests")))
+        if not found:
+            return {}
+        return json.loads("".join(r.value for r in self.spark.read.text(f"{self.path}/manifests/{found[-1]}").collect()))
+
+    def files(self) -> dict[int, str]:
+        """The current folder of each bucket that has terms, below the store's path."""
+        return {int(b): f for b, f in self._manifest().get("files", {}).items()}
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], COUNTS)
-        return self.spark.read.parquet(self.version).select("term", "n_occurrences", "n_records")
+        return self.spark.read.schema(COUNTS).parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def read(self) -> DataFrame:
+        return self._read(list(self.files().values()))
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("term"), F.lit(self.buckets)).cast("int")
 
     def apply(self, delta: DataFrame) -> None:
-        bucketed = lambda df: df.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(self.buckets)).cast("int"))
-        target = f"{self.path}/v-{uuid.uuid4().hex}"
-        merged = bucketed(merge(self.read(), delta))
-        merged.repartition("bucket").write.partitionBy("bucket").parquet(target)
-        self.version = target
+        """Merge a signed delta; only the buckets of its terms are read and written."""
+        delta = written(delta.select("term", "d_occurrences", "d_records"), "delta")
+        touched = [r.b for r in delta.select(self._bucket().alias("b")).distinct().collect()]  # at most one row a bucket
+        if not touched:
+            discard(delta)
+            return
+        state, files = self._manifest(), self.files()
+        version, name = state.get("version", 0) + 1, f"v{state.get('version', 0) + 1:09}-{uuid.uuid4().hex[:8]}"
+        merged = merge(self._read([files[b] for b in touched if b in files]), delta).withColumn("bucket", self._bucket())
+        merged.repartition(min(len(touched), self.buckets), "bucket").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{self.path}/{name}")
+        made = {int(f.getPath().getName().split("=")[1]) for f in self._fs.listStatus(self._at(name)) if f.isDirectory()}
+        old = [files.pop(b) for b in touched if b in files]
+        files |= {b: f"{name}/bucket={b}" for b in made}
+        self._publish({"version": version, "buckets": self.buckets, "files": files})
+        for f in old:  # nobody who reads the manifest from now on needs these
+            self._fs.delete(self._at(f), True)
+        discard(delta)
+
+    def _publish(self, state: dict) -> None:
+        hidden, name = self._at("manifests", f".{uuid.uuid4().hex}"), f"{state['version']:09}.json"
+        out = self._fs.create(hidden, True)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        if not self._fs.rename(hidden, self._at("manifests", name)):
+            raise OSError(f"another writer published {name}")
+        for f in self._fs.listStatus(self._at("manifests")):
+            if f.getPath().getName() != name and not f.getPath().getName().startswith("."):
+                self._fs.delete(f.getPath(), False)
 
 
 PLACE = ["phrase_id", "field_path", "token_start", "token_end"]
 
 
 def occurrence_counts(spark: SparkSession, sf_dir: str, late_days: int = 7) -> tuple[DataFrame, int]:
-    """Counts of occurrences.verbatim_text in two change sets: the rows on time, then the late ones."""
+    """Counts of occurrences.verbatim_text from a store that takes two change sets: the rows on time, then the late ones."""
     occ = table(spark, sf_dir, "occurrences")
     late = F.coalesce(F.col("loaded_at") > F.col("mined_at") + F.expr(f"INTERVAL {late_days} DAYS"), F.lit(False))
-    rows = term_rows(occ.withColumn("change_set", late.cast("int")), "tinyId", "verbatim_text", PLACE, "change_set")
-    total = occ.select("tinyId").where("tinyId is not null").distinct().count()
-    return merge(None, signed_deltas(rows, 2)), total
+    on_time, after = (term_rows(occ.where(w), "tinyId", "verbatim_text", PLACE) for w in (~late, late))
+    store = TermStore(spark, f"{shared_dir(spark)}/term-counts-{uuid.uuid4().hex}")
+    store.apply(added(None, on_time))
+    store.apply(added(on_time, after))
+    return store.read(), occ.select("tinyId").where("tinyId is not null").distinct().count()
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

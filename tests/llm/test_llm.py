@@ -271,22 +271,49 @@ def test_terms_on_awkward_tables(spark):
     ],
 )
 def test_elements(text, want):
-    assert mk.elements([t for t, _ in mk.lex(text)]) == want
+    assert _read(text) == want
+
+
+def _read(text, *others):
+    """Elements of a text in a host that has the other texts too."""
+    streams = [[t for t, _ in mk.lex(x)] for x in (text, *others)]
+    made = mk.wrap(streams[0])
+    for s in streams[1:]:
+        made = mk.align(made, mk.wrap(s))
+    return mk.elements(mk.read(mk.compiled(made), streams[0]))
+
+
+def test_the_hosts_wrapper_gives_a_sign_its_meaning():
+    one, many, heading = "See below.\n# Only one", "Rate it.\n# None\n# Some\n# Much", "# Scope\n\nOne line."
+    assert _read(many) == ["list"] and _read(heading) == ["heading"]
+    assert _read(one) == ["heading"] and _read(one, heading) == ["heading"] and _read(one, many) == ["list"] and _read(heading, many) == ["heading"]
+    first = "- Yes\n- No"
+    assert _read("- only") == [] and _read("- only", "Pick:\n- a\n- b") == [] and _read("- only", first) == ["list"] and _read(first) == ["list"]
+    assert mk.clean(one) == "See below.\n\n# Only one" and mk.clean(one, mk.align(mk.wrap([t for t, _ in mk.lex(one)]), mk.wrap([t for t, _ in mk.lex(many)]))) == "See below.\n\n- Only one"
+    assert mk.clean("- only") == "- only"
+
+
+def test_streams_that_no_wrapper_has_seen_are_read(spark):
+    auto = mk.compiled(mk.wrap(["p", "#", "/p"]))
+    assert mk.elements(mk.read(auto, ["h", "#", "/h", "item", "#"])) == ["heading", "list"]
+    long = ["bullet", "#"] + [x for i in range(600) for x in (f"t{i}", "#")]
+    assert mk.elements(mk.read(auto, ["#", "hashrun", "#", "hashrun", "#"])) == ["list"] and mk.elements(mk.read(auto, long)) == ["other"]
 
 
 def test_wrapper_accepts_every_stream_it_was_made_from():
     rnd = random.Random(7)
-    streams = [[rnd.choice(["h", "/h", "#", "item", "list", "/list", "b"]) for _ in range(rnd.randint(1, 12))] for _ in range(150)]
+    streams = [[rnd.choice(["h", "/h", "#", "item", "list", "/list", "b", "bullet", "hashrun"]) for _ in range(rnd.randint(1, 12))] for _ in range(150)]
     streams += [["list"] + ["item", "#"] * n + ["/list"] for n in range(1, 9)]
     made = None
     for s in streams:
         w = mk.wrap(s)
         made = w if made is None else mk.align(made, w)
     auto = mk.compiled(made)
-    assert all(mk.bound(auto, s) == s for s in streams)
+    assert all([auto.kinds[k] for k in auto.path(s)] == s for s in streams)
     two = mk.align(mk.wrap(["p", "#", "/p"]), mk.wrap(["p", "#", "b", "#", "/b", "/p"]))
     assert two[0] == ["t", "p"] and any(n[0] == "?" for n in two)
     assert mk.wrap(["li", "#", "li", "#"]) == [["+", [["t", "li"], ["s"]]]]
+    assert mk.wrap(["#", "hashrun", "#", "hashrun", "#", "b", "#"])[1][0] == "++"
 
 
 def test_clean_keeps_structure():

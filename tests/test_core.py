@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -169,19 +170,87 @@ def test_coalesce_keeps_prefixes_and_drops_covered(spark):
     assert got == {"in the past 7 days:": "kept", "in the past 7 days": "kept", "please answer the following": "kept", "the following": "subsumed"}
 
 
-def test_greedy_cover_equals_sequential_rule(spark):
-    import random
-
-    rnd = random.Random(4)
-    groups = {f"g{i}": (rnd.randint(2, 4), {rnd.randint(0, 12) for _ in range(rnd.randint(1, 6))}) for i in range(12)}
-    left, want = set(range(13)), []
-    for g, (k, m) in sorted(groups.items(), key=lambda x: (-x[1][0], x[0])):
+@pytest.mark.parametrize("seed", [4, 5])
+def test_greedy_cover_equals_sequential_rule(spark, seed):
+    rnd = random.Random(seed)
+    groups = {f"g{i}": (rnd.randint(2, 4), {rnd.randint(0, 12) for _ in range(rnd.randint(1, 6))}) for i in range(14)}
+    left, want, stay = set(range(13)), [], []
+    for g, (k, m) in sorted(groups.items(), key=lambda x: (-x[1][0], -len(x[1][1]), x[0])):
         new = m & left
         if len(new) >= 2:
             want.append((g, len(new)))
             left -= new
+        elif len(m) >= 2 and k >= 4:
+            stay.append((g, 0))
     df = spark.createDataFrame([(g, k, str(x)) for g, (k, m) in groups.items() for x in m], "`group` string, k int, member string")
     assert sorted((r.group, r.n_new) for r in pt.greedy_cover(df).collect()) == sorted(want)
+    assert sorted((r.group, r.n_new) for r in pt.greedy_cover(df, long_from=4).collect()) == sorted(want + stay)
+
+
+def test_guarded_groups_and_ids_in_the_cover(spark):
+    rnd = random.Random(9)
+    rows = [(f"g{g}", rnd.randint(2, 4), rnd.randint(1, 3), f"m{m}", rnd.random() < 0.15) for g in range(9) for m in rnd.sample(range(10), 4)]
+    spec = {r[0]: (r[1], r[2]) for r in rows}
+    rows = [(g, *spec[g], m, x) for g, _, _, m, x in rows]
+    ids = [(f"m{m}", f"i{rnd.randint(0, 6)}") for m in range(10) for _ in range(2)]
+    taken, of = {}, defaultdict(set)
+    for m, i in ids:
+        of[m].add(i)
+    for g in sorted(spec, key=lambda g: (-spec[g][0], -spec[g][1], g)):
+        new = {m: x for h, _, _, m, x in rows if h == g and m not in taken}
+        if len(new) >= 2 and not any(new.values()) and len(set().union(*(of[m] for m in new))) >= 3:
+            taken |= {m: g for m in new}
+    got = pt.greedy_members(spark.createDataFrame(rows, "`group` string, k int, weight int, member string, guarded boolean"), 2, spark.createDataFrame(ids, "member string, id string").distinct(), 3)
+    assert {r.member: r.group for r in got.collect()} == taken
+
+
+def _coalesced(spark, rows, parents=None, **how):
+    ids = spark.createDataFrame([(p, i) for p, some in rows for i in some or [None]], "pattern string, tinyId string")
+    if parents is not None:
+        parents = spark.createDataFrame(parents, "pattern string, parent_phrase string, parent_tinyid_count int")
+    return {r.pattern: r for r in pt.coalesce(ids, parents, **how).collect()}
+
+
+def test_coalesce_trims_anchors_anywhere(spark):
+    got = _coalesced(spark, [("as part of the Neuro Test", "AB"), ("total score, based on Neuro Test", "C"), ("as part of version 2.0 of 12-item SF", "A"), ("from", "A")])
+    assert {p: r.n_ids for p, r in got.items()} == {"Neuro Test": 3, "12-item SF": 1, "from": 1}
+
+
+def test_coalesce_rolls_down_and_up(spark):
+    rows = [("Berg Balance Scale", "ABC"), ("Berg Balance Scale, a clinical test", "AB"), ("Berg Balance Scale General Satisfaction", "AB"), ("Berg Balance Scale (BBS) -", "A"), ("Scale", "ABC")]
+    plain, rolled = _coalesced(spark, rows), _coalesced(spark, rows, roll=True)
+    assert {r.status for p, r in plain.items() if p != "Scale"} == {"kept"} and plain["Scale"].status == "subsumed"
+    assert (rolled["Berg Balance Scale, a clinical test"].status, rolled["Berg Balance Scale, a clinical test"].replacement) == ("rolled-down", "Berg Balance Scale")
+    assert rolled["Berg Balance Scale General Satisfaction"].status == "kept" == rolled["Berg Balance Scale (BBS) -"].status
+    short = _coalesced(spark, [("in the past 7 days:", "AB"), ("in the past 7 days: or so", "AB")], roll=True)
+    assert {p: r.status for p, r in short.items()} == {"in the past 7 days:": "kept", "in the past 7 days: or so": "rolled-down"}
+    up = _coalesced(spark, [("Health Index", "A"), ("Health Index Total Score", "AB")], roll=True)
+    assert up["Health Index"].status == "rolled-up" and up["Health Index"].replacement == "Health Index Total Score"
+    assert {r.status for r in _coalesced(spark, [("x y", ""), ("x y z", "A")], roll=True).values()} == {"kept"}  # universal: within nothing smaller
+
+
+def test_coalesce_extracts_prefixes_and_definition_forms(spark):
+    rows = [("Mood Scale total.", "A"), ("Mood Scale part", "B"), ("Mood Scale, raw", "C"), ("Sleep Index (SI) -", "A"), ("Sleep Index night", "B")]
+    got = _coalesced(spark, rows, least_prefix_ids=2, definition_forms=True)
+    assert {p for p, r in got.items() if r.status == "kept"} == {"Mood Scale", "Sleep Index (SI) -", "Sleep Index (SI)", "Sleep Index night"}
+    assert got["Mood Scale"].n_ids == 3 and got["Mood Scale part"].status == "prefix" and got["Mood Scale part"].replacement == "Mood Scale"
+    assert got["Sleep Index (SI)"].group_key == "Sleep Index (SI" or got["Sleep Index (SI)"].group_key == "Sleep Index (SI)"
+    assert got["Sleep Index night"].group_key == "Sleep Index"
+
+
+def test_coalesce_filters_by_parents(spark):
+    rows, parents = [("Mood Scale total", "A"), ("Mood Scale part", "B"), ("other name", "ABC"), ("rare name", "A")], [("Mood Scale total", "p", 1), ("Mood Scale part", "p", 1), ("other name", "q", 1), ("rare name", "r", 9)]
+    now = {p: r.status for p, r in _coalesced(spark, rows, parents, least_parent_ids=2, least_actual_ids=3).items()}
+    assert now == {"Mood Scale total": "parent-filtered", "Mood Scale part": "parent-filtered", "other name": "kept", "rare name": "kept"}
+    late = {p: r.status for p, r in _coalesced(spark, rows, parents, least_parent_ids=2, least_prefix_ids=2, defer=True).items()}
+    assert late == {"Mood Scale total": "prefix", "Mood Scale part": "prefix", "Mood Scale": "kept", "other name": "parent-filtered", "rare name": "kept"}
+
+
+def test_core_names():
+    rx = re.compile(pt.core_regex("12-item Short Form Health Survey (SF-12)"), re.I)
+    for t in ("12-item short form health survey", "12 item Short Form Health Survey (SF-12v2)", "12-item Short Form Health Survey Version 2 (SF-12)", "12-item Short  Form Health Survey v2.0."):
+        assert rx.search(t), t
+    assert not rx.fullmatch("12-item Short Form Health Survey (ABC)") and not rx.search("Short Form Health Survey")
 
 
 def test_kappa_alpha_consensus(spark):
@@ -211,17 +280,36 @@ def test_acronyms(spark):
     t = _simple(spark, [("A", "The Patient Health Questionnaire (PHQ) is a self-report measure.")])
     r = ins.parenthetical(t).first()
     assert (r.abbreviation, r.expansion, r.confidence) == ("PHQ", "Patient Health Questionnaire", 0.95)
-    assert ins.acronym_align("measured by the Epstein-Barr virus", "EBV") == "Epstein-Barr virus"
+    tails = [("measured by the Epstein-Barr virus", "EBV", "Epstein-Barr virus"), ("a b c", "XYZ", "a b c"), ("of Pain, of Sleep", "OS", "Sleep"), ("Health Health Questionnaire", "HQ", "Health Questionnaire"), ("", "A", ""), ("2 days", "", "2 days")]
+    got = spark.createDataFrame([(i, *t) for i, t in enumerate(tails)], "i int, t string, a string, want string").select("want", ins.aligned(F.col("t"), F.col("a")).alias("x"))
+    assert all(r.x == r.want for r in got.collect())
     assert ins.variant_type("Beck Inventry", "Beck Inventory") == "deletion" and ins.variant_type("BECK", "Beck") == "case"
 
 
 def test_verbatim():
-    assert vb.coalesce_fragments(["in the past seven", "past seven days or so", "x"], 5) == ["in the past seven days or so", "x"]
+    assert vb.assembled(["in the past seven", "past seven days or so", "x"], 5) == [("in the past seven days or so", [0, 1]), ("x", [2])]
+    assert [t for t, _ in vb.assembled(["Cde efgh", "efgh ab", "ABCDE"], 3)] == ["ABCDE efgh ab"] and vb.assembled([], 3) == []
+    ring = [t for t, _ in vb.assembled(["abcxyz", "xyzabc"], 3)]
+    assert ring in (["abcxyzabc"], ["xyzabcxyz"])
     assert vb.template(["hello"], 3)["regex"] == "hello" and vb.slot(["hello", ""]) == "(hello)?"
     assert vb.common_core(["the past 7 days", "in the Past 7 days:"]) == "the past 7 days"
     assert vb.difference("past 7", "in the past 7 days") == ("in the ", " days", "contained")
 
 
+def test_verbatim_forms_are_refined(spark):
+    one, two, both = frozenset("A"), frozenset("B"), frozenset("AB")
+    assert vb.refined([("harmful and usually", 2, one), ("And usually subject to", 3, one)]) == [("harmful and usually subject to", 5, one)]
+    assert vb.refined([("the past seven days", 4, both), ("past seven", 9, one)]) == [("the past seven days", 4, both)]  # shares a record: goes
+    assert vb.refined([("the past seven days", 4, one), ("past seven", 9, two)]) == [("the past seven days", 13, both)]  # other records: joins
+    assert vb.refined([("the past seven days", 4, one), ("ast seven", 9, two)]) == [("the past seven days", 4, one), ("ast seven", 9, two)]
+    assert vb.refined([("short form health survey of all", 1, one), ("short form health surv", 2, two)]) == [("short form health survey of all", 3, both)]
+    assert vb.refined([("Pain", 1, one), ("pain", 2, one), ("PAIN", 4, two)]) == [("PAIN", 4, two), ("Pain", 3, one)]
+    rows = [("p", "the past  seven days", "A"), ("p", "past seven", "B"), ("p", "past seven", "C"), ("p", "past seven", "C"), ("q", "x", "A"), ("q", None, "A"), (None, "x", "A"), ("q", "y", None), ("q", " ", "A")]
+    df = spark.createDataFrame(rows, "phrase_id string, verbatim_text string, tinyId string").withColumn("form", F.lit("clash"))
+    assert {tuple(r) for r in vb.refine(df).collect()} == {("p", "the past seven days", 4, 3), ("q", "x", 1, 1)}
+    assert vb.refine(df.limit(0)).count() == 0
+
+
 def test_contigs(spark):
     k = spark.createDataFrame([("a b c", 5), ("b c d", 4), ("c d e", 6), ("x y z", 3)], "kmer string, freq bigint")
     assert {(r.phrase, r.freq) for r in gr.contigs(k).collect()} == {("a b c d e", 4), ("x y z", 3)}

@@ -30,6 +30,22 @@ def test_dictionary_protects_separators():
     assert pk.segment("xa|b", known) == ["xa", "b"]  # not a whole value
 
 
+def test_only_the_dictionary_keeps_an_unquoted_value_whole(spark):
+    df = spark.createDataFrame([(1, "Heat  exposure, change from baseline|b"), (2, "x; heat exposure, other"), (3, "a, b; c, d, e"), (4, '"a, b", c')], "id bigint, cell string")
+    known = spark.createDataFrame([("heat exposure, change from baseline",), ("b; c, d",), ("plain",), ("a, b, z",)], "value string")
+    items = lambda rows: [[r.item for r in sorted(rows, key=lambda r: r.pos) if r.row_id == i] for i in range(1, 5)]
+    plain = [["Heat  exposure", "change from baseline", "b"], ["x", "heat exposure", "other"], ["a", "b", "c", "d", "e"], ["a, b", "c"]]
+    assert items(pk.split_packed(df, "id", "cell", None).collect()) == plain
+    assert items(pk.split_packed(df, "id", "cell", known).collect()) == [["Heat  exposure, change from baseline", "b"], plain[1], ["a", "b; c, d", "e"], plain[3]]
+
+
+def test_single_words_need_no_dictionary(spark):
+    df = spark.createDataFrame([(1, "x1,y2 z3")], "id bigint, cell string")
+    out = pk.split_packed(df, "id", "cell", spark.createDataFrame([("x1,y2",)], "value string"), words=True)
+    assert [r.item for r in sorted(out.collect(), key=lambda r: r.pos)] == ["x1", "y2", "z3"]
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_operator_on_awkward_tables(spark):
     long = "|".join(f"v{i}" for i in range(5000))
     df = spark.createDataFrame([(1, "a|b", "z"), (1, "a|b", "y"), (2, None, "z"), (3, "", "z"), (4, long, "z"), (None, "n", "z")], "id bigint, cell string, pos string")

@@ -4,7 +4,7 @@ Every object of a record is canonicalised (fields in name order, nulls left out,
 replaced by their identities) and hashed bottom-up, so two equal subtrees have one identity
 wherever they occur. ``shred`` returns
 
-* ``roots``   (key columns, root_id): one row per record,
+* ``roots``   (key columns, root_id): one row per record; identities are SHA-256 digests (binary),
 * ``bridges`` (parent_id, slot, ordinal, child_id): every occurrence of a child in a parent, the
   ordinal counts from 0 with null elements keeping their place, -1 for a lone object,
 * ``objects`` (object_id, kind, body): every distinct object once, body is its canonical JSON.
@@ -38,54 +38,57 @@ def _is_objects(t: T.DataType) -> bool:
     return isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StructType)
 
 
-def _body(x: Column, t: T.StructType) -> Column:
-    fields = []
-    for f in sorted(t.fields, key=lambda f: f.name):
-        v = x[f.name]
-        if isinstance(f.dataType, T.StructType):
-            v = _identity(v, f.dataType)
-        elif _is_objects(f.dataType):
-            v = F.transform(v, partial_identity(f.dataType.elementType))
-        fields.append(v.alias(f.name))
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "true"})
+def _let(value: Column, f) -> Column:
+    """f(value) with the value computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def partial_identity(t: T.StructType):
-    return lambda e: _identity(e, t)
+_EDGE = "struct<parent_id:binary,slot:string,ordinal:int,child_id:binary,kind:string,body:string>"
 
 
-def _identity(x: Column, t: T.StructType) -> Column:
-    return F.when(x.isNotNull(), F.sha2(_body(x, t), 256))
+def _occurrence(parent: Column, slot: str, kind: str):
+    return lambda e, i: F.when(
+        e.isNotNull(),
+        F.struct(parent.alias("parent_id"), F.lit(slot).alias("slot"), i.cast("int").alias("ordinal"), F.unhex(e["id"]).alias("child_id"), F.lit(kind).alias("kind"), e["body"].alias("body")),
+    )
 
 
-def _below(x: Column, t: T.StructType, kind: str) -> list[Column]:
-    """For each slot of x that holds objects, an array of its occurrences and of those below."""
-    parts, parent = [], _identity(x, t)
-    row = lambda slot, ordinal, e, et, k: F.struct(
-        parent.alias("parent_id"), F.lit(slot).alias("slot"), ordinal.alias("ordinal"),
-        _identity(e, et).alias("child_id"), F.lit(k).alias("kind"), _body(e, et).alias("body"),
-    )
-    for f in t.fields:
-        k = f"{kind}.{f.name}" if kind else f.name
-        if isinstance(f.dataType, T.StructType):
-            child = x[f.name]
-            one = F.array(row(f.name, F.lit(-1), child, f.dataType, k))
-            parts.append(F.when(child.isNotNull(), one))
-            parts += [F.when(child.isNotNull(), p) for p in _below(child, f.dataType, k)]
-        elif _is_objects(f.dataType):
-            parts += _below_list(row, x[f.name], f.name, f.dataType.elementType, k)
-    return parts
-
-
-_EDGES = "array<struct<parent_id:string,slot:string,ordinal:int,child_id:string,kind:string,body:string>>"
+def _node(x: Column, t: T.StructType, kind: str) -> Column:
+    """struct<id, body, below> of an object: identity (hex), canonical JSON, and all occurrences below it.
 
+    One pass from the leaves up: every object is written as JSON and hashed once, its parents take the identity.
+    """
+    kids = [f for f in t.fields if isinstance(f.dataType, T.StructType) or _is_objects(f.dataType)]
+    name = lambda f: f"{kind}.{f.name}" if kind else f.name
+
+    def made(known: Column | None) -> Column:
+        def value(f):
+            if f not in kids:
+                return x[f.name]
+            return known[f.name]["id"] if isinstance(f.dataType, T.StructType) else F.transform(known[f.name], lambda e: e["id"])
+
+        body = F.to_json(F.struct(*[value(f).alias(f.name) for f in sorted(t.fields, key=lambda f: f.name)]), {"ignoreNullFields": "true"})
+        return _let(body, lambda b: _let(F.sha2(b, 256), lambda i: F.struct(i.alias("id"), b.alias("body"), below(known, F.unhex(i)).alias("below"))))
+
+    def below(known: Column | None, parent: Column) -> Column:
+        parts = []
+        for f in kids:
+            row = _occurrence(parent, f.name, name(f))
+            v = known[f.name]
+            if isinstance(f.dataType, T.StructType):
+                parts += [F.when(v.isNotNull(), F.array(row(v, F.lit(-1)))), v["below"]]
+            else:
+                parts.append(F.filter(F.transform(v, row), lambda r: r.isNotNull()))
+                if any(isinstance(g.dataType, T.StructType) or _is_objects(g.dataType) for g in f.dataType.elementType.fields):
+                    parts.append(F.flatten(F.transform(F.filter(v, lambda e: e.isNotNull()), lambda e: e["below"])))
+        none = F.array().cast(f"array<{_EDGE}>")
+        return F.concat(*[F.coalesce(p, none) for p in parts]) if parts else none
 
-def _below_list(row, items: Column, slot: str, t: T.StructType, kind: str) -> list[Column]:
-    parts = [F.transform(items, lambda e, i: F.when(e.isNotNull(), row(slot, i.cast("int"), e, t, kind)))]
-    if any(isinstance(g.dataType, T.StructType) or _is_objects(g.dataType) for g in t.fields):
-        some = lambda p: F.coalesce(F.filter(p, lambda r: r.isNotNull()), F.array().cast(_EDGES))
-        parts.append(F.flatten(F.transform(items, lambda e: F.flatten(F.array(*[some(p) for p in _below(e, t, kind)])))))
-    return parts
+    if not kids:
+        return F.when(x.isNotNull(), made(None))
+    inner = lambda f: lambda e: _node(e, f.dataType.elementType, name(f))
+    each = [(_node(x[f.name], f.dataType, name(f)) if isinstance(f.dataType, T.StructType) else F.transform(x[f.name], inner(f))).alias(f.name) for f in kids]
+    return F.when(x.isNotNull(), _let(F.struct(*each), made))
 
 
 def shred(records: DataFrame, keys: list[str], columns: list[str]) -> Shredded:
@@ -95,8 +98,8 @@ def shred(records: DataFrame, keys: list[str], columns: list[str]) -> Shredded:
     """
     t = T.StructType([records.schema[c] for c in columns])
     held = records.select(*keys, F.struct(*[F.col(c) for c in columns]).alias("_record"))
-    parts = [F.coalesce(F.filter(p, lambda r: r.isNotNull()), F.array().cast(_EDGES)) for p in _below(F.col("_record"), t, "")]
-    hashed = written(held.select(*keys, _identity(F.col("_record"), t).alias("root_id"), F.flatten(F.array(*parts)).alias("_edges")), "shredded")
+    node = held.select(*keys, _node(F.col("_record"), t, "").alias("_n"))
+    hashed = written(node.select(*keys, F.unhex("_n.id").alias("root_id"), F.col("_n.below").alias("_edges")), "shredded")
     rows = hashed.select(F.explode("_edges").alias("r")).select("r.*")
     bridges = rows.select("parent_id", "slot", "ordinal", "child_id").distinct()
     # The kind is part of the key: an empty designation and an empty definition are two objects.

@@ -3,14 +3,16 @@
 Cells are cut at separators (comma, semicolon, bar, line break, tab; for single-word values every
 white space). Quotes protect separators, and so does the dictionary: an Aho-Corasick automaton finds
 the known whole values in the cell, and dynamic programming picks the cover of the cell's pieces with
-the best score, where a known value that spans a separator stays whole. Dictionaries may be far larger
-than a worker's memory: the candidate spans of the cells are equi-joined with the dictionary first, and
-each Arrow batch builds its automaton only from the entries which that join found for its rows.
+the best score, where a known value that spans a separator stays whole. Only known values with a separator
+can decide anything, so only they are looked up: single words never hold one and need no dictionary.
+
+Dictionaries may be far larger than a worker's memory: a value is a candidate for a cell if its first two
+pieces stand side by side there, found by one equi-join on the hash of such pairs (a cell sends as many rows as
+it has pieces). Each Arrow batch builds its automaton from its cells' candidates and sees which of them
+really occur.
 
 Nulls, empty and blank cells give no rows. Empty pieces take no position. Repeated values stay.
-Repeated rows (equal in all columns read) count once. Very long cells are handled whole; the search
-for spans is linear in the cell's pieces, for a known value spans at most ``reach`` separators, where
-reach is the largest number found in any dictionary value.
+Repeated rows (equal in all columns read) count once. Very long cells are handled whole.
 """
 
 from __future__ import annotations
@@ -95,16 +97,12 @@ def pieces(cell: str, words: bool = False) -> list[str]:
     return out
 
 
-def spans(cell: str | None, reach: int, words: bool) -> list[str]:
-    """Normalised candidate values of a cell: its pieces, and runs of pieces over up to reach separators."""
-    if cell is None:
+def neighbours(text: str | None) -> list[str]:
+    """The pairs of pieces that stand side by side, normalised."""
+    if text is None:
         return []
-    p = pieces(_unwrap(cell, words), words)
-    found = set()
-    for a in range(0, len(p), 2):
-        for b in range(a, min(a + 2 * reach, len(p) - 1) + 1, 2):
-            found.add(_norm(_unquote("".join(p[a : b + 1]))))
-    return sorted(found - {""})
+    p = [x for x in (_norm(_unquote(x)) for x in pieces(text)[::2]) if x]
+    return sorted({f"{a}\n{b}" for a, b in zip(p, p[1:])})
 
 
 def automaton(values) -> ahocorasick.Automaton | None:
@@ -165,24 +163,24 @@ def split_packed(df: DataFrame, row_id: str, packed: str, dictionary: DataFrame
     """(row_id, pos, item) of the cells in column ``packed``.
 
     dictionary: a DataFrame whose column ``value`` holds known whole values, of any size, or None.
-    words: values are single words, so every white space separates.
+    words: values are single words, so every white space separates and a dictionary has nothing to protect.
     """
     cells = df.select(F.col(row_id).alias("row_id"), F.col(packed).alias("cell")).where("cell is not null").distinct()
-    if dictionary is not None:
-        norm = F.lower(F.regexp_replace(F.trim(F.regexp_replace("value", r"(?U)\s+", " ")), " +", " "))
-        entries = dictionary.select(norm.alias("value")).where("value is not null and value <> ''").distinct()
-        if not words:
-            entries = entries.where(F.col("value").rlike(r"[,;|]"))  # only these can protect a separator
-            reach = entries.agg(F.max(F.size(F.regexp_extract_all("value", F.lit("[,;|]"), F.lit(0))))).first()[0] or 0
-        else:
-            reach = 0
+    if dictionary is not None and not words:
 
-        @F.pandas_udf("array<string>")
-        def candidates(s: pd.Series) -> pd.Series:
-            return s.map(lambda c: spans(c, reach, words))
+        @F.pandas_udf("string")
+        def head(s: pd.Series) -> pd.Series:
+            return s.map(lambda v: "\n".join([x for x in (_norm(_unquote(x)) for x in pieces(v)[::2]) if x][:2]))
 
-        wanted = cells.select("row_id", "cell", F.explode(candidates("cell")).alias("value"))
-        hits = wanted.join(entries, "value").groupBy("row_id", "cell").agg(F.collect_set("value").alias("known"))
+        @F.pandas_udf("array<string>")
+        def pairs(s: pd.Series) -> pd.Series:
+            return s.map(lambda c: neighbours(_unwrap(c, words)))
+
+        norm = F.lower(F.trim(F.regexp_replace("value", r"(?U)\s+", " ")))
+        entries = dictionary.where(F.col("value").rlike(f"[{SEPARATORS}]")).select(norm.alias("value")).distinct()
+        entries = entries.select("value", head("value").alias("pair")).where("pair like '%\n%'")
+        wanted = cells.where(F.col("cell").rlike(f"[{SEPARATORS}]")).select("row_id", "cell", F.explode(pairs("cell")).alias("pair"))
+        hits = wanted.join(entries, "pair").groupBy("row_id", "cell").agg(F.collect_set("value").alias("known"))
         cells = cells.join(hits, ["row_id", "cell"], "left")
     else:
         cells = cells.withColumn("known", F.lit(None).cast("array<string>"))

@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textlens.operators.matching import containment
-from textlens.session import written
+from textlens.session import discard, written
 
 # Lead-ins that name an instrument, and words a flexible pattern may lack (fixed values).
 ANCHORS = ("as a part of", "a field of", "as part of", "related to", "based on", "field of", "from")
@@ -134,54 +134,214 @@ def merge_lists(first: DataFrame, second: DataFrame) -> DataFrame:
     return rows.groupBy("pattern").agg(F.max(F.struct("list_ord", "replace_with")).alias("m"), F.max("universal").alias("universal")).select("pattern", "m.replace_with", "universal")
 
 
-def coalesce(ids: DataFrame, least_parent_ids: int = 0) -> DataFrame:
-    """(pattern, group_key, n_ids, status): kept and subsumed patterns of a list.
+_ALL = "\u0000all"  # the id that stands for every record: a universal pattern is only within a universal one
+CONNECTORS = "of for and the a an in on to with by or at from as -".split()
 
-    ids: (pattern, tinyId). Anchors are trimmed and id sets united; then from the longest to the
-    shortest a pattern is subsumed if kept longer ones contain it and hold all its records together,
-    unless it is a prefix of one of them (a prefix still strips shorter texts). The group key of a kept
-    pattern is its first two words.
+
+def bare_column(c: Column) -> Column:
+    """The name behind an anchor, leading or further inside, without version and article; the pattern itself if none is left."""
+    behind = F.regexp_replace(c, r"(?is)^(?:.*?\b)?(?:" + "|".join(ANCHORS) + r")\s+(?:version\s+[\d.]+\s+of\s+)?(?:(?:" + "|".join(ARTICLES) + r")\s+)?(?=\S)", "")
+    return F.trim(behind)
+
+
+def core_column(c: Column) -> Column:
+    """struct<core, acronym>: a bare name without its trailing acronym in brackets."""
+    acronym = F.nullif(F.regexp_extract(c, r"^.+?\s*\(([^)]+)\)$", 1), F.lit(""))
+    return F.struct(F.coalesce(F.nullif(F.regexp_extract(c, r"^(.+?)\s*\([^)]+\)$", 1), F.lit("")), c).alias("core"), acronym.alias("acronym"))
+
+
+def core_regex(bare: str) -> str:
+    """A regex of a core name with any version and any acronym of the same letters behind it; boundaries as in ``flexible_regex``."""
+    m = re.match(r"^(.+?)\s*\(([^)]+)\)$", bare)
+    core, acronym = (m[1].strip(), m[2]) if m else (bare, None)
+    end = r"(?=[\s.,;:!?\"'()\[\]]|$)"
+    letters = re.match("[A-Za-z]+", acronym or "")
+    bracket = rf"{re.escape(letters[0])}[-\s]?[^)]*" if letters else r"[^)]+"
+    return flexible_regex(core).removesuffix(end) + rf"(?:\s+(?:version|ver|v)\.?\s*\d+(?:\.\d+)?)?(?:\s*\({bracket}\))?" + end
+
+
+def names_on(extension: Column) -> Column:
+    """Whether what follows a base goes on naming: four of five words capitalised, numbers or connectors, one of them capitalised."""
+    clean = lambda w: F.regexp_replace(w, r"[.,;:!?]+$", "")
+    words = F.filter(F.split(F.regexp_replace(F.trim(extension), r"^[ ,;:\-]+|[ ,;:\-]+$", ""), r"\s+"), lambda w: w != "")
+    fits = F.filter(words, lambda w: clean(w).rlike(r"^(?:\p{Lu}|\d)|-\p{Lu}") | F.lower(clean(w)).isin(*CONNECTORS))
+    named = F.exists(words, lambda w: clean(w).rlike(r"^\p{Lu}"))
+    return ~F.trim(extension).rlike(r"^[(,;]") & (F.size(words) > 0) & (F.size(fits) >= 0.8 * F.size(words)) & named
+
+
+_BRACKETED = r"\(\p{Lu}[A-Za-z0-9-]+\)"
+
+
+def _subsumed(sizes: DataFrame, held: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(out, by, prefix): patterns whose kept containers hold all their records together; prefix: one of them begins with it.
+
+    A round decides every pattern whose containers are all decided, so rounds grow with the depth of containment.
     """
-    trimmed = ids.select(F.trim(split_anchor_column(F.col("pattern"))).alias("pattern"), "tinyId").where("pattern <> ''").distinct()
-    trimmed = written(trimmed, "trimmed")
-    sizes = trimmed.groupBy("pattern").agg(F.countDistinct("tinyId").alias("n_ids"), F.count(F.when(F.col("tinyId").isNull(), 1)).alias("universal"))
-    if least_parent_ids:
-        sizes = sizes.where((F.col("n_ids") >= least_parent_ids) | (F.col("universal") > 0))
-    sizes = written(sizes, "sizes")
-    pairs = containment(sizes.select("pattern", F.length("pattern").alias("ord"))).where(F.contains("long", F.col("short"))).select("short", "long", F.startswith("long", F.col("short")).alias("prefix"))
+    undecided = written(sizes.select("pattern"), "undecided")
+    gone = written(sizes.select(F.col("pattern").alias("out"), F.col("pattern").alias("by"), F.lit(False).alias("prefix")).limit(0), "subsumed")
+    while True:
+        waits = pairs.join(undecided.withColumnRenamed("pattern", "long"), "long", "left_semi").select(F.col("short").alias("pattern")).distinct()
+        ready = written(undecided.join(waits, "pattern", "left_anti"), "ready")
+        if ready.isEmpty():
+            discard(ready, undecided)
+            return gone
+        dropped = gone.where("not prefix").select(F.col("out").alias("long"))
+        level = pairs.join(ready.withColumnRenamed("pattern", "short"), "short", "left_semi").join(dropped, "long", "left_anti")
+        covers = level.join(held.withColumnRenamed("pattern", "long"), "long").select("short", "id").distinct()
+        own = level.select(F.col("short").alias("pattern")).distinct().join(held, "pattern")
+        open_ = own.join(covers, (own.pattern == covers.short) & (own.id == covers.id), "left_anti").select(own.pattern.alias("short")).distinct()
+        shut = level.join(open_, "short", "left_anti").groupBy("short").agg(F.max(F.struct(F.length("long").alias("n"), "long")).alias("b"), F.max("prefix").alias("prefix"))
+        grown = written(gone.unionByName(shut.select(F.col("short").alias("out"), F.col("b.long").alias("by"), "prefix")), "subsumed")
+        rest = written(undecided.join(ready, "pattern", "left_anti"), "undecided")
+        discard(gone, undecided, ready)
+        gone, undecided = grown, rest
+
+
+def _within(pairs: DataFrame, held: DataFrame, inner: str, outer: str) -> DataFrame:
+    """The pairs of which ``outer`` holds every record of ``inner``."""
+    n = held.groupBy("pattern").agg(F.count("*").alias("n_inner")).withColumnRenamed("pattern", inner)
+    shared = pairs.select(inner, outer).join(held.withColumnRenamed("pattern", inner), inner).join(held.withColumnRenamed("pattern", outer), [outer, "id"]).groupBy(inner, outer).agg(F.count("*").alias("both"))
+    return pairs.join(shared, [inner, outer]).join(n, inner).where("both = n_inner").select(*pairs.columns)
+
+
+def coalesce(ids: DataFrame, parents: DataFrame | None = None, least_parent_ids: int = 0, least_actual_ids: int = 0, defer: bool = False, roll: bool = False, least_prefix_ids: int = 0, definition_forms: bool = False) -> DataFrame:
+    """(pattern, group_key, n_ids, status, replacement): a pattern list brought down to the patterns it needs.
+
+    ids: (pattern, tinyId), a null id means every record. parents: (pattern, parent_phrase, parent_tinyid_count).
+    In this order:
+
+    * anchors are trimmed, also inside a pattern, and id sets united;
+    * ``parent-filtered``: parents with too few records (not if the pattern itself has ``least_actual_ids``), at once or,
+      with ``defer``, only if no prefix took the pattern over;
+    * ``subsumed``: kept longer patterns contain it and hold all its records together; if one of them begins with it,
+      it stays (``prefix-kept`` in the report), for it still strips shorter texts;
+    * with ``roll``, ``rolled-down``: a base of two words or more inside it holds all its records, unless it adds an acronym in
+      brackets or goes on naming; then ``rolled-up``: a pattern of more words contains it and holds all its records;
+    * with ``least_prefix_ids``, ``prefix``: the longest prefix that covers two patterns or more with so many records replaces
+      them (ties: records, then name), unless an acronym in brackets would be lost;
+    * with ``definition_forms`` a pattern that ends in a dash also gives the form without it.
+
+    The group key is the longest word prefix shared with another kept pattern, at least two words, else the first two.
+    """
+    trimmed = ids.select(bare_column(F.col("pattern")).alias("pattern"), F.coalesce("tinyId", F.lit(_ALL)).alias("id")).where("pattern <> ''").distinct()
+    held = written(trimmed, "trimmed")
+    count = F.count(F.when(F.col("id") != _ALL, 1))
+    sizes = written(held.groupBy("pattern").agg(count.alias("n_ids")), "sizes")
+    status = lambda df, s, by: df.select("pattern", F.lit(s).alias("status"), by.alias("replacement"))
+    weak = sizes.select("pattern").limit(0)
+    if least_parent_ids and parents is not None:
+        p = parents.select(bare_column(F.col("pattern")).alias("pattern"), "parent_tinyid_count").groupBy("pattern").agg(F.max("parent_tinyid_count").alias("p"))
+        low = F.coalesce("p", F.lit(0)) < least_parent_ids
+        rescued = (F.col("n_ids") >= least_actual_ids) if least_actual_ids else F.lit(False)
+        weak = written(sizes.join(p, "pattern", "left").where(low & ~rescued).select("pattern"), "weak")
+    live = sizes if defer else sizes.join(weak, "pattern", "left_anti")
+    pairs = containment(live.select("pattern", F.length("pattern").alias("ord"))).where(F.contains("long", F.col("short"))).select("short", "long", F.startswith("long", F.col("short")).alias("prefix"))
     pairs = written(pairs, "contains")
-    gone = sizes.select(F.col("pattern").alias("out")).where(F.lit(False))
-    for n in [r.n for r in pairs.select(F.length("short").alias("n")).distinct().orderBy(F.desc("n")).collect()]:  # one row for each length
-        level = pairs.where(F.length("short") == n).join(gone, F.col("long") == F.col("out"), "left_anti")
-        covers = level.join(trimmed.withColumnRenamed("pattern", "long"), "long").select("short", "tinyId").distinct()
-        own = level.select(F.col("short").alias("pattern")).distinct().join(trimmed, "pattern")
-        open_ = own.join(covers, (F.col("pattern") == F.col("short")) & own.tinyId.eqNullSafe(covers.tinyId), "left_anti").select("pattern").distinct()
-        kept = level.where("prefix").select(F.col("short").alias("pattern")).distinct().unionByName(open_)
-        new = level.select(F.col("short").alias("pattern")).distinct().join(kept, "pattern", "left_anti")
-        gone = written(gone.unionByName(new.select(F.col("pattern").alias("out"))), "subsumed")
-    out = sizes.join(gone, F.col("pattern") == F.col("out"), "left")
-    key = F.array_join(F.slice(F.split(F.lower("pattern"), r"\s+"), 1, 2), " ")
-    return out.select("pattern", key.alias("group_key"), "n_ids", F.when(F.col("out").isNull(), "kept").otherwise("subsumed").alias("status"))
-
-
-def greedy_cover(groups: DataFrame, least_new: int = 2) -> DataFrame:
-    """(group, n_new) in the order chosen: longest first, then most members; a group must cover ``least_new`` uncovered ones.
-
-    groups: (group, k, member). Each round takes, at once, every group that no better group with a common
-    uncovered member precedes, so a round is a join and not a loop over groups; the result equals the
-    sequential rule.
+    gone = _subsumed(live, held, pairs)
+    fates = status(gone.where("not prefix").withColumnRenamed("out", "pattern"), "subsumed", F.col("by"))
+    keep = written(live.join(gone.where("not prefix").select(F.col("out").alias("pattern")), "pattern", "left_anti").select("pattern"), "kept")
+
+    def both_kept():
+        return pairs.join(keep.withColumnRenamed("pattern", "short"), "short", "left_semi").join(keep.withColumnRenamed("pattern", "long"), "long", "left_semi")
+
+    words = lambda c: F.size(F.split(F.trim(c), r"\s+"))
+    if roll:
+        acronym = F.regexp_extract("long", _BRACKETED, 0)
+        on = F.col("prefix") & names_on(F.substring("long", F.length("short") + 1, F.length("long")))
+        down = both_kept().where((words("short") >= 2) & ((acronym == "") | F.contains("short", acronym)) & ~on)
+        if defer:
+            down = down.join(weak.withColumnRenamed("pattern", "long"), "long", "left_anti")
+        down = _within(down, held, "long", "short").groupBy(F.col("long").alias("pattern")).agg(F.max(F.struct(F.length("short").alias("n"), "short")).alias("b"))
+        down = written(status(down, "rolled-down", F.col("b.short")), "rolled")
+        keep = written(keep.join(down, "pattern", "left_anti"), "kept")
+        up = _within(both_kept().where(words("long") > words("short")), held, "short", "long").groupBy(F.col("short").alias("pattern")).agg(F.min(F.struct((-words("long")).alias("n"), "long")).alias("b"))
+        up = written(status(up, "rolled-up", F.col("b.long")), "rolled")
+        keep = written(keep.join(up, "pattern", "left_anti"), "kept")
+        fates = fates.unionByName(down).unionByName(up)
+    if least_prefix_ids:
+        t = F.transform(F.split(F.trim("pattern"), r"\s+"), lambda w: F.coalesce(F.nullif(F.regexp_replace(w, r"[.,;:!?]", ""), F.lit("")), w))
+        heads = keep.where(F.size(t) >= 2).select(F.col("pattern").alias("member"), F.explode(F.transform(F.sequence(F.lit(2), F.size(t)), lambda n: F.struct(n.alias("k"), F.array_join(F.slice(t, 1, n), " ").alias("group")))).alias("g")).select("g.group", "g.k", "member")
+        bracket = F.regexp_extract("member", _BRACKETED, 0)
+        members = held.withColumnRenamed("pattern", "member")
+        reach = heads.join(members, "member").groupBy("group").agg(F.countDistinct("id").alias("weight")).where(F.col("weight") >= least_prefix_ids)
+        cover = greedy_members(heads.join(reach, "group").withColumn("guarded", (bracket != "") & ~F.contains("group", bracket)), 2, members, least_prefix_ids)
+        cover = written(cover, "prefixes")
+        fates = fates.unionByName(status(cover.withColumnRenamed("member", "pattern"), "prefix", F.col("group")))
+        held = written(held.join(cover.select(F.col("member").alias("pattern")), "pattern", "left_anti").unionByName(members.join(cover, "member").select(F.col("group").alias("pattern"), "id")).distinct(), "held")
+        taken = cover.select(F.col("member").alias("pattern")).distinct()
+        keep = keep.join(taken, "pattern", "left_anti").unionByName(cover.select(F.col("group").alias("pattern"))).distinct()
+        if defer:
+            late = weak.join(taken, "pattern", "left_anti")
+            fates = fates.unionByName(status(late.join(fates.select("pattern"), "pattern", "left_anti"), "parent-filtered", F.lit(None).cast("string")))
+            keep = keep.join(late, "pattern", "left_anti")
+        keep = written(keep, "kept")
+    elif defer:
+        fates = fates.unionByName(status(weak.join(fates.select("pattern"), "pattern", "left_anti"), "parent-filtered", F.lit(None).cast("string")))
+        keep = written(keep.join(weak, "pattern", "left_anti"), "kept")
+    if not defer:
+        fates = fates.unionByName(status(weak, "parent-filtered", F.lit(None).cast("string")))
+    if definition_forms:
+        bare = keep.select("pattern", F.regexp_replace("pattern", r"\s+-\s*$", "").alias("form")).where("form <> pattern and form <> ''")
+        new = bare.join(keep.select(F.col("pattern").alias("form")), "form", "left_anti")
+        held = held.unionByName(held.join(new, "pattern").select(F.col("form").alias("pattern"), "id")).distinct()
+        keep = keep.unionByName(new.select(F.col("form").alias("pattern"))).distinct()
+    n = held.groupBy("pattern").agg(count.alias("n_ids"))
+    kept = keep.join(n, "pattern", "left").select("pattern", F.coalesce("n_ids", F.lit(0)).alias("n_ids"), F.lit("kept").alias("status"), F.lit(None).cast("string").alias("replacement"))
+    lost = fates.join(keep, "pattern", "left_anti").join(sizes, "pattern", "left").select("pattern", "n_ids", "status", "replacement")
+    return group_keys(kept.unionByName(lost))
+
+
+def group_keys(rows: DataFrame) -> DataFrame:
+    """rows (pattern, n_ids, status, replacement) with ``group_key``; only kept patterns share prefixes."""
+    t = F.split(F.trim("pattern"), r"\s+")
+    plain = F.transform(t, lambda w: F.regexp_replace(w, r"[.,;:!?'\")}\]]", ""))
+    heads = rows.where("status = 'kept'").where(F.size(t) >= 2).select("pattern", F.explode(F.transform(F.sequence(F.lit(2), F.size(t)), lambda n: F.struct(n.alias("k"), F.array_join(F.slice(plain, 1, n), " ").alias("head")))).alias("h")).select("pattern", "h.*")
+    shared = heads.groupBy("head", "k").agg(F.count("*").alias("n")).where("n > 1").select("head")
+    best = heads.join(shared, "head").groupBy("pattern").agg(F.max("k").alias("k"))
+    key = F.array_join(F.slice(t, 1, F.coalesce("k", F.lit(2))), " ")
+    return rows.join(best, "pattern", "left").select("pattern", key.alias("group_key"), "n_ids", "status", "replacement")
+
+
+def greedy_members(groups: DataFrame, least_new: int = 2, ids: DataFrame | None = None, least_ids: int = 0) -> DataFrame:
+    """(group, member): which group takes each member: longest first, then by weight, then by name; a group must take ``least_new``.
+
+    groups: (group, k, weight, member) and, if wanted, guarded: a group with a guarded member still open is passed over.
+    ids: (member, id), with ``least_ids`` the open members of a group must have so many together. A round decides at once every
+    group that no better group with a common open member precedes; the result equals the sequential rule.
     """
-    live = written(groups.select("group", "k", "member").distinct(), "groups")
-    chosen = None
+    guarded = F.col("guarded") if "guarded" in groups.columns else F.lit(False)
+    live = written(groups.select("group", F.struct((-F.col("k")).alias("k"), (-F.col("weight")).alias("w"), "group").alias("rank"), "member", guarded.alias("guarded")).distinct(), "groups")
+    taken = None
     while True:
-        sized = live.groupBy("group", "k").agg(F.count("*").alias("n")).where(F.col("n") >= least_new)
-        ranked = live.join(sized, ["group", "k"]).withColumn("rank", F.struct((-F.col("k")).alias("a"), "group"))
-        best = ranked.groupBy("member").agg(F.min("rank").alias("best"))
-        blocked = ranked.join(best, "member").where(F.col("rank") != F.col("best")).select("group").distinct()
-        take = written(sized.join(blocked, "group", "left_anti").select("group", "k", F.col("n").alias("n_new")), "chosen")
-        if take.isEmpty():
-            break
-        chosen = take if chosen is None else chosen.unionByName(take)
-        done = live.join(take.select("group"), "group", "left_semi").select("member").distinct()
-        live = written(live.join(done, "member", "left_anti"), "groups")
-    return chosen if chosen is not None else groups.select("group", "k", F.lit(0).cast("bigint").alias("n_new")).where(F.lit(False))
+        enough = live.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") >= least_new).select("group")
+        open_ = live.join(enough, "group")
+        best = open_.groupBy("member").agg(F.min("rank").alias("best"))
+        blocked = open_.join(best, "member").where(F.col("rank") != F.col("best")).select("group").distinct()
+        turn = written(open_.join(blocked, "group", "left_anti"), "turn")
+        if turn.isEmpty():
+            discard(turn, live)
+            return taken if taken is not None else groups.select("group", "member").limit(0)
+        passed = turn.groupBy("group").agg(F.max("guarded").alias("g")).where("not g").select("group")
+        if ids is not None and least_ids:
+            passed = passed.join(turn.join(ids, "member").groupBy("group").agg(F.countDistinct("id").alias("n")).where(F.col("n") >= least_ids), "group", "left_semi")
+        won = written(turn.join(passed, "group", "left_semi").select("group", "member"), "won")
+        taken = won if taken is None else taken.unionByName(won)
+        rest = open_.join(turn.select("group").distinct(), "group", "left_anti").join(won.select("member").distinct(), "member", "left_anti")
+        after = written(rest.select("group", "rank", "member", "guarded"), "groups")
+        discard(turn, live)
+        live = after
+
+
+def greedy_cover(groups: DataFrame, least_new: int = 2, long_from: int | None = None) -> DataFrame:
+    """(group, k, n_new): groups kept by greedy cover: longest first, then most members, then by name; each covers ``least_new`` new ones.
+
+    groups: (group, k, member). With ``long_from`` groups of that length or more which have ``least_new`` members stay even
+    if others cover them (n_new 0); they cover nothing themselves.
+    """
+    rows = groups.select("group", "k", "member").distinct()
+    size = rows.groupBy("group", "k").agg(F.count("*").alias("weight"))
+    rows = written(rows.join(size, ["group", "k"]), "groups")
+    new = greedy_members(rows, least_new).groupBy("group").agg(F.count("*").alias("n_new"))
+    every = rows.select("group", "k", "weight").distinct().join(new, "group", "left")
+    stays = F.col("n_new").isNotNull() if long_from is None else F.col("n_new").isNotNull() | ((F.col("weight") >= least_new) & (F.col("k") >= long_from))
+    return every.where(stays).select("group", "k", F.coalesce("n_new", F.lit(0)).alias("n_new"))

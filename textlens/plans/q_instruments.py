@@ -175,7 +175,7 @@ def _(spark, d):
 
 @query("verbatim_refined")
 def _(spark, d):
-    return vb.refine(table(spark, d, "occurrences"))
+    return vb.refine(table(spark, d, "occurrences").select("phrase_id", "verbatim_text", "tinyId"))
 
 
 @query("lemma_surface_forms", "SELECT phrase_id, verbatim_text, count(*) AS n, count(DISTINCT tinyId) AS n_ids FROM occurrences WHERE phrase_id IS NOT NULL AND verbatim_text IS NOT NULL GROUP BY 1, 2")

@@ -38,14 +38,16 @@ def p2_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.objects.groupBy("kind").agg(F.count("*").alias("n_objects"))
 
 
+def known_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole values that are known to hold separators: lemmas of the variants, texts of the phrases."""
+    lemmas = table(spark, sf_dir, "verbatim_variants").select(F.col("lemma").alias("value"))
+    return lemmas.unionByName(table(spark, sf_dir, "phrases").select(F.col("text").alias("value")))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = table(spark, sf_dir, "cde_item").select(F.col("tinyId").alias("value"))
-    variants = table(spark, sf_dir, "verbatim_variants")
-    parts = [
-        packed.split_packed(table(spark, sf_dir, name), "row_id", "tinyIds", ids, words=True).withColumn("src", F.lit(name))
-        for name in ("substitute_patterns", "inst_full_patterns")
-    ]
-    parts.append(packed.split_packed(variants, "row_id", "variants", variants.select(F.col("lemma").alias("value"))).withColumn("src", F.lit("verbatim_variants")))
+    # ids are single words: separators always part them, no dictionary can protect one
+    parts = [packed.split_packed(table(spark, sf_dir, name), "row_id", "tinyIds", None, words=True).withColumn("src", F.lit(name)) for name in ("substitute_patterns", "inst_full_patterns")]
+    parts.append(packed.split_packed(table(spark, sf_dir, "verbatim_variants"), "row_id", "variants", known_values(spark, sf_dir)).withColumn("src", F.lit("verbatim_variants")))
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return out.select("src", "row_id", "pos", "item").distinct()
 

@@ -174,6 +174,29 @@ def test_model_beats_majority_and_judges_annotators(spark):
     assert min(r["g1"], r["g2"], r["g3"]) > max(r["m1"], r["m2"]) > max(r["r1"], r["s1"])
 
 
+def test_the_bound_never_falls(spark):
+    for seed, types in ((1, 1), (2, 3), (3, 8)):
+        rows, _ = _simulated(200, {"g1": 0.9, "g2": 0.8, "m1": 0.5, "m2": 0.6, "r1": 0.2, "s1": "strip"}, seed, 4)
+        bounds = []
+        co.consensus(spark.createDataFrame(rows, "item bigint, annotator string, label string"), types=types, bounds=bounds)
+        assert len(bounds) > 2 and all(b >= a - 1e-6 for a, b in zip(bounds, bounds[1:]))
+
+
+def test_shared_types_help_where_labels_are_few(spark):
+    # forty annotators with six labels each, half of them careless: nobody's own record is enough
+    rnd, rows, truth = random.Random(12), [], {}
+    names = [(f"a{j}", 0.95 if j % 2 else 0.15) for j in range(40)]
+    left = {a: 6 for a, _ in names}
+    for i in range(48):
+        truth[i] = rnd.choice(co.CLASSES)
+        for a, p in sorted(names, key=lambda x: (-left[x[0]], rnd.random()))[:5]:
+            left[a] -= 1
+            rows.append((i, a, truth[i] if rnd.random() < p else rnd.choice(co.CLASSES)))
+    df = spark.createDataFrame(rows, "item bigint, annotator string, label string")
+    right = {k: sum(r.consensus == truth[r.item] for r in co.consensus(df, types=k)[0].collect()) for k in (1, 3, 40)}
+    assert right[3] > right[1] and right[3] >= right[40]
+
+
 def test_few_labels_lean_on_the_type(spark):
     rows, truth = _simulated(300, {"g1": 0.95, "g2": 0.95, "g3": 0.95, "r1": 0.1, "r2": 0.1}, 6, 4)
     rows += [(i, "new", truth[i]) for i in range(3)]
@@ -460,7 +483,19 @@ def test_mixture_on_awkward_tables(spark):
     docs = _docs(spark, rows).withColumn("copies", F.lit(7)).withColumn("w", F.lit("clash"))
     assert [(r.doc_id, r.copies) for r in mx.mixed(docs, targets).collect()] == [(1, 1)]
     assert mx.mixed(docs.limit(0), targets).count() == 0 and mx.mixed(docs, targets.limit(0)).count() == 0
-    assert mx.topic(None) == "none" and mx.topic("pain PAIN gait") == "symptom" and mx.topic("pain gait") == "symptom"
+    words = {"pain": 1, "gait": 0}
+    assert mx.topic(None, words) == "none" and mx.topic("pain PAIN gait moody", words) == "t1" and mx.topic("pain gait", words) == "t0" and mx.topic("painful", words) == "none"
+
+
+def test_topics_come_from_the_documents(spark):
+    rnd = random.Random(3)
+    groups = [[f"{g}word{c}" for c in "abcdefghij"] for g in ("sea", "wood", "star")]
+    texts = [" ".join(rnd.sample(g, 5) + rnd.sample(["the", "with", "every"], 2)) for g in groups for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "s", "en") for i, t in enumerate(texts)] + [(999, None, "s", "en")], "doc_id bigint, text string, source string, lang string")
+    words = mx.learn_topics(docs, 3)
+    assert len({words[g[0]] for g in groups}) == 3 and all(words[w] == words[g[0]] for g in groups for w in g)
+    got = {r.doc_id: r.topic for r in mx.described(docs, topics=words).collect()}
+    assert got[999] == "none" and all(got[i] == got[60 * (i // 60)] for i in range(180)) and mx.learn_topics(docs.limit(0)) == {}
 
 
 # ---- 10

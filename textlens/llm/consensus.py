@@ -1,14 +1,16 @@
 """Consensus of annotators who disagree, by a community confusion model (problem 3).
 
-Every annotator belongs to a latent type; each type has a confusion matrix (row: true class, column:
-label given), and an annotator's own matrix is drawn around that of the type. Variational updates
-alternate between the items' class distributions, the annotators' types, the types' matrices and the
-annotators' matrices, whose prior is the type's matrix with weight ``strength``: with few labels an
-annotator is judged as one of the type, with many by the own record.
+Every annotator belongs to a latent type; each type has one confusion matrix (row: true class, column:
+label given) that its annotators share, so an annotator with few labels is judged as one of the type.
+Classes, types and matrices have Dirichlet priors. Inference is mean-field and variational: in turn the
+items' class distributions, then the annotators' types, the matrices, the class and type weights each take
+the distribution that is best given the others. No step lowers the evidence bound, which is computed in each
+pass; passes go on until it gains less than ``LEAST_GAIN`` an item.
 
 The items' update is one pass over the items in numpy batches; it returns the expected confusion counts
 of each annotator (annotators x classes x classes), the only thing the driver sees. These grow with the
-annotators, not with items or labels; ``MAX_ANNOTATORS`` bounds and checks them.
+annotators, not with items or labels. With more than ``MAX_ANNOTATORS`` the model refuses; split the
+annotators by the items they share.
 
 Labels: blank and null labels do not count, stray case and blanks are cleaned, old words are mapped, other
 words are ignored. The latest label of an annotator for an item counts (ties: the greater label). Items
@@ -18,13 +20,15 @@ first class. Rows with null item or annotator do not count. Empty input gives an
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textlens.session import table, written
 
-MAX_ANNOTATORS = 100_000
+MAX_ANNOTATORS, LEAST_GAIN, TYPES = 100_000, 1e-5, 8
 CLASSES = ("strip", "skip", "modify", "substitute")
 OLD_WORDS = {"keep": "strip", "remove": "skip"}
 
@@ -54,11 +58,23 @@ def _mean_log(a: np.ndarray) -> np.ndarray:
     return _digamma(a) - _digamma(a.sum(-1, keepdims=True))
 
 
-def posteriors(annotators: np.ndarray, labels: np.ndarray, start: np.ndarray, log_class: np.ndarray, log_conf: np.ndarray) -> np.ndarray:
-    """Class distribution of each item; start: first label of each item in the flat arrays."""
+def posteriors(annotators: np.ndarray, labels: np.ndarray, start: np.ndarray, log_class: np.ndarray, log_conf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class distribution of each item and the log of its weight; start: first label of each item in the flat arrays."""
     score = np.add.reduceat(log_conf[annotators, :, labels], start, axis=0) + log_class
-    q = np.exp(score - score.max(1, keepdims=True))
-    return q / q.sum(1, keepdims=True)
+    most = score.max(1, keepdims=True)
+    q = np.exp(score - most)
+    total = q.sum(1, keepdims=True)
+    return q / total, (most + np.log(total))[:, 0]
+
+
+_lgamma = np.vectorize(math.lgamma, otypes=[float])
+
+
+def _divergence(a: np.ndarray, prior: np.ndarray) -> float:
+    """KL from Dirichlet(prior) to Dirichlet(a), summed over all but the last axis."""
+    prior = np.broadcast_to(prior, a.shape)
+    norm = lambda x: _lgamma(x.sum(-1)) - _lgamma(x).sum(-1)
+    return float((norm(a) - norm(prior) + ((a - prior) * _mean_log(a)).sum(-1)).sum())
 
 
 def _flat(pdf: pd.DataFrame):
@@ -67,40 +83,51 @@ def _flat(pdf: pd.DataFrame):
 
 
 class Model:
-    """Variational state on the driver: annotators' types and matrices."""
+    """Variational state on the driver: Dirichlets of classes, types and the types' matrices; the annotators' types."""
 
-    def __init__(self, n_annotators: int, k: int, types: int = 4, strength: float = 20.0):
-        self.a, self.k, self.m, self.strength = n_annotators, k, types, strength
+    def __init__(self, n_annotators: int, k: int, types: int):
+        self.a, self.k, self.m = n_annotators, k, min(types, n_annotators)
         self.prior = np.full((k, k), 0.5) + np.eye(k) * 1.5
 
-    def first(self, counts: np.ndarray) -> None:
+    def first(self, counts: np.ndarray, classes: np.ndarray) -> None:
         """Types from the annotators' agreement with the majority: equal parts from worst to best."""
         right = np.einsum("akk->a", counts) / np.maximum(counts.sum((1, 2)), 1e-9)
         rank = np.argsort(np.argsort(right, kind="stable"), kind="stable")
         self.types = np.full((self.a, self.m), 0.1 / self.m)
         self.types[np.arange(self.a), rank * self.m // self.a] += 0.9
-        self.update(counts)
-
-    def update(self, counts: np.ndarray) -> None:
-        for _ in range(3):
-            shared = self.prior + np.einsum("am,akv->mkv", self.types, counts)
-            size = 1.0 + self.types.sum(0)
-            score = _mean_log(size) + np.einsum("akv,mkv->am", counts, _mean_log(shared))
-            score -= score.max(1, keepdims=True)
-            # tempered by label count, so that a prolific annotator's type stays a soft choice
-            score /= np.maximum(1.0, counts.sum((1, 2)) / 50.0)[:, None]
-            self.types = np.exp(score) / np.exp(score).sum(1, keepdims=True)
-        mean = shared / shared.sum(2, keepdims=True)
-        self.matrix = self.strength * np.einsum("am,mkv->akv", self.types, mean) + counts
-        self.log_conf = _mean_log(self.matrix)
-        self.log_class = _mean_log(1.0 + counts.sum((0, 2)) / max(1.0, counts.sum()) * 1000)
-
-
-def consensus(labels: DataFrame, classes=CLASSES, types: int = 4, rounds: int = 30, least: int = 3) -> tuple[DataFrame, DataFrame]:
+        self._matrices(counts, classes)
+
+    def _matrices(self, counts: np.ndarray, classes: np.ndarray) -> None:
+        self.shared = self.prior + np.einsum("am,akv->mkv", self.types, counts)
+        self.sizes = 1.0 + self.types.sum(0)
+        self.class_size = 1.0 + classes
+        self.log_class = _mean_log(self.class_size)
+        self.log_conf = np.einsum("am,mkv->akv", self.types, _mean_log(self.shared))
+
+    def update(self, counts: np.ndarray, classes: np.ndarray) -> None:
+        """Types, then matrices and weights, each at its best given the others and the items."""
+        score = _mean_log(self.sizes) + np.einsum("akv,mkv->am", counts, _mean_log(self.shared))
+        score -= score.max(1, keepdims=True)
+        self.types = np.exp(score) / np.exp(score).sum(1, keepdims=True)
+        self._matrices(counts, classes)
+
+    def bound(self, log_weights: float) -> float:
+        """The evidence bound right after the items' update, whose log weights are summed."""
+        t = np.clip(self.types, 1e-300, 1)
+        types = float((self.types * (np.log(t) - _mean_log(self.sizes))).sum())
+        return log_weights - types - _divergence(self.shared, self.prior) - _divergence(self.class_size, np.ones(self.k)) - _divergence(self.sizes, np.ones(self.m))
+
+    def matrices(self) -> np.ndarray:
+        """Expected confusion matrix of each annotator."""
+        return np.einsum("am,mkv->akv", self.types, self.shared / self.shared.sum(2, keepdims=True))
+
+
+def consensus(labels: DataFrame, classes=CLASSES, types: int = TYPES, least: int = 3, bounds: list | None = None) -> tuple[DataFrame, DataFrame]:
     """(decided, reliability) from ``latest_labels`` rows.
 
     decided: item, consensus, certainty, n_annotators. reliability: annotator, n_labels, type,
     reliability (mean probability of giving the right label over the classes), agreement with consensus.
+    The evidence bounds of the passes are put into ``bounds`` if it is given.
     """
     spark, k = labels.sparkSession, len(classes)
     who = labels.select("annotator").distinct().orderBy("annotator").limit(MAX_ANNOTATORS + 1).toPandas()["annotator"].tolist()
@@ -115,51 +142,58 @@ def consensus(labels: DataFrame, classes=CLASSES, types: int = 4, rounds: int =
     items = rows.groupBy("item").agg(F.array_sort(F.collect_set("l")).alias("l")).select("item", F.col("l.a").alias("a"), F.col("l.v").alias("v"))
     items = written(items, "labelled-items")  # at most one label for each annotator, so the arrays are bounded
 
-    def expected(model: Model | None) -> np.ndarray:
+    size = len(who) * k * k
+
+    def expected(model: Model | None) -> tuple[np.ndarray, np.ndarray, float, float]:
+        """Confusion counts of the annotators, sums of the items' classes, sum of the items' log weights, items."""
         state = spark.sparkContext.broadcast(None if model is None else (model.log_class, model.log_conf))
 
         def run(batches):
-            total = np.zeros((len(who), k, k))
+            total, sums = np.zeros((len(who), k, k)), np.zeros(k + 2)
             for pdf in batches:
                 if len(pdf):
                     a, v, start, n = _flat(pdf)
                     if state.value is None:
                         votes = np.add.reduceat(np.eye(k)[v], start, axis=0)
-                        q = votes / votes.sum(1, keepdims=True)
+                        q, weight = votes / votes.sum(1, keepdims=True), np.zeros(len(n))
                     else:
-                        q = posteriors(a, v, start, *state.value)
+                        q, weight = posteriors(a, v, start, *state.value)
                     np.add.at(total, (a, slice(None), v), np.repeat(q, n, axis=0))
-            at = np.flatnonzero(total)
-            yield pd.DataFrame({"i": at, "x": total.ravel()[at]})
+                    sums += [*q.sum(0), weight.sum(), len(n)]
+            flat = np.concatenate([total.ravel(), sums])
+            at = np.flatnonzero(flat)
+            yield pd.DataFrame({"i": at, "x": flat[at]})
 
         sums = items.select("a", "v").mapInPandas(run, "i bigint, x double").groupBy("i").agg(F.sum("x").alias("x")).toPandas()
-        out = np.zeros(len(who) * k * k)
+        out = np.zeros(size + k + 2)
         out[sums["i"].to_numpy(int)] = sums["x"].to_numpy(float)
-        return out.reshape(len(who), k, k)
+        return out[:size].reshape(len(who), k, k), out[size : size + k], out[size + k], out[size + k + 1]
 
     model = Model(len(who), k, types)
-    counts = expected(None)
-    model.first(counts)
-    for _ in range(rounds):
-        new = expected(model)
-        moved = np.abs(new - counts).sum() / max(1.0, new.sum())
-        counts = new
-        model.update(counts)
-        if moved < 1e-4:
+    model.first(*expected(None)[:2])
+    before = -math.inf
+    while True:
+        counts, sums, weights, n_items = expected(model)
+        bound = model.bound(weights)
+        if bounds is not None:
+            bounds.append(bound)
+        if bound - before < LEAST_GAIN * n_items:
             break
+        before = bound
+        model.update(counts, sums)
     final = spark.sparkContext.broadcast((model.log_class, model.log_conf))
 
     def decide(batches):
         for pdf in batches:
             if len(pdf):
                 a, v, start, n = _flat(pdf)
-                q = posteriors(a, v, start, *final.value)
+                q, _ = posteriors(a, v, start, *final.value)
                 best = q.argmax(1)
                 yield pd.DataFrame({"item": pdf["item"], "consensus": [classes[b] for b in best], "certainty": q.max(1), "n_annotators": n})
 
     kind = labels.schema["item"].dataType.simpleString()
     decided = items.mapInPandas(decide, f"item {kind}, consensus string, certainty double, n_annotators int").where(F.col("n_annotators") >= least)
-    right = np.einsum("akk->ak", model.matrix / model.matrix.sum(2, keepdims=True)).mean(1)
+    right = np.einsum("akk->ak", model.matrices()).mean(1)
     made = counts.sum((1, 2))
     agree = np.einsum("akk->a", counts) / np.maximum(made, 1e-9)
     reliability = spark.createDataFrame(

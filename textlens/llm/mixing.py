@@ -11,8 +11,9 @@ closely and not only in expectation.
 A target source without documents cannot contribute; its share goes to the others in proportion, and
 the report shows it with reached share 0. Documents of no listed source (or null) take no part. A
 source that its cap holds below its target keeps the cap; the others fill up the total. Languages and
-topics keep their shares in the listed sources unless targets are given. Null languages form the
-language 'und', documents without a topic word the topic 'none'. Rows equal in the id count once. Empty
+topics keep their shares in the listed sources unless targets are given. Topics are learned from the
+documents (``learn_topics``). Null languages form the language 'und', documents without a topic word the
+topic 'none'. Rows equal in the id count once. Empty
 tables give empty tables.
 """
 
@@ -22,38 +23,91 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from textlens.llm.reading_level import WORD, document_frequencies
 from textlens.llm.tokens import TOKENIZER, encoder
 from textlens.session import table, written
 
 MAX_CELLS, BINS = 20_000, 2_048
-# Subjects of the corpus by topic (fixed values).
-TOPICS = {
-    "environment": ["air quality", "water turbidity", "soil acidity", "canopy cover", "dissolved oxygen", "heavy metals", "particulate matter", "humidity", "noise exposure", "heat exposure"],
-    "symptom": ["pain", "nausea", "fatigue", "anxiety", "stress", "mood", "sleep", "appetite", "breathing", "skin temperature"],
-    "function": ["mobility", "gait", "grip strength", "balance", "swallowing", "speech", "vision", "hearing", "posture", "memory", "attention"],
-    "social": ["social support", "housing stability", "food security", "caregiver burden", "school attendance", "work absence", "tobacco use", "alcohol use", "medication use"],
-}
+TOPICS, VOCABULARY, RARE, COMMON = 6, 400, 0.005, 0.2
+
+
+def cooccurring(docs: DataFrame, words: list[str]) -> np.ndarray:
+    """In how many documents each pair of the words stands together (diagonal: each word); words x words is all the driver sees."""
+    shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
+
+    def partial(batches):
+        index, total = shared.value, np.zeros((len(words), len(words)))
+        for pdf in batches:
+            for at in range(0, len(pdf), 1_000):
+                some = pdf["text"].iloc[at : at + 1_000]
+                x = np.zeros((len(some), len(words)), np.float32)
+                for i, t in enumerate(some):
+                    if t:
+                        x[i, [index[w] for w in set(WORD.findall(t.lower())) if w in index]] = 1
+                total += x.T @ x
+        i, j = np.nonzero(total)
+        yield pd.DataFrame({"i": i, "j": j, "n": total[i, j]})
+
+    sums = docs.select("text").mapInPandas(partial, "i int, j int, n double").groupBy("i", "j").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros((len(words), len(words)))
+    out[sums["i"], sums["j"]] = sums["n"]
+    return out
+
+
+def learn_topics(docs: DataFrame, topics: int = TOPICS, vocabulary: int = VOCABULARY) -> dict[str, int]:
+    """word -> topic, from all documents: words that keep the same company belong to one topic.
+
+    The words are the ``vocabulary`` most frequent ones that are neither rare nor common by their share of
+    documents. They are grouped by positive pointwise mutual information (its leading eigenvectors, k-means
+    from far-apart starts). Without such words every document has topic 'none'.
+    """
+    n = docs.where("text is not null").count()
+    middle = document_frequencies(docs).where((F.col("df") >= max(2, RARE * n)) & (F.col("df") <= COMMON * n) & (F.length("word") >= 4))
+    words = [r.word for r in middle.orderBy(F.desc("df"), "word").limit(vocabulary).collect()]
+    if len(words) < topics:
+        return {}
+    together = cooccurring(docs, words)
+    df = np.diag(together)
+    pmi = np.log(np.maximum(together * n, 1e-9) / np.outer(df, df))
+    pmi[(pmi < 0) | (together == 0)] = 0
+    np.fill_diagonal(pmi, 0)
+    value, vector = np.linalg.eigh(pmi)
+    x = vector[:, -topics:] * np.sqrt(np.maximum(value[-topics:], 0))
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    centres = [x[0]]
+    while len(centres) < topics:
+        centres.append(x[np.argmin(np.max(x @ np.array(centres).T, axis=1))])
+    centres = np.array(centres)
+    of = None
+    for _ in range(100):  # k-means of at most ``vocabulary`` points; a stop before it settles is a topic set as well
+        new = np.argmax(x @ centres.T, axis=1)
+        if of is not None and (new == of).all():
+            break
+        of = new
+        centres = np.array([x[of == k].mean(0) if (of == k).any() else centres[k] for k in range(topics)])
+    return {w: int(k) for w, k in zip(words, of)}
 
 
-def topic(text: str | None) -> str:
-    """The topic named most often, the first listed in a tie, 'none' without any."""
-    low, best, most = (text or "").lower(), "none", 0
-    for name, words in TOPICS.items():
-        n = sum(map(low.count, words))
-        if n > most:
-            best, most = name, n
-    return best
+def topic(text: str | None, words: dict[str, int]) -> str:
+    """The topic whose words are used most, the lowest in a tie, 'none' without any."""
+    n: dict[int, int] = {}
+    for w in WORD.findall((text or "").lower()):
+        if (k := words.get(w)) is not None:
+            n[k] = n.get(k, 0) + 1
+    return f"t{min(n, key=lambda k: (-n[k], k))}" if n else "none"
 
 
-def described(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(doc_id, source, lang, topic, n_tokens) of documents with a source; one pass over the texts."""
+def described(docs: DataFrame, tokenizer: str = TOKENIZER, topics: dict[str, int] | None = None) -> DataFrame:
+    """(doc_id, source, lang, topic, n_tokens) of documents with a source; topics as ``learn_topics`` gives them, by default learned here."""
+    rows = docs.where("source is not null")
+    words = docs.sparkSession.sparkContext.broadcast(learn_topics(rows) if topics is None else topics)  # bounded by VOCABULARY
 
     @F.pandas_udf("struct<n_tokens:bigint,topic:string>")
     def describe(texts: pd.Series) -> pd.DataFrame:
         encode = encoder(tokenizer).encode_ordinary
-        return pd.DataFrame({"n_tokens": [len(encode(t)) if t else 0 for t in texts], "topic": [topic(t) for t in texts]})
+        return pd.DataFrame({"n_tokens": [len(encode(t)) if t else 0 for t in texts], "topic": [topic(t, words.value) for t in texts]})
 
-    rows = docs.where("source is not null").select("doc_id", "source", F.coalesce("lang", F.lit("und")).alias("lang"), describe("text").alias("d"))
+    rows = rows.select("doc_id", "source", F.coalesce("lang", F.lit("und")).alias("lang"), describe("text").alias("d"))
     return rows.select("doc_id", "source", "lang", "d.topic", "d.n_tokens")
 
 
@@ -111,12 +165,14 @@ def mixed(docs: DataFrame, targets: DataFrame, total: int | None = None, langs:
     total: size of the mixture in tokens, by default that of the documents of the listed sources.
     """
     spark = docs.sparkSession
-    goals = targets.select("source", "target_share", "max_repeats").where("source is not null").limit(MAX_CELLS).toPandas()
+    goals = targets.select("source", "target_share", "max_repeats").where("source is not null").limit(MAX_CELLS + 1).toPandas()
+    if len(goals) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} target sources; mix groups of sources one after the other")
     names = [str(s) for s in goals["source"]]
     docs = docs.where(F.col("source").isin(names) & (F.col("n_tokens") > 0)).dropDuplicates(["doc_id"])
     cells = docs.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens")).limit(MAX_CELLS + 1).toPandas()
     if len(cells) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} cells of source, language and topic")
+        raise ValueError(f"more than {MAX_CELLS} cells of source, language and topic; fold rare languages or ask for fewer topics")
     cells = cells.sort_values(["source", "lang", "topic"], ignore_index=True)
     if cells.empty:
         return docs.select("doc_id", "source", "n_tokens", F.lit(0).alias("copies")).where("copies > 0")

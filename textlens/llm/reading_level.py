@@ -157,9 +157,9 @@ def p10_found(spark: SparkSession, sf_dir: str, min_words: int = 40) -> DataFram
 
 
 def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and characters by source and band."""
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'")
-    model = fit(document_frequencies(docs), table(spark, sf_dir, "reading_labels"))
+    """Documents by source and band: the whole corpus, every language, judged by the model of the labelled language."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit(document_frequencies(docs.where("lang = 'en'")), table(spark, sf_dir, "reading_labels"))
     with_source = docs.select(F.struct("doc_id", "source").alias("k"), "text")
     return bands(with_source, model, "k").groupBy("k.source", "band").agg(F.count("*").alias("n_documents"))
 

@@ -489,13 +489,13 @@ def test_mixture_on_awkward_tables(spark):
 
 def test_topics_come_from_the_documents(spark):
     rnd = random.Random(3)
-    groups = [[f"{g}word{c}" for c in "abcdefghij"] for g in ("sea", "wood", "star")]
+    groups = [[f"{g}word{c}" for c in "abcdefghij"] for g in ("sea", "wood", "star", "lamp", "rock")]
     texts = [" ".join(rnd.sample(g, 5) + rnd.sample(["the", "with", "every"], 2)) for g in groups for _ in range(60)]
     docs = spark.createDataFrame([(i, t, "s", "en") for i, t in enumerate(texts)] + [(999, None, "s", "en")], "doc_id bigint, text string, source string, lang string")
-    words = mx.learn_topics(docs, 3)
-    assert len({words[g[0]] for g in groups}) == 3 and all(words[w] == words[g[0]] for g in groups for w in g)
+    words = mx.learn_topics(docs, 5)
+    assert len({words[g[0]] for g in groups}) == 5 and all(words[w] == words[g[0]] for g in groups for w in g)
     got = {r.doc_id: r.topic for r in mx.described(docs, topics=words).collect()}
-    assert got[999] == "none" and all(got[i] == got[60 * (i // 60)] for i in range(180)) and mx.learn_topics(docs.limit(0)) == {}
+    assert got[999] == "none" and all(got[i] == got[60 * (i // 60)] for i in range(300)) and mx.learn_topics(docs.limit(0)) == {}
 
 
 # ---- 10

@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from textlens.functions import paths, text as tx
-from textlens.operators import aggregates as ag, curation as cu, encoding as en, fields, filters, grouping as gr, instruments as ins, matching as mt, mining, patterns as pt, stripping as sp, verbatim as vb
+from textlens.operators import aggregates as ag, curation as cu, discovery as dc, encoding as en, fields, filters, grouping as gr, instruments as ins, ledger as lg, matching as mt, mining, patterns as pt, stripping as sp, verbatim as vb
 
 
 def _texts(spark, rows):
@@ -367,3 +367,168 @@ def test_mine_phrases_finds_phrases_of_25_tokens(spark, monkeypatch):
     long = " ".join(f"w{i}" for i in range(25))
     monkeypatch.setattr(q_mining, "texts", lambda spark, d: _simple(spark, [("a", long), ("b", long), ("c", long)]))
     assert [(r.phrase, r.k, r.freq, r.n_ids) for r in q_mining.QUERIES["mine_phrases"](spark, "").collect()] == [(long, 25, 3, 3)]
+
+
+def test_longest_and_merged_phrases(spark):
+    k = spark.createDataFrame([("a b c", 5), ("b c d", 5), ("c d e", 5), ("b c x", 5), ("a b c", 3), ("p q", 5), ("q p", 5)], "kmer string, count int")
+    got = {(r.phrase, r.k, r["count"]) for r in gr.longest_phrases(k).collect()}
+    assert got == {("a b c d e", 5, 5), ("b c x", 3, 5), ("a b c", 3, 3), ("p q", 2, 5), ("q p", 2, 5)}
+    ids = spark.createDataFrame([("a b c", "1"), ("b c d", "2"), ("c d e", "2"), ("b c x", "9")], "phrase string, tinyId string")
+    assert {(r.phrase, r["count"]): r.n_ids for r in gr.longest_phrases(k, ids).collect()}["a b c d e", 5] == 2
+    p = spark.createDataFrame([("in the past seven", 4), ("past seven days", 4), ("days or so", 4), ("days at most", 4), ("x", 4), ("seven days", 9), ("x y x", 4)], "phrase string, count int")
+    got = {(r.phrase, r["count"]) for r in gr.merge_overlapping(p).collect()}
+    assert got == {("in the past seven days at most", 4), ("days or so", 4), ("x", 4), ("seven days", 9), ("x y x", 4)}
+    assert gr.merge_overlapping(p.limit(0)).count() == 0 and gr.longest_phrases(k.limit(0)).count() == 0
+
+
+def test_chains_and_rings(spark):
+    nodes = spark.createDataFrame([(f"n{i:02}",) for i in range(12)], "node string")
+    links = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}") for i in range(8)] + [("n09", "n10"), ("n10", "n09")], "left string, right string")
+    got = {r.node: (r.root, r.dist) for r in gr.chains(nodes, links).collect()}
+    assert all(got[f"n{i:02}"] == ("n00", i) for i in range(9)) and got["n09"][0] is None and got["n10"][0] is None and got["n11"] == ("n11", 0)
+
+
+def test_adjacent_prefix_over_partitions(spark):
+    rnd = random.Random(2)
+    names = sorted({" ".join(rnd.choice("abc") for _ in range(rnd.randint(1, 4))) for _ in range(60)})
+    want = {n: 0 if i == 0 else next((k for k in range(min(len(n.split()), len(names[i - 1].split()))) if n.split()[k] != names[i - 1].split()[k]), min(len(n.split()), len(names[i - 1].split()))) for i, n in enumerate(names)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.name: r.shared for r in gr.adjacent_prefix(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == want
+
+
+def test_mined_occurrences_equal_a_simple_model(spark):
+    rnd = random.Random(5)
+    base = ["the pain in the past seven days", "how often did you sleep well", "score of the scale"]
+    rows = [(f"r{i % 7}", "definition", f"definitions[{i}].definition", " ".join(rnd.choice(base) for _ in range(rnd.randint(1, 3))) + rnd.choice([" Ünique", " x", ""])) for i in range(24)]
+    seqs = {(r[0], r[2]): [w for w in re.findall(r"[^\W_]+", r[3].lower())] for r in rows}
+    free = {k: [True] * len(t) for k, t in seqs.items()}
+    want = {}
+    for k in range(9, 2, -1):
+        at = defaultdict(list)
+        for key, t in seqs.items():
+            for i in range(len(t) - k + 1):
+                if all(free[key][i : i + k]):
+                    at[tuple(t[i : i + k])].append((key, i))
+        good = {p: w for p, w in at.items() if len(w) >= 3 and len({key[0] for key, _ in w}) >= 2}
+        want |= {" ".join(p): sorted((*key, i, i + k) for key, i in w) for p, w in good.items()}
+        starts = defaultdict(list)
+        for w in good.values():
+            for key, i in w:
+                starts[key].append(i)
+        for key, s in starts.items():
+            last = -k
+            for i in sorted(s):
+                if i >= last + k:
+                    free[key][i : i + k], last = [False] * k, i
+    mined = mining.mine_occurrences(_texts(spark, rows), 9)
+    names = {r.phrase_id: r.text for r in mined.phrases.collect()}
+    got = defaultdict(list)
+    for r in mined.occurrences.collect():
+        got[names[r.phrase_id]].append((r.tinyId, r.field_path, r.token_start, r.token_end))
+        whole = next(x[3] for x in rows if x[0] == r.tinyId and x[2] == r.field_path)
+        assert r.verbatim_text in whole and " ".join(re.findall(r"[^\W_]+", r.verbatim_text.lower())) == names[r.phrase_id]
+    assert {p: sorted(v) for p, v in got.items()} == want and want
+
+
+def test_every_remnant_is_reported(spark):
+    t = _simple(spark, [("A", "Score  from , the ; (  ) and the,"), ("B", "nothing to see"), ("C", None), ("D", "")])
+    got = [(r.tinyId, r.remnant_type, r.position) for r in sp.remnants(t).collect()]
+    want = []
+    for name, p in sp.REMNANTS.items():
+        want += [("A", name, m.start()) for m in re.finditer(p, "Score  from , the ; (  ) and the,", re.A)]
+    assert sorted(got) == sorted(want) and len([x for x in got if x[1] == "floating_punct"]) == 2
+
+
+def test_fields_are_cleaned_in_place(spark):
+    df = spark.createDataFrame([("A", [("Score of the", "x"), (None, None)]), ("B", [("fine", "y")]), ("C", None)], "tinyId string, definitions array<struct<definition string, tag string>>")
+    out, n = sp.clean_fields(df, ["definitions.*.definition"])
+    assert {r.tinyId: r.definitions for r in out.collect()}["A"][0].definition == "Score" and out.schema == df.schema
+    assert tuple(n.first()) == (3, 1)
+
+
+def test_discovered_spellings_are_stripped_and_shown(spark):
+    t = _simple(spark, [("A", "Rate it in the past  7 days, please."), ("B", "no such thing")])
+    got = {r.tinyId: r for r in sp.discover_and_strip(t, spark.createDataFrame([("in the past 7 days",)], "pattern string")).withColumn("d", sp.line_diff(F.col("text"), F.col("stripped"))).collect()}
+    assert got["A"].stripped == "Rate it , please." and got["B"].stripped == "no such thing" and got["B"].d == ""
+    assert "-Rate it in the past  7 days, please." in got["A"].d and "+Rate it , please." in got["A"].d
+
+
+def test_token_spans(spark):
+    t = _texts(spark, [("A", "d", "p", "  The  Pain, scored (x)"), ("B", "d", "p", "")])
+    s = spark.createDataFrame([("A", "p", 2, 11), ("A", "p", 8, 9), ("A", "p", 0, 2), ("A", "p", 22, 40), ("B", "p", 0, 5)], "tinyId string, field_path string, char_start int, char_end int")
+    got = {(r.tinyId, r.char_start): (r.token_start, r.token_end) for r in ins.token_spans(t, s).collect()}
+    assert got == {("A", 2): (0, 2), ("A", 8): (1, 2), ("A", 0): (None, None), ("A", 22): (None, None), ("B", 0): (None, None)}
+
+
+def test_three_passes_and_abbreviations(spark):
+    rows = [("A", "taken as part of the Drug Abuse Screening Test (DAST) battery."), ("B", "as part of the (DAST), again"), ("C", "the Mood Rating Sheet shown"), ("D", "based on (XYZ) only")]
+    got = {(r.tinyId, r.instrument_name, r.source) for r in ins.three_passes(_simple(spark, rows), spark.createDataFrame([("Mood Rating Sheet", "MRS"), ("Drug Abuse Screening Test", "DAST")], "name string, acronym string")).collect()}
+    assert got == {("A", "Drug Abuse Screening Test", "full"), ("B", "Drug Abuse Screening Test", "acronym"), ("C", "Mood Rating Sheet", "supplementary"), ("D", "[XYZ]", "acronym")}
+    t = _simple(spark, [("A", "The Patient Health Questionnaire (PHQ) is short."), ("B", "score of PHQ"), ("C", "Rate now [ABC]")])
+    e = {r.abbreviation: r for r in ins.abbreviation_pipeline(t, spark.createDataFrame([("ABC", "All Bad Cases Scale")], "acronym string, instrument_name string")).collect()}
+    assert (e["PHQ"].expansion, e["PHQ"].category, e["PHQ"].source) == ("Patient Health Questionnaire", "instrument", "parenthetical")
+    assert (e["ABC"].expansion, e["ABC"].expansion_source, e["ABC"].confidence) == ("All Bad Cases Scale", "catalog", 0.85)
+
+
+def test_ledger_of_patterns_and_sections(spark):
+    found = lambda rows: spark.createDataFrame(rows, "pattern string, ids array<string>, source string")
+    empty = spark.createDataFrame([], "pattern string, ids array<string>, source string, first_round int, last_round int, status string")
+    one = lg.update(empty, found([("a", ["2"], "x"), ("a", ["1"], "y"), ("b", None, "x")]), 1)
+    two = {r.pattern: tuple(r) for r in lg.update(one, found([("a", ["3"], "z"), ("c", ["1"], "z")]), 2).collect()}
+    assert two == {"a": ("a", ["1", "2", "3"], "x", 1, 2, "seen"), "b": ("b", [], "x", 1, 1, "new"), "c": ("c", ["1"], "z", 2, 2, "new")}
+    h = spark.createDataFrame([("In the Past 7 days at least once", "new_candidate"), ("Mood Scale", "new_candidate"), ("x", "partial_match"), ("zzz", "new_candidate")], "phrase string, status string")
+    assert {r.section: r.name for r in lg.to_sections(h).collect()} == {"temporal": "in_the_past_7_days", "instruments": "mood_scale", "other": "zzz"}
+
+
+def test_answers_rates_and_prompts():
+    cats = ["instrument", "temporal"]
+    assert dc.answer_in('Sure! {"category": "Temporal", "confidence": 7, "reasoning": "r"} done', cats) == {"category": "temporal", "confidence": 1.0, "reasoning": "r"}
+    assert dc.answer_in("It is an instrument.", cats)["category"] == "instrument" and dc.answer_in("instrument or temporal", cats)["confidence"] == 0.0
+    assert dc.answer_in('{"category": "none"} {bad}', cats)["category"] is None and dc.answer_in(None, cats)["category"] is None
+    now, waits, calls = [0.0], [], []
+
+    def sleep(s):
+        waits.append(s)
+        now[0] += s
+
+    def client(texts):
+        calls.append(texts)
+        if len(calls) in (2, 3):
+            raise OSError
+        return [{}] * len(texts)
+
+    paced = dc.paced(client, per_minute=2, clock=lambda: now[0], sleep=sleep)
+    paced(["a"]), paced(["b"])
+    assert len(calls) == 4 and len(waits) >= 3 and now[0] > 30
+    with pytest.raises(OSError):
+        dc.paced(lambda t: (_ for _ in ()).throw(OSError()), retries=1, clock=lambda: 0.0, sleep=lambda s: None)(["x"])
+    ask = lambda prompt: '[{"category": "temporal", "confidence": 0.9}, {"category": "instrument"}]' if "1. x\n2. y" in prompt and "instrument, temporal" in prompt else ""
+    assert [a["category"] for a in dc.text_client(ask, cats)(["x", "y"])] == ["temporal", "instrument"]
+
+
+def test_discovery_in_two_passes(spark):
+    t = _simple(spark, [(i, "part of the Drug Abuse  Screening Test here") for i in "ABC"])
+    p = spark.createDataFrame([("as part of the Drug Abuse Screening Test",)], "pattern string")
+    r = dc.discovery_run(t, p).collect()
+    assert [(x.verbatim, x["pass"], x.n_ids, x.n_definition) for x in r] == [("Drug Abuse  Screening Test", "bare", 3, 3)]
+    scope = spark.createDataFrame([("as part of the Drug Abuse Screening Test", "A"), ("as part of the Drug Abuse Screening Test", "B")], "pattern string, tinyId string")
+    assert [x.n_ids for x in dc.discovery_run(t, p, scopes=scope).collect()] == [2]
+
+
+def test_renaming_and_joined_objects(spark):
+    df = spark.createDataFrame([("A", "n", [("1", "x"), (None, "y"), ("2", None)])], "tinyId string, NAME string, v array<struct<a string, b string>>")
+    assert fields.renamed(df).columns == ["tinyId", "name", "v"]
+    with pytest.raises(ValueError):
+        fields.renamed(df, {"tinyId": "x", "NAME": "X"})
+    r = df.select(fields.joined_objects(F.col("v"), ["a", "b"]).alias("o")).first().o
+    assert (r.a, r.b) == ("1;; 2", "x;; y")
+
+
+def test_ranks_beyond_sixteen_bits_raise(spark):
+    t = _simple(spark, [("A", "one")])
+    with pytest.raises(ValueError):
+        en.encode(t, spark.createDataFrame([("one", 65_536)], "token string, rank int"))

@@ -82,9 +82,22 @@ def word_count(c: Column) -> Column:
     return F.size(F.filter(F.split(c, r"\s+"), lambda w: w != ""))
 
 
+LETTERS = r"\p{L}\p{N}"
+
+
 def tokens(c: Column) -> Column:
-    """Runs of ASCII letters and digits in lower case."""
-    return F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), F.lit(0))
+    """Runs of letters and digits in lower case."""
+    return F.transform(F.regexp_extract_all(c, F.lit(f"[{LETTERS}]+"), F.lit(0)), F.lower)
+
+
+def pieces(c: Column) -> Column:
+    """One piece of the text for each of its ``tokens``: the token as written, with the signs before it."""
+    return F.regexp_extract_all(c, F.lit(f"[^{LETTERS}]*[{LETTERS}]+"), F.lit(0))
+
+
+def verbatim(pieces: Column, start: Column, k) -> Column:
+    """The text from token ``start`` on, k tokens long, exactly as written."""
+    return F.regexp_replace(F.array_join(F.slice(pieces, start + 1, k), ""), f"^[^{LETTERS}]+", "")
 
 
 def contains_word(text: Column, word: Column) -> Column:

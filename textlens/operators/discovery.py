@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import random
 import re
+import time
 from collections.abc import Callable
 
 import ahocorasick
@@ -269,3 +272,121 @@ def lemma(token: Column) -> Column:
     for form, base in _IRREGULAR.items():
         out = F.when(t == form, base).otherwise(out)
     return out
+
+
+def answer_in(text: str, categories: list[str]) -> dict:
+    """category, confidence and reasoning from a service's answer: JSON anywhere in the text, else the only category it names.
+
+    An answer without a listed category has confidence 0. Confidence is held within 0 and 1.
+    """
+    for m in re.finditer(r"\{[^{}]*\}", text or ""):
+        try:
+            d = json.loads(m[0])
+        except ValueError:
+            continue
+        low = {c.lower(): c for c in categories}
+        if (c := low.get(str(d.get("category", "")).strip().lower())) is not None:
+            try:
+                sure = min(1.0, max(0.0, float(d.get("confidence", 0.5))))
+            except (TypeError, ValueError):
+                sure = 0.0
+            return {"category": c, "confidence": sure, "reasoning": str(d.get("reasoning", ""))}
+    named = [c for c in categories if re.search(rf"\b{re.escape(c)}\b", text or "", re.I)]
+    return {"category": named[0], "confidence": 0.5, "reasoning": "named in text"} if len(named) == 1 else {"category": None, "confidence": 0.0, "reasoning": "no category"}
+
+
+def paced(client: Callable[[list[str]], list[dict]], per_minute: float = 60.0, retries: int = 3, most_wait: float = 60.0, clock=time.monotonic, sleep=time.sleep) -> Callable[[list[str]], list[dict]]:
+    """A client that keeps to a rate (token bucket) and tries again after errors, each time waiting twice as long up to ``most_wait``.
+
+    The rate holds in one task; give each task its part of a service's limit. The last error is raised.
+    """
+    state = {"tokens": per_minute, "at": None}
+
+    def call(texts: list[str]) -> list[dict]:
+        for n in range(retries + 1):
+            now = clock()
+            if state["at"] is not None:
+                state["tokens"] = min(per_minute, state["tokens"] + (now - state["at"]) * per_minute / 60)
+            state["at"] = now
+            if state["tokens"] < 1:
+                sleep((1 - state["tokens"]) * 60 / per_minute)
+                state["tokens"], state["at"] = 1, clock()
+            state["tokens"] -= 1
+            try:
+                return client(texts)
+            except Exception:
+                if n == retries:
+                    raise
+                sleep(min(most_wait, 2.0**n) * (1 + 0.1 * random.random()))
+        raise AssertionError
+
+    return call
+
+
+PROMPT = "Classify each phrase into one of: {categories}.{hint} Answer with one JSON object a phrase, keys category, confidence (0 to 1), reasoning.\n\n{phrases}"
+
+
+def question(texts: list[str], categories: list[str], hint: str = "", template: str = PROMPT) -> str:
+    """The text that asks a service about a batch; template with {categories}, {hint}, {phrases}."""
+    listed = "\n".join(f"{i}. {t}" for i, t in enumerate(texts, 1))
+    return template.format(categories=", ".join(categories), hint=f" {hint}" if hint else "", phrases=listed)
+
+
+def text_client(ask: Callable[[str], str], categories: list[str], hint: str = "") -> Callable[[list[str]], list[dict]]:
+    """A batch client over a service that answers texts: one JSON object a phrase, in order."""
+
+    def call(texts: list[str]) -> list[dict]:
+        reply = ask(question(texts, categories, hint))
+        found = re.findall(r"\{[^{}]*\}", reply or "")
+        return [answer_in(x, categories) for x in found] if found else [answer_in(reply, categories)] if len(texts) == 1 else []
+
+    return call
+
+
+def discovery_run(texts: DataFrame, patterns: DataFrame, parents: DataFrame | None = None, scopes: DataFrame | None = None, least_ids: int = 2, least_words: int = 2, key: str = "tinyId") -> DataFrame:
+    """(pattern, verbatim, pass, n_ids, n_definition, n_designation, parent_phrase): spellings found in two passes.
+
+    First the patterns as they are, then the bare names (of ``least_words`` words or more) of those with an anchor, also
+    bound to the scopes (pattern, key) if given. Spellings in fewer than ``least_ids`` records go.
+    """
+    listed = patterns.select("pattern").where("pattern is not null").distinct()
+    bare = listed.select("pattern", pt.bare_column(F.col("pattern")).alias("bare")).where((F.col("bare") != F.col("pattern")) & (F.size(F.split("bare", r"\s+")) >= least_words))
+    bare = written(bare, "bare-names")
+    one = discover(texts, listed, scopes, key).withColumn("pass", F.lit("pattern"))
+    two = discover(texts, bare.select(F.col("bare").alias("pattern")).distinct(), None, key).withColumnRenamed("pattern", "bare").join(bare, "bare")
+    if scopes is not None:
+        two = two.join(scopes.select("pattern", key).distinct(), ["pattern", key], "left_semi")
+    hits = one.select("pattern", "verbatim", "pass", key, "field_path").unionByName(two.select("pattern", "verbatim", F.lit("bare").alias("pass"), key, "field_path"))
+    field = lambda f: F.max(F.startswith("field_path", F.lit(f)).cast("int"))
+    per = hits.groupBy("pattern", "verbatim", key).agg(F.max("pass").alias("pass"), field("definitions").alias("d"), field("designations").alias("g"))
+    out = per.groupBy("pattern", "verbatim").agg(F.max("pass").alias("pass"), F.count("*").alias("n_ids"), F.sum("d").alias("n_definition"), F.sum("g").alias("n_designation")).where(F.col("n_ids") >= least_ids)
+    if parents is None:
+        return out.withColumn("parent_phrase", F.lit(None).cast("string"))
+    return out.join(parents.groupBy("pattern").agg(F.min("parent_phrase").alias("parent_phrase")), "pattern", "left")
+
+
+def strip_mode(table_: DataFrame) -> str:
+    """``splits`` if the table has proposed columns (full, sub or abbreviation), else ``legacy``."""
+    return "splits" if {"full", "sub", "abbreviation", "proposed_full", "proposed_sub"} & {c.lower() for c in table_.columns} else "legacy"
+
+
+def rematch(texts: DataFrame, patterns: DataFrame, key: str = "tinyId") -> DataFrame:
+    """(pattern, n_ids): records in which each pattern stands, literally or as ``REGEX:`` with word bounds; patterns found nowhere have no row."""
+    plain = patterns.select("pattern").distinct()
+    literal = matching.literal_hits(texts, plain.where("not pattern like 'REGEX:%'"), ignore_case=False, key=key).select("pattern", key)
+    bounded = plain.where("pattern like 'REGEX:%'").select("pattern", F.regexp_replace(F.regexp_replace("pattern", r"^REGEX:\\b|\\b$", ""), r"\\(.)", "$1").alias("word"))
+    near = matching.literal_hits(texts, bounded.select(F.col("word").alias("pattern")), ignore_case=False, key=key).withColumnRenamed("pattern", "word").join(bounded, "word")
+    edge = F.concat(F.lit(r"(?<![A-Za-z0-9_])\Q"), F.col("word"), F.lit(r"\E(?![A-Za-z0-9_])"))
+    return literal.unionByName(near.where(F.rlike("text", edge)).select("pattern", key)).groupBy("pattern").agg(F.countDistinct(key).alias("n_ids"))
+
+
+def residual_text(texts: DataFrame, phrases: DataFrame, key: str = "tinyId") -> DataFrame:
+    """(key, field_path, rest): the tokens of each text that no phrase (column name) covers, longest phrases first."""
+    seqs = mask_spans(mining.sequences(texts, key), phrases, key)
+    kept = F.filter(F.arrays_zip("tokens", "free"), lambda x: x["free"])
+    return seqs.select(key, "field_path", F.array_join(F.transform(kept, lambda x: x["tokens"]), " ").alias("rest"))
+
+
+def rare_but_listed(rare: DataFrame, allowed: DataFrame) -> DataFrame:
+    """Rare words (word, ..) without those of a list of allowed words (word), case aside."""
+    return rare.withColumn("_l", F.lower("word")).join(allowed.select(F.lower("word").alias("_l")).distinct(), "_l", "left_anti").drop("_l")

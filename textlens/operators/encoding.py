@@ -14,10 +14,12 @@ from textlens.functions import text as tx
 def encode(texts: DataFrame, ranks: DataFrame, key: str = "tinyId") -> DataFrame:
     """(key, codes): the ranks of all tokens of a record in the order of its fields; unknown tokens are 0.
 
-    ranks: (token, rank). Codes have 16 bits, so no more than 65,535 ranked tokens exist: that bounds the
-    broadcast. Tokens return to their record by one aggregation.
+    ranks: (token, rank). Codes have 16 bits, so ranks go to 65,535 (checked), which bounds the broadcast. Tokens return to their record by one aggregation.
     """
-    known = F.broadcast(ranks.where("rank > 0").select("token", "rank").limit(65_535))
+    high = ranks.agg(F.max("rank")).first()[0] or 0
+    if high > 65_535:
+        raise ValueError("codes have 16 bits: rank at most 65,535 tokens (vocabulary(most=...)), the others are code 0")
+    known = F.broadcast(ranks.where("rank > 0").select("token", "rank"))  # at most 65,535 rows
     order = F.struct(F.col("field_path"), F.col("pos"))
     tokens = texts.select(key, "field_path", F.posexplode(tx.tokens(F.col("text"))).alias("pos", "token"))
     coded = tokens.join(known, "token", "left").select(key, order.alias("o"), F.coalesce("rank", F.lit(0)).cast("int").alias("code"))
@@ -43,3 +45,8 @@ def fasta(encoded: DataFrame, key: str = "tinyId", width: int = 80) -> DataFrame
     """(record): header line and lines of ``width`` signs."""
     body = F.regexp_replace("code85", f"(.{{{width}}})(?!$)", "$1\n")
     return encoded.select(F.concat(F.lit(">"), key, F.lit("\n"), body).alias("record"))
+
+
+def lemmatised(texts: DataFrame, lemma) -> DataFrame:
+    """texts with every token as its lemma (an expression of a token), before a vocabulary is made and texts are encoded."""
+    return texts.withColumn("text", F.array_join(F.transform(tx.tokens(F.col("text")), lemma), " "))

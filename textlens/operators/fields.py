@@ -77,3 +77,25 @@ def without_leading_underscore(df: DataFrame, prefix: str = "x") -> DataFrame:
         return T.ArrayType(fix(t.elementType)) if isinstance(t, T.ArrayType) else t
 
     return df.select(*[F.col(f"`{f.name}`").cast(fix(f.dataType)).alias(prefix + f.name if f.name.startswith("_") else f.name) for f in df.schema.fields])
+
+
+EMBED_NAMES = {"Name": "name", "Question": "question", "Definition": "definition", "Pv1": "values", "Pv2": "meanings"}
+
+
+def renamed(df: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """df with its columns renamed, case aside; names that it lacks are passed over, a clash raises."""
+    by_lower = {c.lower(): c for c in df.columns}
+    wanted = {by_lower[old.lower()]: new for old, new in (EMBED_NAMES if names is None else names).items() if old.lower() in by_lower}
+    after = [wanted.get(c, c) for c in df.columns]
+    if len({c.lower() for c in after}) < len(after):
+        raise ValueError(f"renaming gives two columns one name: {after}")
+    return df.withColumnsRenamed(wanted)
+
+
+def joined_objects(objects: Column, fields: list[str], separator: str = ";; ") -> Column:
+    """A struct with the texts of each field over a list of objects, joined; a field without texts is empty."""
+    return F.struct(*[F.array_join(F.filter(F.coalesce(F.transform(objects, _field(f)), F.array().cast("array<string>")), lambda s: s != ""), separator).alias(f) for f in fields])
+
+
+def _field(name: str):
+    return lambda o: _plain(o[name])

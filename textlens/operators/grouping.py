@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textlens.functions import text as tx
-from textlens.session import written
+from textlens.session import discard, written
 
 # Words that end no group label (fixed values).
 # Temporal phrases that are expanded into their spellings (fixed values).
@@ -66,12 +66,113 @@ def temporal_normal(c: Column) -> Column:
 
 
 def adjacent_prefix(names: DataFrame) -> DataFrame:
-    """(name, shared): words shared with the alphabetically preceding name, in one order over the list (metadata)."""
+    """(name, shared): words shared with the alphabetically preceding name.
+
+    Names are range-partitioned; each partition's first name looks at the last name of the nearest partition before it that has
+    one. Only these last names, one a partition, come together.
+    """
     t = F.split(F.lower("name"), r"\s+")
-    rows = names.select("name").where("name is not null").distinct().withColumn("t", t)
-    before = F.lag("t").over(Window.orderBy("name"))
-    same = F.filter(F.sequence(F.lit(1), F.least(F.size("t"), F.size("before"))), lambda n: F.slice(F.col("t"), 1, n) == F.slice(F.col("before"), 1, n))
-    return rows.withColumn("before", before).select("name", F.when(F.col("before").isNull(), 0).otherwise(F.size(same)).alias("shared"))
+    rows = written(names.select("name").where("name is not null").distinct().repartitionByRange("name").withColumn("part", F.spark_partition_id()), "names")
+    before = F.lag("name").over(Window.partitionBy("part").orderBy("name"))
+    ends = rows.groupBy("part").agg(F.max("name").alias("end"))  # one row a partition
+    edge = ends.withColumn("edge", F.lag("end").over(Window.orderBy("part"))).select("part", "edge")
+    rows = rows.withColumn("before", before).join(F.broadcast(edge), "part").withColumn("before", F.coalesce("before", "edge"))
+    u = F.split(F.lower("before"), r"\s+")
+    same = F.filter(F.sequence(F.lit(1), F.least(F.size(t), F.size(u))), lambda n: F.slice(t, F.lit(1), n) == F.slice(u, F.lit(1), n))
+    return rows.select("name", F.when(F.col("before").isNull(), 0).otherwise(F.size(same)).alias("shared"))
+
+
+def chains(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root, dist): the head of each node's chain and the steps to it; links: (left, right), each node at most once on
+    either side. Members of a ring have no root (null).
+
+    Chains are contracted by pointer doubling, so rounds grow with the logarithm of the longest chain.
+    """
+    back = links.select(F.col("right").alias("node"), F.col("left").alias("root"))
+    jump = written(nodes.select("node").distinct().join(back, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNull(), 0).otherwise(1).cast("bigint").alias("dist")), "jump")
+    for _ in range(links.count().bit_length() + 1):  # a chain of n links ends after log2(n) doublings; rings never do
+        up = jump.select(F.col("node").alias("root"), F.col("root").alias("root2"), F.col("dist").alias("dist2"))
+        new = written(jump.join(up, "root").select("node", "root", "root2", (F.col("dist") + F.col("dist2")).alias("dist")), "jump")
+        still = new.where("root <> root2").isEmpty()
+        discard(jump)
+        jump = new.select("node", F.col("root2").alias("root"), "dist")
+        jump._written_at = new._written_at
+        if still:
+            break
+    ring = links.select(F.col("right").alias("root")).distinct().withColumn("ring", F.lit(True))
+    return jump.join(ring, "root", "left").select("node", F.when(F.col("ring").isNull(), F.col("root")).alias("root"), "dist")
+
+
+def _joined(lefts: DataFrame, rights: DataFrame) -> DataFrame:
+    """(left, right) of nodes with one key, each used once: the i-th left end in alphabetical order takes the i-th right one.
+
+    lefts, rights: (node, key). No key emits all its pairs.
+    """
+    rank = lambda df, c: df.select("key", F.col("node").alias(c), F.row_number().over(Window.partitionBy("key").orderBy("node")).alias("i"))
+    return rank(lefts, "left").join(rank(rights, "right"), ["key", "i"]).where("left <> right").select("left", "right")
+
+
+def _spelled(phrases: DataFrame, links: DataFrame, ids: DataFrame | None) -> DataFrame:
+    """(phrase, k, count, n_ids): phrases (bin, phrase) joined along links (left, right, overlap)."""
+    own = phrases.withColumn("node", F.concat_ws("\u0001", F.col("bin").cast("string"), "phrase"))
+    at = chains(own.select("node"), links.select("left", "right"))
+    cut = links.select(F.col("right").alias("node"), "overlap")
+    body = own.join(at, "node").join(cut, "node", "left").select("node", "bin", "phrase", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNull(), 0).otherwise(F.col("dist")).alias("dist"), F.when(F.col("root").isNull(), 0).otherwise(F.coalesce("overlap", F.lit(0))).alias("overlap"))
+    rest = F.array_join(F.expr("slice(split(phrase, ' '), overlap + 1, size(split(phrase, ' ')))"), " ")
+    text = F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("dist", rest.alias("w")))), lambda x: x["w"]), lambda w: w != ""), " ")
+    out = body.groupBy("root", F.col("bin").alias("count")).agg(text.alias("phrase"))
+    if ids is None:
+        return out.select("phrase", F.size(F.split("phrase", " ")).alias("k"), "count")
+    n = body.join(ids, "phrase").groupBy("root").agg(F.countDistinct("tinyId").alias("n_ids"))
+    return out.join(n, "root", "left").select("phrase", F.size(F.split("phrase", " ")).alias("k"), "count", F.coalesce("n_ids", F.lit(0)).alias("n_ids"))
+
+
+def prune_contained(phrases: DataFrame) -> DataFrame:
+    """phrases (phrase, k, count, ..) without those that are a run of words of a longer one with the same count."""
+    from textlens.operators.mining import sub_windows
+
+    inner = phrases.select("count", "phrase").distinct().join(sub_windows(phrases.select("phrase").distinct()).withColumnRenamed("long", "phrase"), "phrase")
+    return phrases.join(inner.select("count", F.col("short").alias("phrase")).distinct(), ["count", "phrase"], "left_anti").select(*phrases.columns)
+
+
+def longest_phrases(kmers: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """(phrase, k, count, [n_ids]): windows of one length and count joined where all but one word overlap, on both sides, without what is contained.
+
+    kmers: (kmer, count). ids: (phrase, tinyId) of the windows, whose union the phrase takes.
+    """
+    t = F.split("kmer", " ")
+    rows = written(kmers.select(F.col("count").alias("bin"), F.col("kmer").alias("phrase"), F.size(t).alias("k"), F.array_join(F.slice(t, 1, F.size(t) - 1), " ").alias("head"), F.array_join(F.slice(t, 2, F.size(t) - 1), " ").alias("tail")).distinct(), "kmers")
+    node = F.concat_ws("\u0001", F.col("bin").cast("string"), "phrase").alias("node")
+    key = lambda c: F.concat_ws("\u0001", F.col("bin").cast("string"), F.col("k").cast("string"), c).alias("key")
+    some = rows.where("k > 1")
+    links = written(_joined(some.select(node, key("tail")), some.select(node, key("head"))).withColumn("overlap", F.size(F.split("right", " ")) - 1), "joints")
+    return prune_contained(_spelled(rows.select("bin", "phrase"), links, ids))
+
+
+def merge_overlapping(phrases: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """(phrase, k, count, [n_ids]): phrases (phrase, count) of one count joined where an end of one begins another, widest overlaps first.
+
+    From the widest overlap down every free end takes a free beginning with the same words; ends and beginnings are used
+    once, so one pass over the overlaps that occur leaves nothing to join. Rings stay apart.
+    """
+    rows = written(phrases.select(F.col("count").alias("bin"), "phrase", F.split("phrase", " ").alias("t")).distinct(), "phrases")
+    node = F.concat_ws("\u0001", F.col("bin").cast("string"), "phrase").alias("node")
+    part = lambda at: F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda n: F.struct(n.alias("n"), F.xxhash64("bin", F.array_join(at(n), " ")).alias("h"), F.concat_ws("\u0001", F.col("bin").cast("string"), F.array_join(at(n), " ")).alias("key")))
+    some = rows.where(F.size("t") > 1)
+    lefts = written(some.select(node, F.explode(part(lambda n: F.slice("t", -n, n))).alias("p")).select("node", "p.n", "p.key"), "ends")
+    rights = written(some.select(node, F.explode(part(lambda n: F.slice("t", F.lit(1), n))).alias("p")).select("node", "p.n", "p.key"), "beginnings")
+    meets = lefts.select("n", "key").distinct().join(rights.select("n", "key").distinct(), ["n", "key"])
+    links = None
+    for n in [r.n for r in meets.select("n").distinct().orderBy(F.desc("n")).collect()]:  # one row a length
+        a, b = lefts.where(F.col("n") == n), rights.where(F.col("n") == n)
+        if links is not None:
+            a, b = a.join(links.select(F.col("left").alias("node")), "node", "left_anti"), b.join(links.select(F.col("right").alias("node")), "node", "left_anti")
+        new = written(_joined(a, b).withColumn("overlap", F.lit(n)), "joints")
+        links = new if links is None else links.unionByName(new)
+    if links is None:
+        links = rows.sparkSession.createDataFrame([], "left string, right string, overlap int")
+    discard(lefts, rights)
+    return _spelled(rows.select("bin", "phrase"), links, ids)
 
 
 def contigs(kmers: DataFrame) -> DataFrame:
@@ -87,15 +188,9 @@ def contigs(kmers: DataFrame) -> DataFrame:
     single = outs.join(ins, outs["head"] == ins["tail"]).where("n_out = 1 and n_in = 1").select(outs["head"].alias("node"))
     a, b = rows.select(F.col("kmer").alias("left"), F.col("tail").alias("node")), rows.select(F.col("kmer").alias("right"), F.col("head").alias("node"))
     links = written(a.join(single, "node").join(b, "node").where("left <> right").select("left", "right"), "links")
-    jump = written(rows.select("kmer").join(links, F.col("kmer") == F.col("right"), "left").select("kmer", F.coalesce("left", "kmer").alias("root"), F.when(F.col("left").isNull(), 0).otherwise(1).cast("bigint").alias("dist")), "jump")
-    for _ in range(links.count().bit_length() + 1):  # a chain of n links ends after log2(n) doublings; rings never do
-        up = jump.select(F.col("kmer").alias("root"), F.col("root").alias("root2"), F.col("dist").alias("dist2"))
-        new = written(jump.join(up, "root").select("kmer", "root2", (F.col("dist") + F.col("dist2")).alias("dist"), (F.col("root") != F.col("root2")).alias("moved")), "jump")
-        jump = new.select("kmer", F.col("root2").alias("root"), "dist")
-        if new.where("moved").isEmpty():
-            break
-    # members of a closed ring never find a head; they stay as windows
-    headless = jump.join(links.select(F.col("right").alias("root")).distinct(), "root", "left_semi").select("kmer")
+    jump = chains(rows.select(F.col("kmer").alias("node")), links).withColumnRenamed("node", "kmer")
+    # members of a closed ring have no head; they stay as windows
+    headless = jump.where("root is null").select("kmer")
     last = F.element_at(F.split("kmer", " "), -1)
     chain = jump.join(headless, "kmer", "left_anti").join(kmers.select("kmer", "freq"), "kmer")
     body = chain.groupBy("root").agg(F.array_sort(F.collect_list(F.struct("dist", last.alias("w")))).alias("c"), F.min("freq").alias("freq"))
@@ -124,7 +219,7 @@ def right_extension(texts: DataFrame, phrases: DataFrame, share: float = 0.5, le
     if hits is None:
         return texts.sparkSession.createDataFrame([], "phrase string, extended string, n_hits bigint, n_ids bigint")
     live, out = written(hits, "hits"), None
-    for _ in range(5):
+    while True:  # a pass takes at least the share of each phrase's hits, so it ends
         total = live.groupBy("kmer").agg(F.count("*").alias("total"))
         wide = live.where(F.size("next") > 0).select("kmer", key, F.explode(F.transform(F.sequence(F.lit(1), F.size("next")), lambda n: F.struct(n.alias("n"), F.array_join(F.slice("next", 1, n), " ").alias("w")))).alias("x"))
         n = wide.groupBy("kmer", "x.n", "x.w").agg(F.count("*").alias("n_hits"), F.countDistinct(key).alias("n_ids"))
@@ -140,3 +235,18 @@ def right_extension(texts: DataFrame, phrases: DataFrame, share: float = 0.5, le
         return texts.sparkSession.createDataFrame([], "phrase string, extended string, n_hits bigint, n_ids bigint")
     first = out.groupBy("extended").agg(F.min(F.struct((-F.col("n_hits")).alias("m"), "phrase", "n_hits", "n_ids")).alias("f"))
     return first.select("f.phrase", "extended", "f.n_hits", "f.n_ids")
+
+
+def semantic_groups(names: DataFrame, least: int = 2) -> DataFrame:
+    """(name, group_label, frame, generated): prefix groups with a label for frames of time above them, and rows that are implied.
+
+    Names with a frame of time (in the past .., since ..) are grouped by their normal form, so that ``past week`` and
+    ``last 1 week`` meet; for each ``in the past 1 unit`` also the form without the number is given, unless it is there.
+    """
+    base = names.select("name").where("name is not null").distinct()
+    framed = base.withColumn("frame", temporal_class(F.col("name"))).withColumn("normal", temporal_normal(F.col("name")))
+    labels = prefix_groups(base, least)
+    rows = framed.join(labels, "name").select("name", F.when(F.col("frame") == "none", F.col("group_label")).otherwise(F.concat(F.lit("time: "), "normal")).alias("group_label"), "frame", F.lit(False).alias("generated"))
+    implied = framed.where(F.col("normal").rlike(r"\bin the past 1 (?:hour|day|week|month|year)\b")).select(F.regexp_replace("normal", r"\bin the past 1 ", "in the past ").alias("name"), F.concat(F.lit("time: "), "normal").alias("group_label"), "frame").distinct()
+    new = implied.join(base.select(F.lower("name").alias("name")).distinct(), "name", "left_anti").withColumn("generated", F.lit(True))
+    return rows.unionByName(new.select("name", "group_label", "frame", "generated"))

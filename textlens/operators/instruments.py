@@ -197,3 +197,86 @@ def merge_dictionaries(old: DataFrame, new: DataFrame, growth: float = 3.0) -> D
     grown = (F.col("d0") == "skip") & F.col("d1").isNull() & (F.col("n1") >= growth * F.col("n0"))
     note = F.when(grown, F.concat(F.lit("grew "), "n0", F.lit(" to "), "n1"))
     return j.select("abbreviation", F.when(grown, "tentative_skip").otherwise(F.coalesce("d1", "d0", F.lit("tentative"))).alias("decision"), F.greatest(F.coalesce("n0", F.lit(0)), F.coalesce("n1", F.lit(0))).alias("n_ids"), note.alias("note"))
+
+
+def context_expansions(texts: DataFrame, abbreviations: DataFrame, key: str = "tinyId") -> DataFrame:
+    """(abbreviation, expansion, source): the first ``Full Name (ABC)`` in the abbreviation's own records, by record, field and place.
+
+    abbreviations: (abbreviation, key), the records each occurs in. Source is ``context``.
+    """
+    pair = F.transform(F.regexp_extract_all("text", F.lit(f"({_PAREN})"), F.lit(1)), lambda m: F.struct(F.regexp_extract(m, _PAREN, 1).alias("t"), F.regexp_extract(m, _PAREN, 2).alias("abbreviation")))
+    rows = texts.select(key, "field_path", F.posexplode(pair).alias("place", "m")).select(key, "field_path", "place", "m.*")
+    own = rows.join(abbreviations.select("abbreviation", key).distinct(), ["abbreviation", key])
+    first = own.groupBy("abbreviation").agg(F.min(F.struct(key, "field_path", "place", "t")).alias("f")).select("abbreviation", aligned(F.col("f.t"), F.col("abbreviation")).alias("expansion"))
+    return first.select("abbreviation", F.regexp_replace("expansion", r"(?i)^(?:the|a|an)\s+", "").alias("expansion"), F.lit("context").alias("source"))
+
+
+def expand_abbreviations(entries: DataFrame, context: DataFrame, catalog_names: DataFrame) -> DataFrame:
+    """entries (abbreviation, expansion, ..) with missing expansions from their own texts, else from the catalog of instrument names.
+
+    context: (abbreviation, expansion). catalog_names: (acronym, instrument_name). ``expansion_source`` tells which.
+    """
+    a = context.select("abbreviation", F.col("expansion").alias("_context"))
+    b = catalog_names.select(F.col("acronym").alias("abbreviation"), F.col("instrument_name").alias("_catalog"))
+    j = entries.join(a, "abbreviation", "left").join(b, "abbreviation", "left")
+    have = F.nullif(F.trim("expansion"), F.lit(""))
+    source = F.when(have.isNotNull(), "given").when(F.col("_context").isNotNull(), "context").when(F.col("_catalog").isNotNull(), "catalog")
+    rest = [c for c in entries.columns if c not in ("abbreviation", "expansion")]
+    return j.select("abbreviation", F.coalesce(have, "_context", "_catalog").alias("expansion"), *rest, source.alias("expansion_source"))
+
+
+def abbreviation_pipeline(texts: DataFrame, catalog_names: DataFrame, old: DataFrame | None = None, key: str = "tinyId") -> DataFrame:
+    """(abbreviation, expansion, expansion_source, category, confidence, source, n_ids, decision): discover in every form, expand, classify, merge.
+
+    Of several forms of one abbreviation the surest counts; its records are those of all forms. old: an earlier
+    dictionary (abbreviation, decision, n_ids), whose decisions stay.
+    """
+    paren = parenthetical(texts, key).select("abbreviation", F.lit("parenthetical").alias("source"), "n_ids", "confidence", "expansion")
+    others = [tagged(texts, BRACKETED, "bracketed", 0.85, key=key), tagged(texts, INTERCAPS, "intercaps", 0.7, 3, key=key), bare_capitals(texts, key)]
+    rows = paren
+    for o in others:
+        rows = rows.unionByName(o.withColumn("expansion", F.lit(None).cast("string")))
+    best = rows.groupBy("abbreviation").agg(F.max(F.struct("confidence", "source", "expansion")).alias("b"), F.max("n_ids").alias("n_ids"))
+    entries = best.select("abbreviation", "b.expansion", "b.source", "b.confidence", "n_ids")
+    seen = texts.select(key, F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\(([A-Z][A-Z0-9-]+)\)"), F.lit(1)))).alias("abbreviation"))
+    full = classify_abbreviations(expand_abbreviations(entries, context_expansions(texts, seen, key), catalog_names))
+    known = old if old is not None else full.select("abbreviation", F.lit(None).cast("string").alias("decision"), "n_ids").limit(0)
+    merged = merge_dictionaries(known, full.select("abbreviation", F.lit(None).cast("string").alias("decision"), "n_ids"))
+    return full.join(merged.select("abbreviation", "decision"), "abbreviation")
+
+
+def token_spans(texts: DataFrame, spans: DataFrame, key: str = "tinyId") -> DataFrame:
+    """(key, field_path, char_start, char_end, token_start, token_end): the tokens that a span of characters touches; end excluded, null if none.
+
+    spans: (key, field_path, char_start, char_end).
+    """
+    piece = tx.pieces(F.col("text"))
+    word = F.transform(piece, lambda p: F.struct(F.length(p).alias("n"), F.length(F.regexp_extract(p, f"[{tx.LETTERS}]+$", 0)).alias("w")))
+    ends = F.aggregate(word, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + x["n"])))
+    rows = texts.select(key, "field_path", word.alias("word"), ends.alias("ends")).join(spans.select(key, "field_path", "char_start", "char_end"), [key, "field_path"])
+    touched = F.filter(F.sequence(F.lit(1), F.size("ends")), lambda i: (F.element_at("ends", i) > F.col("char_start")) & (F.element_at("ends", i) - F.element_at("word", i)["w"] < F.col("char_end")))
+    hit = F.when(F.size("ends") > 0, touched)
+    return rows.select(key, "field_path", "char_start", "char_end", (F.array_min(hit) - 1).alias("token_start"), F.array_max(hit).alias("token_end"))
+
+
+def three_passes(texts: DataFrame, supplementary: DataFrame, least_words: int = 3, key: str = "tinyId") -> DataFrame:
+    """(key, field_path, instrument_name, acronym, source): full mentions; acronym-only mentions named by the first pass; known names anywhere.
+
+    supplementary: (name, acronym). A name found by an earlier pass in a text is not given again.
+    """
+    from textlens.operators.discovery import supplementary as known_names
+
+    one = mentions(texts, least_words, key).select(key, "field_path", "instrument_name", "acronym", F.lit("full").alias("source"))
+    names = acronym_names(one.select("instrument_name", "acronym"))
+    two = acronym_mentions(texts, names, key).select(key, "field_path", "instrument_name", "acronym", F.lit("acronym").alias("source"))
+    three = known_names(texts, supplementary, key=key).select(key, "field_path", F.col("name").alias("instrument_name"), "acronym", F.lit("supplementary").alias("source"))
+    rank = F.when(F.col("source") == "full", 0).when(F.col("source") == "acronym", 1).otherwise(2)
+    every = one.unionByName(two).unionByName(three)
+    best = every.groupBy(key, "field_path", "instrument_name").agg(F.min(F.struct(rank.alias("r"), "source", "acronym")).alias("b"))
+    return best.select(key, "field_path", "instrument_name", "b.acronym", "b.source")
+
+
+def sub_instrument(name: Column) -> Column:
+    """struct<instrument_id, sub_instrument>: slug of what stands before the first `` - `` or ``:``, and what follows."""
+    cut = F.split(F.trim(name), r"\s+[-–]\s+|:\s+", 2)
+    return F.struct(tx.slug(F.get(cut, F.lit(0))).alias("instrument_id"), F.nullif(F.trim(F.get(cut, F.lit(1))), F.lit("")).alias("sub_instrument"))

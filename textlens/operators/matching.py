@@ -194,3 +194,17 @@ def prefix_groups(patterns: DataFrame, words: int = 3, least: int = 2) -> DataFr
     rows = patterns.where(F.size(t) >= words).select("pattern", F.array_join(F.slice(t, 1, words), " ").alias("prefix"), F.coalesce(F.get(t, F.lit(words)), F.lit("")).alias("next"))
     g = rows.groupBy("prefix").agg(F.countDistinct("pattern").alias("n_patterns"), F.countDistinct("next").alias("n_next")).where(F.col("n_patterns") >= least)
     return g.withColumn("divergence", F.round(F.col("n_next") / F.col("n_patterns"), 4))
+
+
+def anchor_misses(texts: DataFrame, known: DataFrame, key: str = "tinyId", chars: int = 60) -> DataFrame:
+    """(anchor, context, n_ids): what follows an anchor in records where none of the known patterns was found (``known``: key)."""
+    rest = texts.join(known.select(key).distinct(), key, "left_anti")
+    p = r"\b(" + "|".join(ANCHORS) + r")\s+((?:the\s+)?[^.;!?,]{3," + str(chars) + "})"
+    m = F.transform(F.regexp_extract_all(F.lower("text"), F.lit(p), F.lit(0)), lambda x: F.struct(F.regexp_extract(x, p, 1).alias("anchor"), F.trim(F.regexp_replace(F.regexp_extract(x, p, 2), r"\s+", " ")).alias("context")))
+    return rest.select(key, F.explode(m).alias("m")).groupBy("m.anchor", "m.context").agg(F.countDistinct(key).alias("n_ids"))
+
+
+def family_misses(wanted: DataFrame, captured: DataFrame) -> DataFrame:
+    """(family, n_missed, example): records of each family that were not captured; wanted: (family, tinyId), captured: (tinyId)."""
+    missed = wanted.select("family", "tinyId").distinct().join(captured.select("tinyId").distinct(), "tinyId", "left_anti")
+    return missed.groupBy("family").agg(F.count("*").alias("n_missed"), F.min("tinyId").alias("example"))

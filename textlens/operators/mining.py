@@ -1,12 +1,14 @@
-"""Phrase mining: token windows, masked level-wise counting, subsumption, phrase families.
+"""Phrase mining: token windows, masked level-wise mining with occurrences, subsumption, phrase families.
 
-Token sequences stay one row for each text; windows are made by ``transform(sequence(..), slice)`` and
-leave the row only as (hash-partitioned, map-side combined) counts. Occurrences are never collected
-into arrays across texts.
+Token sequences stay one row for each text; windows leave them as two 64-bit hashes (128 bits tell any
+number of windows apart), and their text is looked up for those that qualify only. Counts combine map-side.
+Occurrences are a table of their own and never collected into arrays across texts.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textlens.functions import text as tx
@@ -43,34 +45,92 @@ def mask(seqs: DataFrame, phrases: DataFrame, k: int, key: str = "tinyId") -> Da
     return own.withColumn("free", F.when(F.col("starts").isNull(), F.col("free")).otherwise(free)).drop("starts")
 
 
-def mine(texts: DataFrame, k_max: int = 25, k_min: int = 3, least: int = 3, least_ids: int = 2, key: str = "tinyId") -> DataFrame:
-    """(phrase, k, freq, n_ids): from the longest windows to the shortest, each level masking what it found.
+@dataclass(frozen=True)
+class Mined:
+    """phrases (phrase_id, text, k, frequency, n_tinyids, extension_method) and
+    occurrences (phrase_id, tinyId, field_path, token_start, token_end, verbatim_text)."""
+
+    phrases: DataFrame
+    occurrences: DataFrame
+
+
+def _frequent(rows: DataFrame, by: list[str], least: int, least_ids: int) -> DataFrame:
+    per_id = rows.groupBy(*by, "key").agg(F.count("*").alias("n"))
+    return per_id.groupBy(*by).agg(F.sum("n").alias("freq"), F.count("*").alias("n_ids")).where((F.col("freq") >= least) & (F.col("n_ids") >= least_ids))
+
 
-    Windows that cannot qualify are pruned by their heads: a window of k tokens occurs at most as often as
-    its first k_min tokens, so tokens in no frequent k_min-window are masked before the loop.
+def mine_occurrences(texts: DataFrame, k_max: int = 25, k_min: int = 3, least: int = 3, least_ids: int = 2, key: str = "tinyId") -> Mined:
+    """Frequent phrases from the longest windows to the shortest, each level masking what it found, with all their occurrences.
+
+    texts: (key, field_path, text), or a ``sequences`` table whose ``free`` tokens only may be part of a phrase. A phrase's
+    frequency counts all its open windows at its level, overlapping ones too; masked are those that do not overlap, from
+    left to right. The long windows are found by their heads: a window of k tokens is open to counting only where all its
+    windows of k_min tokens are frequent, so one count over (k, hash) finds all candidates, and the levels, which depend on
+    each other, run over the candidates' few places and not over the texts.
     """
-    seqs = written(sequences(texts, key).where(F.size("tokens") >= k_min), "sequences")
-    seeds = count_kmers(seqs, k_min, least, least_ids, key).select("kmer")
-    live = seqs.select(key, "field_path", F.explode(windows(k_min)).alias("w")).join(seeds, F.col("w.kmer") == F.col("kmer"), "left_semi")
-    live = live.groupBy(key, "field_path").agg(F.collect_set("w.pos").alias("at"))
-    free = F.transform("free", lambda f, i: F.exists("at", lambda s: (i >= s) & (i < s + k_min)))
-    before, seqs = seqs, written(seqs.join(live, [key, "field_path"]).withColumn("free", free).drop("at"), "sequences")
-    discard(before)
-    longest = seqs.agg(F.max(F.size("tokens"))).first()[0] or 0
-    found = None
-    for k in range(min(k_max, longest), k_min - 1, -1):
-        level = written(count_kmers(seqs, k, least, least_ids, key), "phrases")
-        if level.isEmpty():
-            discard(level)
+    ids = ["h1", "h2"]
+    free = F.col("free") if "free" in texts.columns else F.lit(None).cast("array<boolean>")
+    split = (F.col("tokens"), F.col("tokens")) if "tokens" in texts.columns else (tx.pieces(F.col("text")), tx.tokens(F.col("text")))
+    rows = texts.select(F.col(key).alias("key"), "field_path", split[0].alias("pieces"), split[1].alias("tokens"), free.alias("free"))
+    seqs = written(rows.where(F.size("tokens") >= k_min).withColumn("rid", F.monotonically_increasing_id()), "sequences")
+    hashed = lambda at, k: [F.xxhash64(F.slice("tokens", at + 1, k)).alias("h1"), F.xxhash64(F.slice("tokens", at + 1, k), F.lit(7)).alias("h2")]
+    starts = seqs.select("key", "rid", "tokens", "free", F.explode(F.sequence(F.lit(0), F.size("tokens") - k_min)).alias("pos"))
+    starts = starts.where(F.col("free").isNull() | F.forall(F.slice("free", F.col("pos") + 1, k_min), lambda x: x)).select("key", "rid", "pos", *hashed(F.col("pos"), k_min))
+    live = starts.join(_frequent(starts, ids, least, least_ids).select(*ids), ids, "left_semi").select("rid", "pos")
+    island = F.col("pos") - F.row_number().over(Window.partitionBy("rid").orderBy("pos"))
+    live = live.withColumn("island", island).withColumn("last", F.max("pos").over(Window.partitionBy("rid", "island")))
+    reach = F.least(F.lit(k_max), F.col("last") - F.col("pos") + k_min)
+    wide = live.select("rid", "pos", F.explode(F.sequence(F.lit(k_min), reach)).alias("k")).join(seqs.select("rid", "key", "tokens"), "rid").select("key", "rid", "pos", "k", *hashed(F.col("pos"), F.col("k")))
+    wide = written(wide, "windows")
+    often = _frequent(wide, ["k", *ids], least, least_ids).select("k", *ids)
+    found = wide.join(often, ["k", *ids], "left_semi")
+    path = written(found.repartition("k", "rid"), "candidates", ["k"])
+    discard(wide)
+    levels = [r.k for r in path.select("k").distinct().orderBy(F.desc("k")).collect()]  # one row a length
+    taken, kept = None, []
+    for k in levels:
+        level = path.where(F.col("k") == k).drop("k")
+        if taken is not None:
+            own = taken.select("rid", "begin", "stop")
+            level = level.join(own, (level.rid == own.rid) & (level.pos < own.stop) & (level.pos + k > own.begin), "left_anti")
+        hits = level.join(_frequent(level, ids, least, least_ids), ids)
+        each = hits.groupBy("rid").agg(F.first("key").alias("key"), F.array_sort(F.collect_list(F.struct("pos", *ids, "freq", "n_ids"))).alias("w"))
+        chosen = F.aggregate(F.transform("w", lambda x: x["pos"]), F.array().cast("array<int>"), lambda acc, s: F.when((F.size(acc) == 0) | (s >= F.try_element_at(acc, F.lit(-1)) + k), F.concat(acc, F.array(s))).otherwise(acc))
+        out = each.withColumn("own", chosen).select("key", "rid", "own", F.explode("w").alias("w")).select("key", "rid", "w.*", F.array_contains("own", F.col("w.pos")).alias("own"))
+        out = written(out.withColumn("k", F.lit(k)), "level")
+        if out.isEmpty():
+            discard(out)
             continue
-        rows = level.select(F.col("kmer").alias("phrase"), F.lit(k).alias("k"), "freq", "n_ids")
-        found = rows if found is None else found.unionByName(rows)
-        if k > k_min:
-            before, seqs = seqs, written(mask(seqs, level, k, key), "sequences")
-            discard(before)
-    if found is None:
-        return texts.sparkSession.createDataFrame([], "phrase string, k int, freq bigint, n_ids bigint")
-    return found
+        kept.append(out)
+        mine_ = out.where("own").select("rid", F.col("pos").alias("begin"), (F.col("pos") + k).alias("stop"))
+        taken = mine_ if taken is None else taken.unionByName(mine_)
+    discard(path)
+    if not kept:
+        spark = texts.sparkSession
+        return Mined(spark.createDataFrame([], "phrase_id string, text string, k int, frequency bigint, n_tinyids bigint, extension_method string"), spark.createDataFrame([], f"phrase_id string, {key} string, field_path string, token_start int, token_end int, verbatim_text string"))
+    every = kept[0]
+    for x in kept[1:]:
+        every = every.unionByName(x)
+    told = every.select("rid", "pos", "k", "freq", "n_ids").join(seqs.select("rid", "key", "field_path", "tokens", "pieces"), "rid")
+    text = F.array_join(F.slice("tokens", F.col("pos") + 1, F.col("k")), " ")
+    as_written = tx.verbatim(F.col("pieces"), F.col("pos"), F.col("k")) if "tokens" not in texts.columns else text
+    told = written(told.select("key", "field_path", "pos", "k", "freq", "n_ids", text.alias("text"), as_written.alias("verbatim_text")).withColumn("phrase_id", F.substring(F.md5("text"), 1, 16)), "mined")
+    discard(seqs, *kept)
+    phrases = told.groupBy("phrase_id", "text", "k").agg(F.first("freq").alias("frequency"), F.first("n_ids").alias("n_tinyids")).withColumn("extension_method", F.lit("kmer"))
+    return Mined(phrases, told.select("phrase_id", F.col("key").alias(key), "field_path", F.col("pos").alias("token_start"), (F.col("pos") + F.col("k")).alias("token_end"), "verbatim_text"))
+
+
+def mine(texts: DataFrame, k_max: int = 25, k_min: int = 3, least: int = 3, least_ids: int = 2, key: str = "tinyId") -> DataFrame:
+    """(phrase, k, freq, n_ids) of ``mine_occurrences``."""
+    p = mine_occurrences(texts, k_max, k_min, least, least_ids, key).phrases
+    return p.select(F.col("text").alias("phrase"), "k", F.col("frequency").alias("freq"), F.col("n_tinyids").alias("n_ids"))
+
+
+def verbatim_variants(mined: Mined) -> DataFrame:
+    """(lemma, variants, count): the spellings of each phrase joined by ``|`` in alphabetical order, and its occurrences."""
+    forms = mined.occurrences.groupBy("phrase_id", F.trim(F.regexp_replace("verbatim_text", r"\s+", " ")).alias("form")).agg(F.count("*").alias("n"))
+    per = forms.groupBy("phrase_id").agg(F.array_join(F.array_sort(F.collect_list("form")), "|").alias("variants"), F.sum("n").alias("count"))
+    return mined.phrases.select("phrase_id", F.col("text").alias("lemma")).join(per, "phrase_id").select("lemma", "variants", "count")
 
 
 def ngrams(texts: DataFrame, low: int, high: int) -> DataFrame:

@@ -345,3 +345,20 @@ def greedy_cover(groups: DataFrame, least_new: int = 2, long_from: int | None =
     every = rows.select("group", "k", "weight").distinct().join(new, "group", "left")
     stays = F.col("n_new").isNotNull() if long_from is None else F.col("n_new").isNotNull() | ((F.col("weight") >= least_new) & (F.col("k") >= long_from))
     return every.where(stays).select("group", "k", F.coalesce("n_new", F.lit(0)).alias("n_new"))
+
+
+def tiers(kept: DataFrame, words: int = 3) -> DataFrame:
+    """kept patterns with ``tier``: long ones (of ``words`` words or more) strip safely, short ones want review."""
+    return kept.withColumn("tier", F.when(F.size(F.split(F.trim("pattern"), r"\s+")) >= words, "long").otherwise("short"))
+
+
+def cross_acronyms(patterns: DataFrame) -> DataFrame:
+    """(pattern, variant): every name with each acronym that any pattern of the same name has, in brackets and with a dash.
+
+    Acronyms of a name meet by an equi-join on the name without acronym, case aside.
+    """
+    core = core_column(F.col("pattern"))
+    rows = patterns.select("pattern", core.alias("c")).select("pattern", F.col("c.core").alias("core"), F.lower("c.core").alias("k"), F.col("c.acronym").alias("acronym"))
+    acronyms = rows.where("acronym is not null").select("k", F.col("acronym").alias("a")).distinct()
+    forms = F.array(F.concat("core", F.lit(" ("), "a", F.lit(")")), F.concat("core", F.lit(" ("), "a", F.lit(") -")), F.concat("a", F.lit(" - "), "core"))
+    return rows.join(acronyms, "k").select("pattern", F.explode(forms).alias("variant")).where("variant <> pattern").distinct()

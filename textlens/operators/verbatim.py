@@ -110,6 +110,20 @@ def template(forms: list[str], least_core: int = 10) -> dict:
     return {"core": core, "prefix_slot": pre, "suffix_slot": post, "regex": pre + re.escape(core) + post}
 
 
+def infix(forms: list[str]) -> tuple[str, str, str]:
+    """(common beginning, slot of what differs, common end) of the forms, case aside; the beginning is found first."""
+    if not forms:
+        return "", "", ""
+    first, low = forms[0], [_low(f) for f in forms]
+    n = 0
+    while n < min(map(len, low)) and len({x[n] for x in low}) == 1:
+        n += 1
+    m = 0
+    while m < min(map(len, low)) - n and len({x[len(x) - 1 - m] for x in low}) == 1:
+        m += 1
+    return first[:n], slot([f[n : len(f) - m] for f in forms]), first[len(first) - m :] if m else ""
+
+
 def difference(form: str, longest: str) -> tuple[str, str, str]:
     """(missing prefix, missing suffix, summary) of a form against the longest one."""
     at = longest.lower().find(form.lower())

@@ -53,12 +53,12 @@ def _(spark, d):
     return table(spark, d, "inst_full_patterns").where("pattern is not null").select("row_id", dc.extend_span(F.col("pattern"), F.lit(3), F.lit(8)).alias("span"))
 
 
-@query("whole_text_phrases", with_texts(", t AS (SELECT tinyId, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM texts) SELECT array_to_string(t, ' ') AS phrase, len(t) AS k, count(DISTINCT tinyId) AS n_ids FROM t WHERE len(t) > 8 GROUP BY 1, 2 HAVING count(DISTINCT tinyId) >= 2"))
+@query("whole_text_phrases", with_texts(", t AS (SELECT tinyId, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS t FROM texts) SELECT array_to_string(t, ' ') AS phrase, len(t) AS k, count(DISTINCT tinyId) AS n_ids FROM t WHERE len(t) > 8 GROUP BY 1, 2 HAVING count(DISTINCT tinyId) >= 2"))
 def _(spark, d):
     return dc.whole_text_phrases(texts(spark, d), 8)
 
 
-_GRAMS = ", s AS (SELECT tinyId, field, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM texts), g AS (SELECT DISTINCT tinyId, field, array_to_string(t[i:i+n-1], ' ') AS phrase FROM s, unnest(range(1, len(t) + 1)) r(i), unnest([3, 4]) q(n) WHERE i + n - 1 <= len(t))"
+_GRAMS = ", s AS (SELECT tinyId, field, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS t FROM texts), g AS (SELECT DISTINCT tinyId, field, array_to_string(t[i:i+n-1], ' ') AS phrase FROM s, unnest(range(1, len(t) + 1)) r(i), unnest([3, 4]) q(n) WHERE i + n - 1 <= len(t))"
 
 
 @query("prune_global", with_texts(_GRAMS + ", c AS (SELECT DISTINCT field, unnest([array_to_string(string_split(phrase, ' ')[1:3], ' '), array_to_string(string_split(phrase, ' ')[2:4], ' ')]) AS phrase FROM g WHERE len(string_split(phrase, ' ')) = 4) SELECT g.field, g.phrase, count(*) AS n_ids FROM g ANTI JOIN c ON c.field = g.field AND c.phrase = g.phrase GROUP BY 1, 2"))

@@ -157,7 +157,7 @@ def _(spark, d):
     return ag.fingerprint(table(spark, d, "cde_item"), "tinyId")
 
 
-@query("vocab_rank", with_texts(", w AS (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM texts), c AS (SELECT token, count(*) AS n FROM w GROUP BY 1) SELECT token, n, CASE WHEN n >= 2 AND row_number() OVER (ORDER BY n DESC, token) <= 10500 THEN row_number() OVER (ORDER BY n DESC, token) ELSE 0 END AS rank FROM c"))
+@query("vocab_rank", with_texts(", w AS (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS token FROM texts), c AS (SELECT token, count(*) AS n FROM w GROUP BY 1) SELECT token, n, CASE WHEN n >= 2 AND row_number() OVER (ORDER BY n DESC, token) <= 10500 THEN row_number() OVER (ORDER BY n DESC, token) ELSE 0 END AS rank FROM c"))
 def _(spark, d):
     return ag.vocabulary(texts(spark, d))
 

@@ -69,7 +69,7 @@ def _(spark, d):
     return gr.right_extension(t, mining.count_kmers(mining.sequences(t), 3, 10, 5).select("kmer"), least_ids=5)
 
 
-@query("id_histogram", with_texts(", g AS (SELECT tinyId, array_to_string(t[i:i+2], ' ') AS kmer FROM (SELECT tinyId, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM texts), unnest(range(1, len(t) - 1)) r(i)), c AS (SELECT kmer, count(DISTINCT tinyId) AS n_ids FROM g GROUP BY 1 HAVING count(*) >= 3 AND count(DISTINCT tinyId) >= 2) SELECT 3 AS k, n_ids, count(*) AS n FROM c GROUP BY 2"))
+@query("id_histogram", with_texts(", g AS (SELECT tinyId, array_to_string(t[i:i+2], ' ') AS kmer FROM (SELECT tinyId, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS t FROM texts), unnest(range(1, len(t) - 1)) r(i)), c AS (SELECT kmer, count(DISTINCT tinyId) AS n_ids FROM g GROUP BY 1 HAVING count(*) >= 3 AND count(DISTINCT tinyId) >= 2) SELECT 3 AS k, n_ids, count(*) AS n FROM c GROUP BY 2"))
 def _(spark, d):
     return files.id_histogram(mining.count_kmers(mining.sequences(texts(spark, d)), 3).withColumn("k", F.lit(3)))
 

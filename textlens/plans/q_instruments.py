@@ -183,10 +183,10 @@ def _(spark, d):
     return table(spark, d, "occurrences").where("phrase_id is not null and verbatim_text is not null").groupBy("phrase_id", "verbatim_text").agg(F.count("*").alias("n"), F.countDistinct("tinyId").alias("n_ids"))
 
 
-_RANK = ", w AS (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM texts), c AS (SELECT token, count(*) AS n FROM w GROUP BY 1), rk AS (SELECT token, CASE WHEN n >= 2 THEN row_number() OVER (ORDER BY n DESC, token) ELSE 0 END AS rank FROM c)"
+_RANK = ", w AS (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS token FROM texts), c AS (SELECT token, count(*) AS n FROM w GROUP BY 1), rk AS (SELECT token, CASE WHEN n >= 2 THEN row_number() OVER (ORDER BY n DESC, token) ELSE 0 END AS rank FROM c)"
 
 
-@query("encode_tokens", with_texts(_RANK + ", t AS (SELECT tinyId, field_path, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token, generate_subscripts(regexp_extract_all(lower(text), '[a-z0-9]+'), 1) AS pos FROM texts) SELECT tinyId, array_to_string(list(rank ORDER BY field_path, pos), ' ') AS codes FROM t JOIN rk USING (token) GROUP BY 1"))
+@query("encode_tokens", with_texts(_RANK + ", t AS (SELECT tinyId, field_path, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS token, generate_subscripts(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), 1) AS pos FROM texts) SELECT tinyId, array_to_string(list(rank ORDER BY field_path, pos), ' ') AS codes FROM t JOIN rk USING (token) GROUP BY 1"))
 def _(spark, d):
     t = texts(spark, d)
     return en.encode(t, ag.vocabulary(t)).select("tinyId", F.array_join(F.transform("codes", lambda c: c.cast("string")), " ").alias("codes"))

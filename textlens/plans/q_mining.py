@@ -21,7 +21,7 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-_TOK = ", s AS (SELECT tinyId, field, field_path, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM texts)"
+_TOK = ", s AS (SELECT tinyId, field, field_path, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS t FROM texts)"
 
 
 def _grams(k: int) -> str:

@@ -90,9 +90,11 @@ class Workflow:
 
 
 def production_strip(lists: dict[str, DataFrame], seeds: list[str]) -> Workflow:
-    """texts -> substitution -> expanded temporal seeds -> seven variants -> clean-up -> report.
+    """texts -> substitution -> expanded temporal seeds -> seven variants -> clean-up -> quality report; and embedding texts.
 
-    lists: substitute, inst_full, inst_sub, phrase as ``stripping.strip_lists`` takes them.
+    lists: substitute, inst_full, inst_sub, phrase as ``stripping.strip_lists`` takes them: thousands of universal and
+    scoped patterns. Every variant sees scoped patterns in each of its branches. Tables: ``clean`` (tinyId, field_path,
+    variant, text), ``report``, ``embed`` (tinyId, variant, embed_text).
     """
     from pyspark.sql import functions as F
 
@@ -113,10 +115,22 @@ def production_strip(lists: dict[str, DataFrame], seeds: list[str]) -> Workflow:
     def cleaned(spark, t, v):
         # long form: one clean-up expression for all variants, small enough for generated code
         each = F.explode(F.array(*[F.struct(F.lit(c).alias("variant"), F.col(c).alias("text")) for c in stripping.STAGES]))
-        return stripping.clean(t["branch"].select("tinyId", "field_path", each.alias("x")).select("tinyId", "field_path", "x.*"), "text", passes=2)
+        return stripping.clean(t["branch"].select("tinyId", "field_path", each.alias("x")).select("tinyId", "field_path", "x.*"), "text")
 
     def report(spark, t, v):
-        found = F.regexp_count(F.lower("text"), F.lit(matching.TEMPORAL))
-        return t["clean"].groupBy("variant").agg(F.sum(found).alias("n_hits"))
-
-    return Workflow("production_strip", [Step("substitute", substitute), Step("expand_temporal", expand), Step("branch", branch, materialise=True), Step("clean", cleaned), Step("report", report)])
+        """(variant, n_texts, n_temporal, n_boilerplate, n_anchors): what is left of each kind of phrase."""
+        hits = lambda p: F.sum(F.regexp_count(F.lower("text"), F.lit(p)))
+        anchors = r"\b(?:" + "|".join(matching.ANCHORS) + r")\b"
+        return t["clean"].groupBy("variant").agg(F.count(F.when(F.col("text") != "", 1)).alias("n_texts"), hits(matching.TEMPORAL).alias("n_temporal"), hits(matching.BOILERPLATE).alias("n_boilerplate"), hits(anchors).alias("n_anchors"))
+
+    def embed(spark, t, v):
+        """Names, then definitions of a record in the order of their places, joined; one row for each variant."""
+        part = F.when(F.col("field_path").startswith("designations"), 0).when(F.col("field_path").startswith("definitions"), 1).otherwise(2)
+        place = F.coalesce(F.regexp_extract("field_path", r"\[(\d+)\]", 1).try_cast("int"), F.lit(0))
+        rows = t["clean"].where("text <> ''").select("tinyId", "variant", F.struct(part.alias("part"), place.alias("place"), "field_path", "text").alias("x")).where("x.part < 2")
+        names = F.array_join(F.transform(F.filter("xs", lambda x: x["part"] == 0), lambda x: x["text"]), ";; ")
+        definition = F.array_join(F.transform(F.filter("xs", lambda x: x["part"] == 1), lambda x: x["text"]), ";; ")
+        return rows.groupBy("tinyId", "variant").agg(F.array_sort(F.collect_list("x")).alias("xs")).select("tinyId", "variant", F.concat_ws(" :--: ", F.nullif(names, F.lit("")), F.nullif(definition, F.lit(""))).alias("embed_text"))
+
+    steps = [Step("substitute", substitute), Step("expand_temporal", expand), Step("branch", branch, materialise=True), Step("clean", cleaned, materialise=True), Step("report", report), Step("embed", embed)]
+    return Workflow("production_strip", steps)

@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _fallback: list[str] = []  # the local folder of this process, once one was needed
-_scratch: dict[str, SparkSession] = {}  # tables of ``written()`` that still exist
+_scratch: set[str] = set()  # places of the tables of ``written()`` that still exist
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -60,23 +60,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet under a fresh name in the shared folder and read it again.
+def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Write df as Parquet under a fresh name in the shared folder (in a folder for each value of ``by``) and read it again.
 
     Unlike checkpoint() the table is columnar: a reader that needs two columns reads two.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = df.sparkSession.read.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
     out._written_at = path
-    _scratch[path] = df.sparkSession
+    _scratch.add(path)
     return out
 
 
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    _scratch.pop(path, None)
+    _scratch.discard(path)
 
 
 def discard(*tables: DataFrame | None) -> None:
@@ -88,5 +88,6 @@ def discard(*tables: DataFrame | None) -> None:
 
 def sweep() -> None:
     """Delete every table of ``written()`` that still exists: once the results of all queries so far have been read."""
-    for path, spark in list(_scratch.items()):
+    spark = SparkSession.getActiveSession()
+    for path in list(_scratch) if spark is not None else ():
         _delete(spark, path)

@@ -79,10 +79,12 @@ def read_parents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ids(spark: SparkSession, spec: str) -> DataFrame:
-    """(ord, id): distinct ids of a JSON list or object, a CSV/TSV column (``file:column``) or a plain list, first place kept."""
+    """(ord, id): distinct ids of a JSON list or object (the list under tinyIds or tinyId, else its keys), a CSV/TSV column (``file:column``) or a plain list, first place kept."""
     path, _, column = spec.partition(":") if not re.match(r"^\w+://", spec) else (*spec.rsplit(":", 1)[:1], "", "")
     if path.endswith(".json"):
-        cells = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(r'"([^"]+)"'), F.lit(1))).alias("cell"))
+        whole = spark.read.text(path, wholetext=True)
+        listed = F.coalesce(F.from_json("value", "array<string>"), F.from_json("value", "struct<tinyIds:array<string>>")["tinyIds"], F.from_json("value", "struct<tinyId:array<string>>")["tinyId"], F.map_keys(F.from_json("value", "map<string,string>")))
+        cells = whole.select(F.explode(listed).alias("cell"))
     elif path.endswith((".csv", ".tsv")):
         df = read_tsv(spark, path, "," if path.endswith(".csv") else "\t")
         cells = df.select(F.col(f"`{_column(df, column or df.columns[0])}`").alias("cell"))
@@ -204,3 +206,27 @@ def markdown(df: DataFrame, title: str, most: int = 50) -> str:
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
     lines = [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
     return "\n".join(lines + ["| " + " | ".join(cell(v) for v in r) + " |" for r in rows]) + "\n"
+
+
+def read_phrases(spark: SparkSession, path: str, lower: bool = False) -> DataFrame:
+    """(phrase_id, text, tokens, ids) of a phrase table in TSV, as grouping and family analysis take it."""
+    df = read_tsv(spark, path)
+    have = {c.lower(): c for c in df.columns}
+    text = F.col(f"`{have.get('text') or have.get('phrase_text') or _column(df, 'phrase')}`")
+    text = F.lower(text) if lower else text
+    own = ids(F.col(f"`{have['tinyids']}`")) if "tinyids" in have else F.array().cast("array<string>")
+    return df.select(F.col(f"`{_column(df, 'phrase_id')}`").alias("phrase_id"), text.alias("text"), F.filter(F.split(text, " "), lambda w: w != "").alias("tokens"), own.alias("ids")).where("text is not null and text <> ''")
+
+
+def write_ledger(df: DataFrame, path: str, meta: dict | None = None) -> None:
+    """A decision ledger as TSV (phase, pattern, decision, modification, decided_at, notes) and, in ``meta.json`` beside it, what is known of the run."""
+    cols = ["phase", "pattern", "decision", "modification", "decided_at", "notes"]
+    write_flat(df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in cols]), path)
+    if meta is not None:
+        spark = df.sparkSession
+        spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path.rstrip("/") + ".meta.json")
+
+
+def expected_ids(patterns: DataFrame) -> DataFrame:
+    """(pattern, tinyId) of patterns with their own records; a pattern without ids is for every record and has no row."""
+    return patterns.where(F.size("ids") > 0).select("pattern", F.explode("ids").alias("tinyId")).distinct()

@@ -209,5 +209,12 @@ WITH w AS (SELECT DISTINCT tinyId, list_sort(list_distinct(regexp_extract_all(lo
 u AS (SELECT tinyId, ws, len(ws) AS n, unnest(ws) AS word FROM w),
 c AS (SELECT a.tinyId AS tinyid_a, b.tinyId AS tinyid_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
       FROM u a JOIN u b ON a.word = b.word AND a.tinyId < b.tinyId GROUP BY 1, 2)
-SELECT tinyid_a, tinyid_b FROM c WHERE shared >= 0.7 * (na + nb - shared) - 1e-9"""
+SELECT tinyid_a, tinyid_b FROM c WHERE shared >= 0.7 * (na + nb - shared) - 1e-9""",
+    "p7_groups": r"""
+WITH w AS (SELECT DISTINCT tinyId, list_sort(list_distinct(regexp_extract_all(lower(name), '[\p{L}\p{N}]+'))) AS ws FROM duplicates_manifest WHERE tinyId IS NOT NULL AND name IS NOT NULL),
+m AS (SELECT tinyId, ws, upper(md5(array_to_string(ws, ' '))) AS class_id FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT class_id, ws, len(ws) AS n FROM m), u AS (SELECT class_id, n, unnest(ws) AS word FROM s),
+c AS (SELECT a.class_id AS x, b.class_id AS y, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared FROM u a JOIN u b ON a.word = b.word AND a.class_id < b.class_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM c WHERE shared >= 0.7 * (na + nb - shared) - 1e-9), d AS (SELECT i, count(*) AS n FROM (SELECT x AS i FROM l UNION ALL SELECT y FROM l) GROUP BY 1)
+SELECT DISTINCT m.tinyId, m.class_id, coalesce(d.n, 0) AS n_links FROM m LEFT JOIN d ON d.i = m.class_id""",
 }

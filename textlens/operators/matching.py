@@ -109,15 +109,17 @@ def validate_subsumption(hits: DataFrame, groups: DataFrame, key: str = "tinyId"
 
 
 def around(hits: DataFrame, most: int = 3) -> DataFrame:
-    """(pattern, side, n_words, words, n): up to ``most`` words left and right of each first hit, counted."""
-    at = F.instr(F.lower("text"), F.lower("pattern"))
-    left = F.filter(F.split(F.lower(F.substring("text", F.lit(1), at - 1)), r"\s+"), lambda w: w != "")
-    right = F.filter(F.split(F.lower(F.substring("text", at + F.length("pattern"), F.length("text"))), r"\s+"), lambda w: w != "")
-    each = []
-    for side, words in (("left", left), ("right", right)):
-        each += [F.struct(F.lit(side).alias("side"), F.lit(n).alias("n_words"), F.when(F.size(words) >= n, F.array_join(F.slice(words, -n if side == "left" else 1, n), " ")).alias("words")) for n in range(1, most + 1)]
-    rows = hits.select("pattern", F.explode(F.array(*each)).alias("c")).where("c.words is not null")
-    return rows.groupBy("pattern", "c.side", "c.n_words", "c.words").agg(F.count("*").alias("n"))
+    """(pattern, side, n_words, words, n): up to ``most`` words left and right of every hit (from left to right, without overlap), counted."""
+    quoted = F.concat(F.lit(r"\Q"), F.replace(F.lower("pattern"), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    parted = hits.select("pattern", F.lower("pattern").alias("l"), F.split(F.lower("text"), quoted, -1).alias("p")).where(F.size("p") > 1)
+    at = parted.select("pattern", "l", "p", F.explode(F.sequence(F.lit(1), F.size("p") - 1)).alias("i"))
+    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    left, right = words(F.array_join(F.slice("p", F.lit(1), F.col("i")), "\u0000").alias("x")), words(F.array_join(F.slice("p", F.col("i") + 1, F.size("p")), "\u0000"))
+    sides = F.array(F.struct(F.lit("left").alias("side"), left.alias("w")), F.struct(F.lit("right").alias("side"), right.alias("w")))
+    rows = at.select("pattern", "l", F.explode(sides).alias("s")).select("pattern", "s.side", F.filter(F.split(F.replace(F.array_join("s.w", " "), F.lit("\u0000"), F.col("l")), r"\s+"), lambda w: w != "").alias("w"))
+    each = rows.where(F.size("w") > 0).select("pattern", "side", "w", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), F.size("w")))).alias("n_words"))
+    said = F.array_join(F.when(F.col("side") == "left", F.slice("w", -F.col("n_words"), F.col("n_words"))).otherwise(F.slice("w", F.lit(1), F.col("n_words"))), " ")
+    return each.groupBy("pattern", "side", "n_words", said.alias("words")).agg(F.count("*").alias("n"))
 
 
 def recall(wanted: DataFrame, captured: DataFrame) -> DataFrame:

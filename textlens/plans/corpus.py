@@ -65,3 +65,16 @@ def with_texts(body: str) -> str:
 
 def with_items(body: str) -> str:
     return f"WITH {SQL_ITEMS}{body if body.lstrip().startswith(',') else ' ' + body}"
+
+
+def everything(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tinyId, field, field_path, text): the corpus's texts and the texts in which instruments were found."""
+    m = table(spark, sf_dir, "instrument_match").where("full_match is not null and tinyId is not null")
+    return texts(spark, sf_dir).select("tinyId", "field", "field_path", "text").unionByName(m.select("tinyId", F.lit("definition").alias("field"), "field_path", F.col("full_match").alias("text")))
+
+
+SQL_EVERYTHING = ", every AS (SELECT tinyId, field, field_path, text FROM texts UNION ALL SELECT tinyId, 'definition', field_path, full_match FROM instrument_match WHERE full_match IS NOT NULL AND tinyId IS NOT NULL)"
+
+
+def with_everything(body: str) -> str:
+    return with_texts(SQL_EVERYTHING + (body if body.lstrip().startswith(",") else " " + body))

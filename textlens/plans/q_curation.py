@@ -74,7 +74,7 @@ def _(spark, d):
     return cu.classify(current, ids, _ledger(spark, d), c.where("loaded_at < timestamp'2024-09-01'").select("pattern", F.col("curator").alias("tinyId")))
 
 
-@query("curation_gate")
+@query("curation_gate", f"WITH {_LED}, cur AS (SELECT DISTINCT pattern FROM curation_decision WHERE pattern IS NOT NULL), ids AS (SELECT DISTINCT pattern, curator AS tinyId FROM curation_decision WHERE pattern IS NOT NULL), lid AS (SELECT DISTINCT pattern, curator AS tinyId FROM curation_decision WHERE pattern IS NOT NULL AND loaded_at < TIMESTAMP '2024-09-01'), nw AS (SELECT DISTINCT pattern FROM (SELECT * FROM ids EXCEPT SELECT * FROM lid)), c AS (SELECT cur.pattern, CASE WHEN led.decision = 'strip' THEN 'auto_strip' WHEN led.decision IN ('skip', 'modify', 'substitute') AND nw.pattern IS NULL THEN 'auto_' || led.decision WHEN led.decision IN ('skip', 'modify', 'substitute') THEN 'review_changed_' || led.decision ELSE 'review_new' END AS status, led.decision AS prior, CASE WHEN led.decision IN ('modify', 'substitute') THEN led.modification END AS modification FROM cur LEFT JOIN led ON led.pattern = cur.pattern LEFT JOIN nw ON nw.pattern = cur.pattern) SELECT CASE WHEN status LIKE 'auto_%' THEN 'resolved' ELSE 'review' END AS part, pattern, CASE WHEN status LIKE 'auto_%' THEN prior ELSE '' END AS decision FROM c")
 def _(spark, d):
     c = table(spark, d, "curation_decision").where("pattern is not null")
     ids = c.select("pattern", F.col("curator").alias("tinyId")).distinct()
@@ -126,6 +126,6 @@ def _(spark, d):
     return cu.priority_split(table(spark, d, "phrases").select(F.col("text").alias("pattern")), zipf, 6.0)
 
 
-@query("packed_scope_ids")
+@query("packed_scope_ids", r"WITH i AS (SELECT row_id, unnest(list_filter(string_split_regex(regexp_replace(tinyIds, '[\[\](){}\"'']', '', 'g'), '[\s|,;]+'), lambda x: x <> '')) AS id FROM inst_full_patterns WHERE tinyIds IS NOT NULL) SELECT row_id, count(DISTINCT id) AS n_ids FROM i GROUP BY 1")
 def _(spark, d):
     return packed.split_packed(table(spark, d, "inst_full_patterns"), "row_id", "tinyIds", None, words=True).groupBy("row_id").agg(F.countDistinct("item").alias("n_ids"))

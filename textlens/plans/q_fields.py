@@ -40,10 +40,17 @@ def _(spark, d):
     return up.select("tinyId", F.array_join(paths.get(up, "definitions.*.definition"), "|").alias("t"))
 
 
-@query("leaf_walk", with_items(", l AS (SELECT unnest([valueDomain.datatype, valueDomain.name, valueDomain.uom]) AS v, unnest(['valueDomain.datatype', 'valueDomain.name', 'valueDomain.uom']) AS path FROM items WHERE valueDomain IS NOT NULL) SELECT path, count(*) AS n, count(v) AS n_set FROM l GROUP BY path"))
+_DOMAIN, _VALUE = ("datatype", "name", "definition", "uom", "vsacOid"), ("permissibleValue", "valueMeaningName", "valueMeaningDefinition", "valueMeaningCode", "codeSystemName", "codeSystemVersion", "conceptId", "conceptSource")
+_LEAVES = " UNION ALL ".join(
+    [f"SELECT 'valueDomain.{f}' AS path, valueDomain.{f} AS v FROM items WHERE valueDomain IS NOT NULL" for f in _DOMAIN]
+    + [f"SELECT 'valueDomain.permissibleValues.*.{f}', e.{f} FROM items, unnest(valueDomain.permissibleValues) t(e) WHERE e IS NOT NULL" for f in _VALUE]
+    + ["SELECT 'valueDomain.permissibleValues.*', NULL FROM items, unnest(valueDomain.permissibleValues) t(e) WHERE e IS NULL", "SELECT 'valueDomain.permissibleValues', NULL FROM items WHERE valueDomain IS NOT NULL AND valueDomain.permissibleValues IS NULL", "SELECT 'valueDomain', NULL FROM items WHERE valueDomain IS NULL"]
+)
+
+
+@query("leaf_walk", with_items(f", l AS ({_LEAVES}) SELECT path, count(*) AS n, count(v) AS n_set FROM l GROUP BY path"))
 def _(spark, d):
     leaf = ag.leaf_rows(items(spark, d, "valueDomain"), [], ["valueDomain"])
-    leaf = leaf.where(F.col("path").isin("valueDomain.datatype", "valueDomain.name", "valueDomain.uom"))
     return leaf.groupBy("path").agg(F.count("*").alias("n"), F.count("value").alias("n_set"))
 
 

@@ -33,7 +33,10 @@ def _(spark, d):
     return gr.prefix_groups(table(spark, d, "phrases").select(F.col("text").alias("name")))
 
 
-@query("group_hierarchy")
+_LABELS = f"gl AS (SELECT r.name, coalesce({_CUT(chr(34) + 'l' + chr(34))}, {_CUT('lower(r.name)')}) AS group_label FROM r LEFT JOIN (SELECT name, regexp_replace(p, '(?:[\\s\\-–:;,]+(?:{'|'.join(gr.FUNCTION_WORDS)}))+$', '') AS l FROM b) x ON x.name = r.name)"
+
+
+@query("group_hierarchy", f"WITH {_NAMES}, {_LABELS}, i AS (SELECT DISTINCT p.text AS name, o.tinyId FROM phrases p JOIN occurrences o USING (phrase_id) WHERE o.phrase_id IS NOT NULL AND o.tinyId IS NOT NULL AND p.text IS NOT NULL), z AS (SELECT group_label, count(DISTINCT tinyId) AS g FROM gl JOIN i USING (name) GROUP BY 1), k AS (SELECT group_label FROM z WHERE g >= 2 + floor(0.5 * sqrt((SELECT count(DISTINCT tinyId) FROM i)))), n AS (SELECT name, count(*) AS n_ids FROM i GROUP BY 1) SELECT group_label, gl.name, {_CUT('substr(gl.name, length(group_label) + 1)')} AS suffix, coalesce(n_ids, 0) AS n_ids FROM gl JOIN k USING (group_label) LEFT JOIN n ON n.name = gl.name")
 def _(spark, d):
     p = table(spark, d, "phrases").select("phrase_id", F.col("text").alias("name"))
     occ = table(spark, d, "occurrences").where("phrase_id is not null").select("phrase_id", "tinyId")

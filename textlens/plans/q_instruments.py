@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textlens.operators import aggregates as ag, encoding as en, instruments as ins, patterns as pt, verbatim as vb
-from textlens.plans.corpus import texts, with_texts
+from textlens.operators import grouping as gr
+from textlens.plans.corpus import everything, texts, with_everything, with_texts
 from textlens.session import table
 
 QUERIES, ORACLES = {}, {}
@@ -28,26 +29,18 @@ def _found(spark, d):
 _FOUND = "f AS (SELECT tinyId, instrument_name, upper(regexp_replace(acronym, '[()\\[\\] ]', '', 'g')) AS acronym FROM instrument_match WHERE instrument_name IS NOT NULL)"
 
 
-@query("instrument_mentions")
-def _(spark, d):
-    full = table(spark, d, "instrument_match").where("full_match is not null").select("tinyId", "field_path", F.col("full_match").alias("text"))
-    return ins.mentions(full)
-
-
-_PLANTED = "pl AS (SELECT tinyId, field_path, 'Rated as part of the (' || acronym || ').' AS lead, instrument_name || ' [' || acronym || ']' AS tail FROM (SELECT tinyId, field_path, instrument_name, upper(regexp_replace(acronym, '[()\\[\\] ]', '', 'g')) AS acronym FROM instrument_match WHERE instrument_name IS NOT NULL AND tinyId IS NOT NULL) WHERE acronym IS NOT NULL)"
+_M, _A = ins.MENTION.replace("'", "''"), ins.ACRONYM_ONLY.replace("'", "''")
+_WELL = "list_filter(string_split_regex(trim(instrument_name), '\\s+'), lambda w: regexp_full_match(w, '\\d+') OR lower(w) IN (" + ", ".join(f"'{w}'" for w in ins.MINOR) + ") OR regexp_matches(regexp_replace(w, '[^A-Za-z]', '', 'g'), '^[A-Z]'))"
 
 
-def _planted(spark, d):
-    """Acronyms of instrument_match set into the phrases that the corpus itself does not hold."""
-    m = table(spark, d, "instrument_match").where("instrument_name is not null and tinyId is not null and acronym is not null")
-    a = F.upper(F.regexp_replace("acronym", r"[()\[\] ]", ""))
-    return m.select("tinyId", "field_path", F.concat(F.lit("Rated as part of the ("), a, F.lit(").")).alias("lead"), F.concat("instrument_name", F.lit(" ["), a, F.lit("]")).alias("tail"))
+@query("instrument_mentions", with_everything(f", m AS (SELECT tinyId, field_path, unnest(regexp_extract_all(text, '{_M}')) AS full_match FROM every), x AS (SELECT tinyId, field_path, full_match, trim(regexp_extract(full_match, '{_M}', 1)) AS instrument_name, nullif(regexp_extract(full_match, '{_M}', 2), '') AS acronym FROM m) SELECT * FROM x WHERE len(string_split_regex(trim(instrument_name), '\\s+')) >= 3 AND len({_WELL}) / len(string_split_regex(trim(instrument_name), '\\s+')) > 0.6"))
+def _(spark, d):
+    return ins.mentions(everything(spark, d))
 
 
-@query("acronym_only_mentions", f"WITH {_FOUND}, {_PLANTED}, n AS (SELECT acronym, instrument_name, count(*) AS n FROM f WHERE acronym IS NOT NULL GROUP BY 1, 2), b AS (SELECT acronym, instrument_name FROM n QUALIFY row_number() OVER (PARTITION BY acronym ORDER BY n DESC, instrument_name) = 1), a AS (SELECT tinyId, field_path, unnest(regexp_extract_all(lead, '[Aa]s part of the \\(([A-Z][A-Z0-9]*(?:-[A-Z0-9]+)*)\\)', 1)) AS acronym FROM pl) SELECT tinyId, field_path, coalesce(b.instrument_name, '[' || a.acronym || ']') AS instrument_name, a.acronym FROM a LEFT JOIN b ON b.acronym = a.acronym")
+@query("acronym_only_mentions", with_everything(f", {_FOUND}, n AS (SELECT acronym, instrument_name, count(*) AS n FROM f WHERE acronym IS NOT NULL GROUP BY 1, 2), b AS (SELECT acronym, instrument_name FROM n QUALIFY row_number() OVER (PARTITION BY acronym ORDER BY n DESC, instrument_name) = 1), a AS (SELECT tinyId, field_path, unnest(regexp_extract_all(text, '{_A}', 1)) AS acronym FROM every) SELECT tinyId, field_path, coalesce(b.instrument_name, '[' || a.acronym || ']') AS instrument_name, a.acronym FROM a LEFT JOIN b ON b.acronym = a.acronym"))
 def _(spark, d):
-    p = _planted(spark, d).select("tinyId", "field_path", F.col("lead").alias("text"))
-    return ins.acronym_mentions(p, ins.acronym_names(_found(spark, d)))
+    return ins.acronym_mentions(everything(spark, d), ins.acronym_names(_found(spark, d)))
 
 
 @query("acronym_names", f"WITH {_FOUND}, n AS (SELECT acronym, instrument_name, count(*) AS n FROM f WHERE acronym IS NOT NULL GROUP BY 1, 2) SELECT acronym, instrument_name FROM n QUALIFY row_number() OVER (PARTITION BY acronym ORDER BY n DESC, instrument_name) = 1")
@@ -88,32 +81,26 @@ def _(spark, d):
 
 @query("abbrev_parenthetical")
 def _(spark, d):
-    full = table(spark, d, "instrument_match").where("full_match is not null").select("tinyId", F.col("full_match").alias("text"))
-    return ins.classify_abbreviations(ins.parenthetical(full))
+    return ins.classify_abbreviations(ins.parenthetical(everything(spark, d)))
 
 
 def _tag_sql(pattern: str, source: str, confidence: float, least: int, where: str = "true") -> str:
-    return with_texts(f", a AS (SELECT tinyId, unnest(regexp_extract_all(text, '{pattern}', 1)) AS abbreviation FROM (SELECT tinyId, text FROM texts WHERE {where} UNION ALL SELECT tinyId, full_match AS text FROM instrument_match WHERE full_match IS NOT NULL AND {where.replace('text', 'full_match')}) WHERE tinyId IS NOT NULL) SELECT abbreviation, '{source}' AS source, count(DISTINCT tinyId) AS n_ids, CAST({confidence} AS DOUBLE) AS confidence FROM a WHERE length(abbreviation) >= {least} GROUP BY 1")
-
-
-def _all_texts(spark, d):
-    full = table(spark, d, "instrument_match").where("full_match is not null and tinyId is not null").select("tinyId", F.col("full_match").alias("text"))
-    return texts(spark, d).select("tinyId", "text").unionByName(full)
+    return with_everything(f", a AS (SELECT tinyId, unnest(regexp_extract_all(text, '{pattern}', 1)) AS abbreviation FROM every WHERE {where}) SELECT abbreviation, '{source}' AS source, count(DISTINCT tinyId) AS n_ids, CAST({confidence} AS DOUBLE) AS confidence FROM a WHERE length(abbreviation) >= {least} GROUP BY 1")
 
 
-@query("abbrev_bracketed", f"WITH {_PLANTED}, a AS (SELECT tinyId, unnest(regexp_extract_all(tail, '{ins.BRACKETED}', 1)) AS abbreviation FROM pl) SELECT abbreviation, 'bracketed' AS source, count(DISTINCT tinyId) AS n_ids, CAST(0.85 AS DOUBLE) AS confidence FROM a WHERE length(abbreviation) >= 2 GROUP BY 1")
+@query("abbrev_bracketed", _tag_sql(ins.BRACKETED, "bracketed", 0.85, 2))
 def _(spark, d):
-    return ins.tagged(_planted(spark, d).select("tinyId", F.col("tail").alias("text")), ins.BRACKETED, "bracketed", 0.85)
+    return ins.tagged(everything(spark, d), ins.BRACKETED, "bracketed", 0.85)
 
 
 @query("abbrev_intercaps", _tag_sql(ins.INTERCAPS, "intercaps", 0.7, 3))
 def _(spark, d):
-    return ins.tagged(_all_texts(spark, d), ins.INTERCAPS, "intercaps", 0.7, 3)
+    return ins.tagged(everything(spark, d), ins.INTERCAPS, "intercaps", 0.7, 3)
 
 
-@query("abbrev_bare_caps")
+@query("abbrev_bare_caps", _tag_sql(ins.BARE_CAPS, "bare_caps", 0.5, 2, r"NOT (len(string_split_regex(trim(text), '\s+')) >= 2 AND len(list_filter(string_split_regex(trim(text), '\s+'), lambda t: regexp_full_match(t, '[A-Za-z]+') AND t <> upper(t))) = 0)"))
 def _(spark, d):
-    return ins.bare_capitals(_all_texts(spark, d))
+    return ins.bare_capitals(everything(spark, d))
 
 
 @query("abbrev_merge", f"WITH {_FOUND}, x AS (SELECT acronym AS abbreviation, count(*) AS n FROM f WHERE acronym IS NOT NULL GROUP BY 1) SELECT abbreviation, CASE WHEN n >= 3 THEN 'tentative_skip' ELSE 'skip' END AS decision, greatest(1, n) AS n_ids, CASE WHEN n >= 3 THEN 'grew 1 to ' || n END AS note FROM x")
@@ -160,7 +147,7 @@ def _(spark, d):
 
 @query("temporal_seed_expansion")
 def _(spark, d):
-    return pt.expand(spark, ["in the past 7 days", "over the past year", "during the last month", "in the previous 24 hours"], ["temporal", "number", "case", "punctuation"])
+    return pt.expand(spark, gr.TEMPORAL_SEEDS, ["temporal", "plural", "number", "case", "punctuation"])
 
 
 @query("verbatim_templates")

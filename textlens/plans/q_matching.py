@@ -72,7 +72,7 @@ def _(spark, d):
     return mt.validate_subsumption(mt.literal_hits(texts(spark, d), _phrases(spark, d)), groups)
 
 
-@query("remnant_context", with_texts(_HITS + r", s AS (SELECT pattern, string_split_regex(lower(substr(text, 1, strpos(lower(text), lower(pattern)) - 1)), '\s+') AS l0, string_split_regex(lower(substr(text, strpos(lower(text), lower(pattern)) + length(pattern))), '\s+') AS r0 FROM hits), f AS (SELECT pattern, list_filter(l0, lambda w: w <> '') AS l, list_filter(r0, lambda w: w <> '') AS r FROM s), c AS (SELECT pattern, 'left' AS side, n AS n_words, array_to_string(l[len(l)-n+1:len(l)], ' ') AS words FROM f, unnest([1, 2, 3]) q(n) WHERE len(l) >= n UNION ALL SELECT pattern, 'right', n, array_to_string(r[1:n], ' ') FROM f, unnest([1, 2, 3]) q(n) WHERE len(r) >= n) SELECT pattern, side, n_words, words, count(*) AS n FROM c GROUP BY ALL"))
+@query("remnant_context", with_texts(_HITS + r", s AS (SELECT pattern, lower(pattern) AS l, string_split(lower(text), lower(pattern)) AS p FROM hits), h AS (SELECT pattern, string_split_regex(list_reduce(p[1:i], lambda a, b: a || l || b), '\s+') AS l0, string_split_regex(list_reduce(p[i+1:len(p)], lambda a, b: a || l || b), '\s+') AS r0 FROM s, unnest(range(1, len(p))) q(i)), f AS (SELECT pattern, list_filter(l0, lambda w: w <> '') AS l, list_filter(r0, lambda w: w <> '') AS r FROM h), c AS (SELECT pattern, 'left' AS side, n AS n_words, array_to_string(l[len(l)-n+1:len(l)], ' ') AS words FROM f, unnest([1, 2, 3]) q(n) WHERE len(l) >= n UNION ALL SELECT pattern, 'right', n, array_to_string(r[1:n], ' ') FROM f, unnest([1, 2, 3]) q(n) WHERE len(r) >= n) SELECT pattern, side, n_words, words, count(*) AS n FROM c GROUP BY ALL"))
 def _(spark, d):
     return mt.around(mt.literal_hits(texts(spark, d), _phrases(spark, d)))
 
@@ -126,9 +126,20 @@ def _rules(spark, rules):
     return st.pattern_order(spark.createDataFrame([(i, p, r) for i, (p, r) in enumerate(rules)], "file_ord int, phrase string, replace_with string"))
 
 
-@query("strip_literal_ordered", with_texts(f"SELECT tinyId, field_path, {_FOLD} AS stripped FROM texts"))
+def _universal(spark, d):
+    """Every rule of the substitution table, for all records."""
+    s = table(spark, d, "substitute_patterns").where("pattern is not null and pattern <> '' and row_id is not null")
+    return st.pattern_order(s.select(F.col("row_id").alias("file_ord"), F.col("pattern").alias("phrase"), F.coalesce("replace_with", F.lit("")).alias("replace_with")))
+
+
+# a list as texts pattern, sign 1, replacement; folded over a text
+_SUBSTITUTE = "u AS (SELECT list(pattern || chr(1) || coalesce(replace_with, '') ORDER BY -length(pattern), row_id) AS ps FROM substitute_patterns WHERE pattern IS NOT NULL AND pattern <> '' AND row_id IS NOT NULL)"
+_REDUCE = lambda text, ps: f"list_reduce(list_prepend({text}, {ps}), lambda a, p: replace(a, split_part(p, chr(1), 1), split_part(p, chr(1), 2)))"
+
+
+@query("strip_literal_ordered", with_texts(f", {_SUBSTITUTE} SELECT tinyId, field_path, {_REDUCE('text', 'u.ps')} AS stripped FROM texts, u"))
 def _(spark, d):
-    return st.strip(texts(spark, d), _rules(spark, _RULES).select("ord", "phrase", "replace_with")).select("tinyId", "field_path", "stripped")
+    return st.strip(texts(spark, d), _universal(spark, d).select("ord", "phrase", "replace_with")).select("tinyId", "field_path", "stripped")
 
 
 @query("strip_scoped", with_texts(_SCOPE + f", o AS (SELECT tinyId, list(pattern ORDER BY -length(pattern), pattern) AS ps FROM sc GROUP BY 1) SELECT t.tinyId, t.field_path, list_reduce(list_prepend({_FOLD}, coalesce(o.ps, [])), lambda a, p: replace(a, p, '')) AS stripped FROM texts t LEFT JOIN o ON o.tinyId = t.tinyId"))
@@ -138,18 +149,38 @@ def _(spark, d):
     return st.strip(texts(spark, d), rules, own).select("tinyId", "field_path", "stripped")
 
 
-_STAGES = {"inst_full": [("As part of the", "")], "inst_sub": [(" battery,", ",")], "temporal": [("since the last visit", ""), ("at baseline", "")], "phrase": [("Indicator of whether", "")]}
-_V = {"full": "replace(text, 'As part of the', '')", "sub": "replace(text, ' battery,', ',')"}
-_V["both"] = f"replace({_V['full']}, ' battery,', ',')"
-_TP = lambda x: f"replace(replace(replace({x}, 'since the last visit', ''), 'at baseline', ''), 'Indicator of whether', '')"
+_TIME = r"\b(?:past|last|previous|since|baseline)\b"
+_SPLIT_SUB = r"trim(string_split_regex(trim(regexp_replace(pattern, '\s*\(([A-Z][A-Z0-9\-]+)\)', '', 'g')), '\s+[-–]\s+|:\s+')[1])"
+
 
+def _stage_lists(spark, d):
+    """The pattern tables as universal lists of the four stages."""
+    none = F.array().cast("array<string>")
+    listed = lambda df, p, o: df.select(o.alias("file_ord"), p.alias("phrase"), F.lit("").alias("replace_with"), none.alias("ids")).where("phrase is not null and phrase <> ''").distinct()
+    inst = table(spark, d, "inst_full_patterns").where("pattern is not null")
+    sub = F.trim(F.get(F.split(F.trim(F.regexp_replace("pattern", r"\s*\(([A-Z][A-Z0-9\-]+)\)", "")), r"\s+[-–]\s+|:\s+"), F.lit(0)))
+    text = table(spark, d, "phrases").where("text is not null and k >= 5")
+    timed = F.col("text").rlike("(?i)" + _TIME)
+    return {"inst_full": listed(inst, F.col("pattern"), F.col("pattern")), "inst_sub": listed(inst, sub, sub), "temporal": listed(text.where(timed), F.col("text"), F.col("text")), "phrase": listed(text.where(~timed), F.col("text"), F.col("text"))}
 
-@query("variants_7", with_texts(f"SELECT tinyId, field_path, {_V['full']} AS MTSFPF, {_V['sub']} AS MFSTPF, {_V['both']} AS MTSTPF, {_TP('text')} AS MFSFPT, {_TP(_V['full'])} AS MTSFPT, {_TP(_V['sub'])} AS MFSTPT, {_TP(_V['both'])} AS MTSTPT FROM texts"))
+
+_LIST = lambda name, column, source: f"{name} AS (SELECT coalesce(list(p || chr(1) ORDER BY -length(p), p), []) AS ps FROM (SELECT DISTINCT {column} AS p FROM {source}) WHERE p IS NOT NULL AND p <> '')"
+_LISTS = ", ".join([
+    _LIST("lf", "pattern", "inst_full_patterns WHERE pattern IS NOT NULL"), _LIST("ls", _SPLIT_SUB, "inst_full_patterns WHERE pattern IS NOT NULL"),
+    _LIST("lt", "text", f"phrases WHERE text IS NOT NULL AND k >= 5 AND regexp_matches(text, '(?i){_TIME}')"), _LIST("lp", "text", f"phrases WHERE text IS NOT NULL AND k >= 5 AND NOT regexp_matches(text, '(?i){_TIME}')"),
+])
+_TP = lambda x: _REDUCE(_REDUCE(x, "lt.ps"), "lp.ps")
+
+
+@query("variants_7", with_texts(f", {_LISTS}, v AS (SELECT tinyId, field_path, text, {_REDUCE('text', 'lf.ps')} AS f, {_REDUCE('text', 'ls.ps')} AS s FROM texts, lf, ls), w AS (SELECT *, {_REDUCE('f', 'ls.ps')} AS b FROM v, ls) SELECT tinyId, field_path, f AS MTSFPF, s AS MFSTPF, b AS MTSTPF, {_TP('text')} AS MFSFPT, {_TP('f')} AS MTSFPT, {_TP('s')} AS MFSTPT, {_TP('b')} AS MTSTPT FROM w, lt, lp"))
 def _(spark, d):
-    return st.variants(texts(spark, d), _STAGES).select("tinyId", "field_path", *st.STAGES)
+    return st.strip_lists(texts(spark, d), _stage_lists(spark, d), st.STAGES).select("tinyId", "field_path", *st.STAGES)
+
+
+_RX = r"(?i)in the (?:past|previous) \d+ (?:days|hours)"
 
 
-@query("strip_regex_modes")
+@query("strip_regex_modes", with_texts(rf", a AS (SELECT tinyId, field_path, text, regexp_replace(text, '{_RX}', '', 'g') AS t1 FROM texts), b AS (SELECT *, regexp_replace(t1, '(?i)\bat baseline\b', '', 'g') AS t2 FROM a), c AS (SELECT *, regexp_replace(t2, '(?i)\bas part of the\b', '', 'g') AS t3 FROM b) SELECT tinyId, field_path, trim(regexp_replace(regexp_replace(regexp_replace(t3, '\r\n?', chr(10), 'g'), '\n+', ' ', 'g'), ' {{2,}}', ' ', 'g'), ' ') AS stripped, concat_ws('|', CASE WHEN text <> t1 THEN 'REGEX:in the (?:past|previous) \d+ (?:days|hours)' END, CASE WHEN t1 <> t2 THEN 'at baseline' END, CASE WHEN t2 <> t3 THEN 'as part of the' END) AS matched FROM c"))
 def _(spark, d):
     return st.strip_regex(texts(spark, d), [("REGEX:in the (?:past|previous) \\d+ (?:days|hours)", ""), ("at baseline", ""), ("as part of the", "")]).select("tinyId", "field_path", "stripped", F.array_join("matched", "|").alias("matched"))
 
@@ -173,14 +204,21 @@ def _(spark, d):
 
 
 _RE2 = {k: v for k, v in st.REMNANTS.items() if "(?<" not in v}
+_WORDS = r"string_split_regex(t, '\s')"
+# RE2 has no look-behind: these two stand between white space, so they are told by the parts between it
+_BEHIND = {
+    "floating_punct": rf"len(list_filter({_WORDS}[2:len({_WORDS}) - 1], lambda w: regexp_full_match(w, '[,;:\-]{{1,3}}')))",
+    "dangling_s": rf"len(list_filter({_WORDS}[2:], lambda w: regexp_matches(w, '^''?s(?:[^A-Za-z0-9_]|$)')))",
+}
+_COUNTS = {k: f"len(regexp_extract_all(t, '{v}'))" for k, v in _RE2.items()} | _BEHIND
 
 
-@query("remnant_summary", with_texts(", s AS (SELECT tinyId, " + _FOLD + " AS t FROM texts), r AS (" + " UNION ALL ".join(f"SELECT '{k}' AS remnant_type, tinyId FROM s WHERE regexp_matches(t, '{v}')" for k, v in _RE2.items()) + ") SELECT remnant_type, count(*) AS n, count(DISTINCT tinyId) AS n_ids FROM r GROUP BY 1"))
+@query("remnant_summary", with_texts(", s AS (SELECT tinyId, " + _FOLD + " AS t FROM texts), r AS (" + " UNION ALL ".join(f"SELECT '{k}' AS remnant_type, tinyId, {c} AS c FROM s" for k, c in _COUNTS.items()) + ") SELECT remnant_type, CAST(sum(c) AS BIGINT) AS n, count(DISTINCT tinyId) AS n_ids FROM r WHERE c > 0 GROUP BY 1"))
 def _(spark, d):
     stripped = st.strip(texts(spark, d), _rules(spark, _RULES).select("ord", "phrase", "replace_with"))
-    return st.remnant_summary(st.remnants(stripped.select("tinyId", "field_path", F.col("stripped").alias("text")))).where(F.col("remnant_type").isin(*_RE2))
+    return st.remnant_summary(st.remnants(stripped.select("tinyId", "field_path", F.col("stripped").alias("text"))))
 
 
 @query("strip_html")
 def _(spark, d):
-    return texts(spark, d).where("field = 'definition'").select("tinyId", "field_path", st.html_text(F.col("text")).alias("plain"), F.size(st.html_tables(F.col("text"))).alias("n_tables"))
+    return texts(spark, d).select("tinyId", "field_path", st.html_text(F.col("text")).alias("plain"), F.size(st.html_tables(F.col("text"))).alias("n_tables"))

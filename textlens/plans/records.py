@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textlens.operators import nested, packed
+from textlens.plans.corpus import with_texts
 from textlens.session import table
 
 NESTED = ["designations", "definitions", "valueDomain"]
@@ -19,7 +20,10 @@ def all_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def field_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(tinyId, field_path, text) through the shredded tables."""
-    s = nested.shred(all_records(spark, sf_dir), ["tinyId"], NESTED)
+    return shredded_texts(nested.shred(all_records(spark, sf_dir), ["tinyId"], NESTED))
+
+
+def shredded_texts(s: nested.Shredded) -> DataFrame:
     parts = [
         nested.field_values(s, ["tinyId"], ["designations"], ["designation"]),
         nested.field_values(s, ["tinyId"], ["definitions"], ["definition"]),
@@ -52,5 +56,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("src", "row_id", "pos", "item").distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p2_objects": p2_objects, "p4_found": p4_found}
-ORACLES: dict[str, str] = {}
+def p2_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tinyId, field_path, text) of the shredded records of cde_item alone, which SQL can tell as well."""
+    s = nested.shred(nested.latest_version(table(spark, sf_dir, "cde_item").select("tinyId", "x__v", *NESTED), "tinyId", "x__v"), ["tinyId"], NESTED)
+    return shredded_texts(s).distinct()
+
+
+QUERIES = {"p2_found": p2_found, "p2_items": p2_items, "p2_objects": p2_objects, "p4_found": p4_found}
+_SPACE = r"regexp_matches(text, '[^\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}\x{0085}\x{000B}]')"
+ORACLES = {"p2_items": with_texts("SELECT DISTINCT tinyId, field_path, text FROM raw_texts WHERE text IS NOT NULL AND " + _SPACE)}

@@ -532,3 +532,16 @@ def test_ranks_beyond_sixteen_bits_raise(spark):
     t = _simple(spark, [("A", "one")])
     with pytest.raises(ValueError):
         en.encode(t, spark.createDataFrame([("one", 65_536)], "token string, rank int"))
+
+
+def test_dense_order_over_partitions(spark):
+    df = spark.createDataFrame([(i, (i * 7) % 50) for i in range(200)], "id int, v int")
+    got = {r.id: r["rank"] for r in cu.dense_order(df, ["v", "id"]).collect()}
+    assert [i for i, _ in sorted(got.items(), key=lambda x: x[1])] == sorted(range(200), key=lambda i: ((i * 7) % 50, i)) and set(got.values()) == set(range(1, 201))
+
+
+def test_contained_patterns_meet_through_automata(spark):
+    p = spark.createDataFrame([("the",), ("The Pain",), ("pain",), ("a pain scale",), ("scale",), ("ain",), ("",), (None,)], "pattern string")
+    got = {(r.short, r.long) for r in mt.inside(p, p).collect()}
+    texts = ["the", "The Pain", "pain", "a pain scale", "scale", "ain"]
+    assert got == {(a, b) for a in texts for b in texts if len(a) < len(b) and a.lower() in b.lower()}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from textlens.session import written
+
 OLD_WORDS = {"keep": "strip", "remove": "skip"}
 TIE_ORDER = ("strip", "modify", "skip", "substitute")
 
@@ -64,7 +66,7 @@ def sheets(patterns: DataFrame, curators: list[str]) -> DataFrame:
 
 def merge_sheets(filled: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(consensus rows, discrepancies) of filled sheets (curator, pattern, decision)."""
-    labels = filled.select(F.col("pattern").alias("item"), F.col("curator").alias("rater"), decision(F.col("decision")).alias("label")).where("label is not null").dropDuplicates(["item", "rater"])
+    labels = filled.select(F.col("pattern").alias("item"), F.col("curator").alias("rater"), decision(F.col("decision")).alias("label")).where("label is not null").groupBy("item", "rater").agg(F.max("label").alias("label"))
     return consensus(labels), discrepancies(labels)
 
 
@@ -132,6 +134,12 @@ def votes(responses: DataFrame, method: str = "majority") -> DataFrame:
     return best.select("phrase_id", "b.category", F.round("b.c", 4).alias("confidence"), level.alias("agreement"))
 
 
+def all_votes(responses: DataFrame, phrases: DataFrame, categories: list[str], method: str = "majority") -> DataFrame:
+    """``votes`` of every phrase (phrase_id); one without a valid vote has the first category, confidence 0 and agreement ``none``."""
+    v = phrases.select("phrase_id").distinct().join(votes(responses, method), "phrase_id", "left")
+    return v.select("phrase_id", F.coalesce("category", F.lit(categories[0])).alias("category"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.coalesce("agreement", F.lit("none")).alias("agreement"))
+
+
 def distributions(voted: DataFrame) -> DataFrame:
     """(what, value, n): counts by category, agreement and confidence quintile."""
     quintile = F.least(F.lit(5), F.floor(F.col("confidence") * 5).cast("int") + 1).cast("string")
@@ -154,5 +162,13 @@ def priority_split(patterns: DataFrame, zipf: DataFrame, least: float = 4.0) ->
 
 
 def dense_order(df: DataFrame, by: list) -> DataFrame:
-    """df with ``rank`` in one total order (metadata tables)."""
-    return df.withColumn("rank", F.row_number().over(Window.orderBy(*by)))
+    """df with ``rank`` from 1 in one total order (``by`` should end with a key, so that no rows tie).
+
+    Rows are range-partitioned and written; each partition numbers its own rows and adds what lies before it. Only one
+    count a partition comes together.
+    """
+    rows = written(df.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "ordered")
+    counts = rows.groupBy("_part").agg(F.count("*").alias("n"))  # one row a partition
+    before = counts.withColumn("_before", F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).select("_part", F.coalesce("_before", F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*by))
+    return rows.withColumn("_own", own).join(F.broadcast(before), "_part").withColumn("rank", F.col("_own") + F.col("_before")).drop("_part", "_own", "_before")

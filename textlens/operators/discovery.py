@@ -27,15 +27,19 @@ def fixed_word(pattern: str) -> str | None:
 def discover(texts: DataFrame, patterns: DataFrame, scopes: DataFrame | None = None, key: str = "tinyId") -> DataFrame:
     """(pattern, verbatim, key, field_path): spellings of each pattern found by its flexible regex.
 
-    The list (at most MOST_PATTERNS rows, counted first) goes to the workers; there an automaton of the
-    patterns' fixed words picks the regexes worth trying on a text, so the texts are read once and nothing
-    is shuffled. Patterns without a fixed word are tried on every text. With scopes (pattern, key) only
-    hits in the pattern's own records stay.
+    The list goes to the workers in parts (``matching.parts``); there an automaton of the patterns' fixed words
+    picks the regexes worth trying on a text, so the texts are read once a part and nothing is shuffled. Patterns
+    without a fixed word are tried on every text. With scopes (pattern, key) only hits in the pattern's own records stay.
     """
-    head = [r.pattern for r in patterns.select("pattern").where("pattern is not null and trim(pattern) <> ''").distinct().limit(matching.MOST_PATTERNS + 1).collect()]
-    if len(head) > matching.MOST_PATTERNS:
-        raise ValueError(f"a pattern list holds at most {matching.MOST_PATTERNS} patterns; split it")
-    shared, kept = texts.sparkSession.sparkContext.broadcast(sorted(head)), {}
+    rows = None
+    for part in matching.parts(patterns.where("trim(pattern) <> ''")):
+        some = texts.select(key, "field_path", F.explode(_spellings(texts, part)).alias("m")).select("m.pattern", "m.verbatim", key, "field_path").where("verbatim <> ''")
+        rows = some if rows is None else rows.unionByName(some)
+    return rows if scopes is None else rows.join(scopes.select("pattern", key).distinct(), ["pattern", key], "left_semi")
+
+
+def _spellings(texts: DataFrame, part: list[str]) -> Column:
+    shared, kept = texts.sparkSession.sparkContext.broadcast(sorted(part)), {}
 
     @F.pandas_udf("array<struct<pattern:string,verbatim:string>>")
     def found(s: pd.Series) -> pd.Series:
@@ -65,8 +69,7 @@ def discover(texts: DataFrame, patterns: DataFrame, scopes: DataFrame | None = N
 
         return s.map(one)
 
-    rows = texts.select(key, "field_path", F.explode(found("text")).alias("m")).select("m.pattern", "m.verbatim", key, "field_path").where("verbatim <> ''")
-    return rows if scopes is None else rows.join(scopes.select("pattern", key).distinct(), ["pattern", key], "left_semi")
+    return found("text")
 
 
 def undiscovered(patterns: DataFrame, found: DataFrame) -> DataFrame:

@@ -99,3 +99,17 @@ def joined_objects(objects: Column, fields: list[str], separator: str = ";; ") -
 
 def _field(name: str):
     return lambda o: _plain(o[name])
+
+
+def concatenated(df: DataFrame, key: str, only: list[str] | None = None, without: list[str] = (), separator: str = " ", skip_empty: bool = False) -> DataFrame:
+    """(key, text): the columns of ``only`` (by default all but the key) without those of ``without``, trimmed and joined; empty parts are left out.
+
+    With skip_empty rows without any text are left out as well. Unknown names raise.
+    """
+    unknown = {*(only or ()), *without} - set(df.columns)
+    if unknown:
+        raise ValueError(f"no columns {sorted(unknown)}; there are {df.columns}")
+    cols = [c for c in (only or [c for c in df.columns if c != key]) if c not in without]
+    text = F.concat_ws(separator, *[F.nullif(F.trim(F.col(f"`{c}`").cast("string")), F.lit("")) for c in cols])
+    out = df.select(F.col(key), text.alias("text"))
+    return out.where("text <> ''") if skip_empty else out

@@ -25,11 +25,12 @@ def subset_by_text(texts: DataFrame, key: str, value: str, exclude: bool = False
     return hits.where(~F.col("hit") if exclude else F.col("hit")).select(key)
 
 
-def first_pattern(texts: DataFrame, key: str, patterns: list[tuple[str, str]]) -> DataFrame:
+def first_pattern(texts: DataFrame, key: str, patterns: list[tuple[str, str]], exclude: bool = False) -> DataFrame:
     """(key, pattern, label, text): the first pattern in order that matches, in the first text in order.
 
     patterns: (regex, label), at most a few hundred as in a pattern file; broken ones are skipped. They
-    become one expression, so the texts are read once and nothing is exploded.
+    become one expression, so the texts are read once and nothing is exploded. With exclude: (key) of the records in
+    which none matches.
     """
     good = []
     for p, label in patterns:
@@ -39,6 +40,8 @@ def first_pattern(texts: DataFrame, key: str, patterns: list[tuple[str, str]]) -
             continue
         good.append((p, label))
     tests = [F.when(F.col("text").rlike(f"(?iu){p}"), F.struct(F.lit(i).alias("ord"), "field_path", "text", F.lit(p).alias("pattern"), F.lit(label).alias("label"))) for i, (p, label) in enumerate(good)]
+    if exclude:
+        return texts.groupBy(key).agg(F.max(F.coalesce(*tests, F.lit(None)).isNotNull()).alias("hit")).where("not hit").select(key)
     best = texts.select(key, F.coalesce(*tests).alias("m")).where("m is not null").groupBy(key).agg(F.min("m").alias("m"))
     return best.select(key, "m.pattern", "m.label", "m.text")
 
@@ -96,3 +99,18 @@ class Logic:
         if todo:
             raise ValueError(f"unexpected {todo[0]}")
         return c
+
+
+def pattern_filters(patterns: DataFrame, excluded: DataFrame | None = None, least_words: int = 0, least_fields: int = 0, no_substrings: bool = False) -> DataFrame:
+    """patterns (pattern, and n_fields if ``least_fields`` is set) that pass: not in the list (pattern, case aside), long enough, seen in
+    enough fields, and, with no_substrings, within no longer pattern that passes."""
+    from textlens.operators.matching import inside
+
+    out = patterns.where(F.size(F.filter(F.split("pattern", r"\s+"), lambda w: w != "")) >= least_words)
+    if least_fields:
+        out = out.where(F.col("n_fields") >= least_fields)
+    if excluded is not None:
+        out = out.withColumn("_l", F.lower("pattern")).join(excluded.select(F.lower("pattern").alias("_l")).distinct(), "_l", "left_anti").drop("_l")
+    if no_substrings:
+        out = out.join(inside(out, out).select(F.col("short").alias("pattern")).distinct(), "pattern", "left_anti")
+    return out

@@ -1,11 +1,9 @@
 """Patterns against texts: occurrences, distributions, containment, recall, leakage.
 
-A pattern list of up to ``MOST_PATTERNS`` rows (counted first) is sent to the workers and becomes one
-Aho-Corasick automaton for each task: texts are read once, nothing is shuffled, and time is linear in the
-text however many patterns there are. Longer lists find their texts by an equi-join on one interior word
-of the pattern (its rarest in the list; such a word must stand whole in the text), then ``contains``
-verifies; patterns without such a word meet the texts in a loop, which is right for any pattern. Patterns
-with a scope join on the record.
+A pattern list goes to the workers in parts of about ``MOST_PATTERNS`` rows, each of which becomes one Aho-Corasick
+automaton for each task: texts are read once a part, nothing is shuffled, no text meets a pattern that does not stand
+in it, and time is linear in the text however many patterns there are. Lists of any length give the same rows in one part
+or in many. Patterns with a scope join on the record. Patterns in patterns (containment) are found alike.
 """
 
 from __future__ import annotations
@@ -14,22 +12,34 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textlens.session import written
+
 MOST_PATTERNS = 100_000
-WORD = r"[A-Za-z0-9]+"
 
 
-def _interior(p: Column) -> Column:
-    """Words of a pattern that have other signs on both sides within the pattern."""
-    return F.filter(F.transform(F.regexp_extract_all(p, F.lit(rf"(?<=[^A-Za-z0-9])({WORD})(?=[^A-Za-z0-9])"), F.lit(1)), F.lower), lambda w: F.length(w) > 2)
+def parts(patterns: DataFrame, most: int = MOST_PATTERNS) -> list[list[str]]:
+    """The distinct patterns (column pattern, not blank) in parts of about ``most``, by hash; each part is collected by itself."""
+    pats = patterns.select("pattern").where("pattern is not null and pattern <> ''").distinct()
+    head = [r.pattern for r in pats.limit(most + 1).collect()]
+    if len(head) <= most:
+        return [head]
+    pats = written(pats, "patterns")
+    n = -(-pats.count() // most)
+    return [[r.pattern for r in pats.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == i).collect()] for i in range(n)]
 
 
 def literal_hits(texts: DataFrame, patterns: DataFrame, ignore_case: bool = True, key: str = "tinyId", most: int = MOST_PATTERNS) -> DataFrame:
     """(pattern, key, field, field_path, text): texts that contain a pattern; patterns: column pattern."""
-    pats = patterns.select("pattern").where("pattern is not null and pattern <> ''").distinct()
-    head = [r.pattern for r in pats.limit(most + 1).collect()]
-    if len(head) > most:
-        return _joined_hits(texts, pats, ignore_case, key)
-    shared, kept = texts.sparkSession.sparkContext.broadcast(head), {}  # bounded by most
+    out = None
+    for part in parts(patterns, most):
+        rows = texts.select(key, "field", "field_path", "text").withColumn("_p", _found(texts, part, ignore_case)).where(F.size("_p") > 0)
+        rows = rows.select(F.explode("_p").alias("pattern"), key, "field", "field_path", "text")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _found(texts: DataFrame, part: list[str], ignore_case: bool) -> Column:
+    shared, kept = texts.sparkSession.sparkContext.broadcast(part), {}
 
     @F.pandas_udf("array<string>")
     def found(s: pd.Series) -> pd.Series:
@@ -46,20 +56,7 @@ def literal_hits(texts: DataFrame, patterns: DataFrame, ignore_case: bool = True
             return pd.Series([[]] * len(s))
         return s.map(lambda t: [] if not t else sorted({p for _, ps in a.iter(t.lower() if ignore_case else t) for p in ps}))
 
-    rows = texts.select(key, "field", "field_path", "text").withColumn("_p", found("text")).where(F.size("_p") > 0)
-    return rows.select(F.explode("_p").alias("pattern"), key, "field", "field_path", "text")
-
-
-def _joined_hits(texts: DataFrame, pats: DataFrame, ignore_case: bool, key: str) -> DataFrame:
-    words = pats.select("pattern", F.explode(F.array_distinct(_interior(F.col("pattern")))).alias("word"))
-    df = words.groupBy("word").agg(F.count("*").alias("n"))
-    rare = words.join(df, "word").groupBy("pattern").agg(F.min(F.struct("n", "word")).alias("m")).select("pattern", "m.word")
-    test = F.contains(F.lower("text"), F.lower("pattern")) if ignore_case else F.contains("text", F.col("pattern"))
-    tokens = texts.select(key, "field", "field_path", "text", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)))).alias("word"))
-    keyed = tokens.join(rare, "word").where(test).drop("word")
-    rest = pats.join(rare, "pattern", "left_anti")
-    looped = texts.select(key, "field", "field_path", "text").join(rest, test)
-    return keyed.unionByName(looped).select("pattern", key, "field", "field_path", "text")
+    return found("text")
 
 
 def scoped_hits(texts: DataFrame, scopes: DataFrame, key: str = "tinyId") -> DataFrame:
@@ -80,31 +77,38 @@ def field_profile(distribution: DataFrame) -> DataFrame:
     return distribution.withColumn("profile", kind)
 
 
+def inside(longer: DataFrame, shorter: DataFrame) -> DataFrame:
+    """(short, long): texts (column pattern) of one list that stand in those of the other, case aside; equal ones not."""
+    rows = longer.select(F.col("pattern").alias("tinyId"), F.lit("").alias("field"), F.lit("").alias("field_path"), F.lower("pattern").alias("text")).where("text <> ''").distinct()
+    small = shorter.select("pattern", F.lower("pattern").alias("l")).where("l <> ''").distinct()
+    hits = literal_hits(rows, small.select(F.col("l").alias("pattern")), ignore_case=False)
+    pairs = hits.where(F.length("pattern") < F.length("text")).select(F.col("pattern").alias("l"), F.col("tinyId").alias("long"))
+    return pairs.join(small, "l").select(F.col("pattern").alias("short"), "long")
+
+
 def containment(patterns: DataFrame) -> DataFrame:
     """(short, long, relation, conflict): pairs of patterns of which one contains the other.
 
-    relation: prefix, suffix or infix. conflict: the shorter would be stripped first in file order (column
-    ord). Pairs meet on the shorter one's first interior word, or for patterns without one in a loop over
-    those few.
+    relation: prefix, suffix or infix. conflict: the shorter would be stripped first in file order (column ord).
     """
-    p = patterns.select("ord", "pattern", F.lower("pattern").alias("l")).where("pattern <> ''")
-    word = F.get(_interior(F.col("pattern")), F.lit(0))
-    short = p.select(F.col("ord").alias("short_ord"), F.col("pattern").alias("short"), F.col("l").alias("short_l"), word.alias("word"))
-    long = p.select(F.col("ord").alias("long_ord"), F.col("pattern").alias("long"), F.col("l").alias("long_l"))
-    words = long.withColumn("word", F.explode(F.array_distinct(F.regexp_extract_all("long_l", F.lit("[a-z0-9]+"), F.lit(0)))))
-    test = (F.length("short_l") < F.length("long_l")) & F.contains("long_l", F.col("short_l"))
-    pairs = short.where("word is not null").join(words, "word").where(test).drop("word").unionByName(short.where("word is null").drop("word").join(long, test))
-    kind = F.when(F.startswith("long_l", "short_l"), "prefix").when(F.endswith("long_l", "short_l"), "suffix").otherwise("infix")
-    return pairs.select("short", "long", kind.alias("relation"), (F.col("short_ord") < F.col("long_ord")).alias("conflict")).distinct()
+    p = patterns.select("ord", "pattern").where("pattern <> ''")
+    pairs = inside(p, p)
+    short, long = p.select(F.col("ord").alias("short_ord"), F.col("pattern").alias("short")), p.select(F.col("ord").alias("long_ord"), F.col("pattern").alias("long"))
+    kind = F.when(F.startswith(F.lower("long"), F.lower("short")), "prefix").when(F.endswith(F.lower("long"), F.lower("short")), "suffix").otherwise("infix")
+    return pairs.join(short, "short").join(long, "long").select("short", "long", kind.alias("relation"), (F.col("short_ord") < F.col("long_ord")).alias("conflict")).distinct()
 
 
 def validate_subsumption(hits: DataFrame, groups: DataFrame, key: str = "tinyId") -> DataFrame:
-    """(group_key, pattern, keep): a pattern stays if some (record, field) it matches is matched by no longer member containing it."""
+    """(group_key, pattern, keep): a pattern stays if some (record, field) it matches is matched by no longer member containing it.
+
+    Hits meet through the pairs of patterns that contain each other, never all members of a group with all.
+    """
     own = hits.join(groups, "pattern").select("group_key", "pattern", key, "field_path").distinct()
-    other = own.withColumnRenamed("pattern", "longer")
-    covered = own.join(other, ["group_key", key, "field_path"]).where((F.length("longer") > F.length("pattern")) & F.contains(F.lower("longer"), F.lower("pattern")))
-    free = own.join(covered.select("group_key", "pattern", key, "field_path").distinct(), ["group_key", "pattern", key, "field_path"], "left_anti").select("group_key", "pattern").distinct()
     members = groups.select("group_key", "pattern").distinct()
+    pairs = inside(members, members).withColumnRenamed("short", "pattern").withColumnRenamed("long", "longer")
+    longer = own.withColumnRenamed("pattern", "longer")
+    covered = own.join(pairs, "pattern").join(longer, ["group_key", "longer", key, "field_path"], "left_semi").select("group_key", "pattern", key, "field_path").distinct()
+    free = own.join(covered, ["group_key", "pattern", key, "field_path"], "left_anti").select("group_key", "pattern").distinct()
     return members.join(free.withColumn("keep", F.lit(True)), ["group_key", "pattern"], "left").select("group_key", "pattern", F.coalesce("keep", F.lit(False)).alias("keep"))
 
 
@@ -138,6 +142,11 @@ def marginal_gains(now: DataFrame, before: DataFrame) -> DataFrame:
     return j.withColumn("gain", F.greatest(F.lit(0), F.col("n_now") - F.col("n_before")))
 
 
+def total_gain(gains: DataFrame) -> DataFrame:
+    """One row: n_families, n_grown, total_gain (increases only)."""
+    return gains.agg(F.count("*").alias("n_families"), F.count(F.when(F.col("gain") > 0, 1)).alias("n_grown"), F.coalesce(F.sum("gain"), F.lit(0)).alias("total_gain"))
+
+
 # Frames of time in item texts and usual boilerplate (fixed values).
 TEMPORAL = r"\b(?:in|over|during|for|within)\s+the\s+(?:past|last)\s+(?:\d+|[a-z]+)\s+(?:days?|weeks?|months?|years?)"
 BOILERPLATE = r"as part of the \w+ battery|based on the \w+|free-text field related to|indicator of whether"
@@ -179,13 +188,18 @@ def rare_words(texts: DataFrame, least_ids: int = 3, most_zipf: float = 3.0, cap
 
 
 def harvest(residual: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(phrase, status, pattern): should_have_matched (contains a pattern), partial_match (inside one), new_candidate."""
-    r = residual.select("phrase").distinct()
-    w = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit("[a-z0-9]+"), F.lit(0))))
-    rp, pp = r.select("phrase", F.col("phrase").alias("t")).withColumn("word", w), patterns.select("pattern", F.col("pattern").alias("t")).withColumn("word", w)
-    near = rp.select("phrase", "word").join(pp.select("pattern", "word"), "word").select("phrase", "pattern").distinct()
-    full, part = F.contains(F.lower("phrase"), F.lower("pattern")), F.contains(F.lower("pattern"), F.lower("phrase"))
-    found = near.where(full | part).groupBy("phrase").agg(F.min(F.struct(F.when(full, 0).otherwise(1).alias("o"), "pattern")).alias("m"))
+    """(phrase, status, pattern): should_have_matched (contains a pattern), partial_match (inside one), new_candidate; both share a whole word.
+
+    Containment is found by automata in both directions, not by a join on words.
+    """
+    r, p = residual.select("phrase").distinct(), patterns.select("pattern").distinct()
+    asp = r.select(F.col("phrase").alias("pattern"))
+    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), F.lit(0))
+    full = inside(asp, p).select(F.col("long").alias("phrase"), F.col("short").alias("pattern"), F.lit(0).alias("o"))
+    part = inside(p, asp).select(F.col("short").alias("phrase"), F.col("long").alias("pattern"), F.lit(1).alias("o"))
+    same = r.join(p, F.lower("phrase") == F.lower("pattern")).select("phrase", "pattern", F.lit(0).alias("o"))
+    near = full.unionByName(part).unionByName(same).where(F.arrays_overlap(words("phrase"), words("pattern")))
+    found = near.groupBy("phrase").agg(F.min(F.struct("o", "pattern")).alias("m"))
     status = F.when(F.col("m").isNull(), "new_candidate").when(F.col("m.o") == 0, "should_have_matched").otherwise("partial_match")
     return r.join(found, "phrase", "left").select("phrase", status.alias("status"), F.col("m.pattern").alias("pattern"))
 

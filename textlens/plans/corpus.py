@@ -13,8 +13,10 @@ COLUMNS = ["designations", "definitions", "valueDomain", "stewardOrg", "registra
 
 def items(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """cde_item in its latest versions, each record once."""
-    df = table(spark, sf_dir, "cde_item").select("tinyId", "x__v", *(columns or COLUMNS))
-    return nested.latest_version(df, "tinyId", "x__v").drop("x__v").dropDuplicates(["tinyId"])
+    wanted = list(columns or COLUMNS)
+    df = nested.latest_version(table(spark, sf_dir, "cde_item").select("tinyId", "x__v", "loaded_at", *wanted), "tinyId", "x__v")
+    first = df.groupBy("tinyId").agg(F.min_by(F.struct(*wanted), F.coalesce("loaded_at", F.lit("9999-01-01").cast("timestamp"))).alias("r"))
+    return first.select("tinyId", *[F.col(f"r.{c}").alias(c) for c in wanted])
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textlens.functions import paths
-from textlens.operators import aggregates as ag, discovery as dc, encoding as en, fields, grouping as gr, instruments as ins, ledger as lg, matching as mt, mining, patterns as pt, stripping as st, verbatim as vb
+from textlens.functions import paths, text as tx
+from textlens.operators import aggregates as ag, curation as cu, discovery as dc, encoding as en, fields, filters, grouping as gr, instruments as ins, ledger as lg, matching as mt, mining, patterns as pt, stripping as st, verbatim as vb
 from textlens.plans.corpus import items, pattern_lists, texts, with_items, with_texts
+from textlens.plans.q_curation import ORACLES as CURATION
 from textlens.plans.q_matching import ORACLES as MATCHING
 from textlens.session import table
 
@@ -302,3 +303,67 @@ def _(spark, d):
         return pd.DataFrame([(key[0], *vb.infix(sorted(pdf["verbatim_text"])))], columns=["phrase_id", "begins", "slot", "ends"])
 
     return forms.groupBy("phrase_id").applyInPandas(one, "phrase_id string, begins string, slot string, ends string")
+
+
+# ---- options of earlier operators
+
+
+@query("concat_all_columns", "SELECT row_id, concat_ws(' | ', nullif(trim(pattern), ''), nullif(trim(tinyIds), ''), nullif(trim(type), ''), nullif(trim(source), '')) AS text FROM inst_full_patterns WHERE concat_ws('', trim(pattern), trim(tinyIds), trim(type), trim(source)) <> ''")
+def _(spark, d):
+    df = table(spark, d, "inst_full_patterns").select("row_id", "pattern", "tinyIds", "type", "source", "decision")
+    return fields.concatenated(df, "row_id", without=["decision"], separator=" | ", skip_empty=True)
+
+
+@query("pattern_file_exclude", with_texts(r"SELECT tinyId FROM texts GROUP BY tinyId HAVING NOT bool_or(regexp_matches(text, '(?i)as part of the \w+ battery|since the last visit|blood|heart'))"))
+def _(spark, d):
+    return filters.first_pattern(texts(spark, d), "tinyId", [("(broken", "bad"), ("as part of the \\w+ battery", "battery"), ("since the last visit", "visit"), ("blood|heart", "heart")], exclude=True)
+
+
+@query("pattern_filters", "WITH p AS (SELECT text AS pattern, count(DISTINCT phrase_id) AS n_fields FROM phrases WHERE text IS NOT NULL GROUP BY 1), q AS (SELECT pattern FROM p WHERE len(list_filter(string_split_regex(pattern, '\\s+'), lambda w: w <> '')) >= 2 AND n_fields >= 1 AND lower(pattern) NOT IN (SELECT lower(pattern) FROM inst_full_patterns WHERE pattern IS NOT NULL)) SELECT pattern FROM q WHERE NOT EXISTS (SELECT 1 FROM q o WHERE length(o.pattern) > length(q.pattern) AND contains(lower(o.pattern), lower(q.pattern)))")
+def _(spark, d):
+    p = table(spark, d, "phrases").where("text is not null").groupBy(F.col("text").alias("pattern")).agg(F.countDistinct("phrase_id").alias("n_fields"))
+    return filters.pattern_filters(p, table(spark, d, "inst_full_patterns").where("pattern is not null"), 2, 1, True).select("pattern")
+
+
+@query("total_gain", "WITH o AS (SELECT phrase_id AS family, count(*) AS n_now, count(*) FILTER (loaded_at < TIMESTAMP '2024-06-01') AS n_before FROM occurrences WHERE phrase_id IS NOT NULL GROUP BY 1) SELECT count(*) AS n_families, count(*) FILTER (n_now > n_before) AS n_grown, CAST(sum(greatest(0, n_now - n_before)) AS BIGINT) AS total_gain FROM o")
+def _(spark, d):
+    o = table(spark, d, "occurrences").where("phrase_id is not null").withColumnRenamed("phrase_id", "family")
+    now = o.groupBy("family").agg(F.count("*").alias("n"))
+    return mt.total_gain(mt.marginal_gains(now, o.where("loaded_at < timestamp'2024-06-01'").groupBy("family").agg(F.count("*").alias("n"))))
+
+
+def _responses(spark, d):
+    from textlens.plans.q_curation import _responses as r
+
+    return r(spark, d)
+
+
+@query("vote_unanimous", CURATION["vote_majority"])
+def _(spark, d):
+    return cu.votes(_responses(spark, d), "unanimous")
+
+
+@query("vote_every_phrase", f"WITH v AS ({CURATION['vote_majority']}), a AS (SELECT DISTINCT upper(acronym) AS phrase_id FROM instrument_match WHERE acronym IS NOT NULL) SELECT phrase_id, coalesce(category, 'instrument') AS category, coalesce(confidence, 0.0) AS confidence, coalesce(agreement, 'none') AS agreement FROM a LEFT JOIN v USING (phrase_id)")
+def _(spark, d):
+    r = _responses(spark, d)
+    return cu.all_votes(r, r, ["instrument", "other", "review"])
+
+
+_LONG = "text"
+for _short, _whole in tx.CONTRACTIONS.items():
+    _LONG = f"regexp_replace({_LONG}, '(?i){_short.replace(chr(39), chr(39) * 2)}\\b', '{_whole}', 'g')"
+
+
+@query("expanded_contractions", with_texts(f"SELECT tinyId, field_path, {_LONG} AS text FROM texts"))
+def _(spark, d):
+    return texts(spark, d).select("tinyId", "field_path", tx.expand_contractions(F.col("text")).alias("text"))
+
+
+@query("whole_words", with_texts(r"SELECT tinyId, field_path FROM texts WHERE regexp_matches(text, '(?:^|[^A-Za-z0-9_])battery(?:$|[^A-Za-z0-9_])')"))
+def _(spark, d):
+    return texts(spark, d).where(tx.contains_word(F.col("text"), F.lit("battery"))).select("tinyId", "field_path")
+
+
+@query("lines_flattened", with_texts(f"SELECT tinyId, field_path, {_PLAIN('text')} AS text FROM texts"))
+def _(spark, d):
+    return texts(spark, d).select("tinyId", "field_path", tx.flatten_lines(F.trim("text")).alias("text"))

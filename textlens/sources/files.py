@@ -121,7 +121,7 @@ def read_path_schema(path: str) -> dict[str, str]:
 
 
 def read_config(*paths: str) -> dict:
-    """YAML files in order; lists of a later file extend, other values replace those of an earlier one. Missing files are skipped."""
+    """YAML files in order; lists of a later file extend those of an earlier one (new entries only), mappings merge at every depth, other values replace. Missing files are skipped."""
     import yaml
 
     out: dict = {}
@@ -131,11 +131,29 @@ def read_config(*paths: str) -> dict:
                 new = yaml.safe_load(f) or {}
         except FileNotFoundError:
             continue
-        for k, v in new.items():
-            out[k] = out[k] + v if isinstance(v, list) and isinstance(out.get(k), list) else v
+        out = _extended(out, new)
     return out
 
 
+def _extended(old: dict, new: dict) -> dict:
+    out = dict(old)
+    for k, v in new.items():
+        have = out.get(k)
+        if isinstance(v, list) and isinstance(have, list):
+            out[k] = have + [x for x in v if x not in have]
+        else:
+            out[k] = _extended(have, v) if isinstance(v, dict) and isinstance(have, dict) else v
+    return out
+
+
+def write_yaml(value, path: str) -> None:
+    """A Python value (a configuration, not data) as YAML, keys in order of their names."""
+    import yaml
+
+    with open(path, "w", encoding="utf-8") as f:
+        yaml.safe_dump(value, f, sort_keys=True, allow_unicode=True)
+
+
 def bracket_scopes(patterns: dict[str, list[str] | None]) -> dict[str, list[str] | None]:
     """``[TAG]`` patterns also give bare ``TAG`` with the same scope; scopes of one pattern unite; None (universal) stays universal."""
     out: dict[str, list[str] | None] = dict(patterns)

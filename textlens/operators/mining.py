@@ -7,12 +7,13 @@ Occurrences are a table of their own and never collected into arrays across text
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textlens.functions import text as tx
-from textlens.session import discard, written
+from textlens.session import discard, shared_dir, written
 
 
 def sequences(texts: DataFrame, key: str = "tinyId") -> DataFrame:
@@ -77,45 +78,50 @@ def mine_occurrences(texts: DataFrame, k_max: int = 25, k_min: int = 3, least: i
     starts = seqs.select("key", "rid", "tokens", "free", F.explode(F.sequence(F.lit(0), F.size("tokens") - k_min)).alias("pos"))
     starts = starts.where(F.col("free").isNull() | F.forall(F.slice("free", F.col("pos") + 1, k_min), lambda x: x)).select("key", "rid", "pos", *hashed(F.col("pos"), k_min))
     live = starts.join(_frequent(starts, ids, least, least_ids).select(*ids), ids, "left_semi").select("rid", "pos")
-    island = F.col("pos") - F.row_number().over(Window.partitionBy("rid").orderBy("pos"))
-    live = live.withColumn("island", island).withColumn("last", F.max("pos").over(Window.partitionBy("rid", "island")))
-    reach = F.least(F.lit(k_max), F.col("last") - F.col("pos") + k_min)
-    wide = live.select("rid", "pos", F.explode(F.sequence(F.lit(k_min), reach)).alias("k")).join(seqs.select("rid", "key", "tokens"), "rid").select("key", "rid", "pos", "k", *hashed(F.col("pos"), F.col("k")))
-    wide = written(wide, "windows")
-    often = _frequent(wide, ["k", *ids], least, least_ids).select("k", *ids)
-    found = wide.join(often, ["k", *ids], "left_semi")
-    path = written(found.repartition("k", "rid"), "candidates", ["k"])
-    discard(wide)
+    found, low = [], k_min
+    while True:
+        # up to twice the length where all windows of length ``low`` are frequent, then again from there
+        high = min(k_max, 2 * low + 1)
+        island = F.col("pos") - F.row_number().over(Window.partitionBy("rid").orderBy("pos"))
+        run = live.withColumn("island", island).withColumn("last", F.max("pos").over(Window.partitionBy("rid", "island")))
+        reach = F.least(F.lit(high), F.col("last") - F.col("pos") + low)
+        first = low if low == k_min else low + 1
+        wide = run.where(reach >= first).select("rid", "pos", F.explode(F.sequence(F.lit(first), reach)).alias("k")).join(seqs.select("rid", "key", "tokens"), "rid").select("key", "rid", "pos", "k", *hashed(F.col("pos"), F.col("k")))
+        wide = written(wide, "windows")
+        some = written(wide.join(_frequent(wide, ["k", *ids], least, least_ids).select("k", *ids), ["k", *ids], "left_semi"), "candidates")
+        discard(wide)
+        found.append(some)
+        if high == k_max:
+            break
+        live, low = some.where(F.col("k") == high).select("rid", "pos"), high
+    path = found[0]
+    for x in found[1:]:
+        path = path.unionByName(x)
     levels = [r.k for r in path.select("k").distinct().orderBy(F.desc("k")).collect()]  # one row a length
-    taken, kept = None, []
+    base = f"{shared_dir(seqs.sparkSession)}/levels-{uuid.uuid4().hex}"
+    kind, kept = f"key {texts.schema[key].dataType.simpleString()}, rid bigint, pos int, h1 bigint, h2 bigint, freq bigint, n_ids bigint, own boolean, k int", []
     for k in levels:
         level = path.where(F.col("k") == k).drop("k")
-        if taken is not None:
-            own = taken.select("rid", "begin", "stop")
+        if kept:
+            own = seqs.sparkSession.read.schema(kind).parquet(*kept).where("own").select("rid", F.col("pos").alias("begin"), (F.col("pos") + F.col("k")).alias("stop"))
             level = level.join(own, (level.rid == own.rid) & (level.pos < own.stop) & (level.pos + k > own.begin), "left_anti")
         hits = level.join(_frequent(level, ids, least, least_ids), ids)
         each = hits.groupBy("rid").agg(F.first("key").alias("key"), F.array_sort(F.collect_list(F.struct("pos", *ids, "freq", "n_ids"))).alias("w"))
         chosen = F.aggregate(F.transform("w", lambda x: x["pos"]), F.array().cast("array<int>"), lambda acc, s: F.when((F.size(acc) == 0) | (s >= F.try_element_at(acc, F.lit(-1)) + k), F.concat(acc, F.array(s))).otherwise(acc))
         out = each.withColumn("own", chosen).select("key", "rid", "own", F.explode("w").alias("w")).select("key", "rid", "w.*", F.array_contains("own", F.col("w.pos")).alias("own"))
-        out = written(out.withColumn("k", F.lit(k)), "level")
-        if out.isEmpty():
-            discard(out)
-            continue
-        kept.append(out)
-        mine_ = out.where("own").select("rid", F.col("pos").alias("begin"), (F.col("pos") + k).alias("stop"))
-        taken = mine_ if taken is None else taken.unionByName(mine_)
-    discard(path)
+        out.withColumn("k", F.lit(k)).write.parquet(f"{base}/{k:04}")
+        kept.append(f"{base}/{k:04}")
+    discard(*found)
     if not kept:
         spark = texts.sparkSession
         return Mined(spark.createDataFrame([], "phrase_id string, text string, k int, frequency bigint, n_tinyids bigint, extension_method string"), spark.createDataFrame([], f"phrase_id string, {key} string, field_path string, token_start int, token_end int, verbatim_text string"))
-    every = kept[0]
-    for x in kept[1:]:
-        every = every.unionByName(x)
+    every = seqs.sparkSession.read.schema(kind).parquet(*kept)
     told = every.select("rid", "pos", "k", "freq", "n_ids").join(seqs.select("rid", "key", "field_path", "tokens", "pieces"), "rid")
     text = F.array_join(F.slice("tokens", F.col("pos") + 1, F.col("k")), " ")
     as_written = tx.verbatim(F.col("pieces"), F.col("pos"), F.col("k")) if "tokens" not in texts.columns else text
     told = written(told.select("key", "field_path", "pos", "k", "freq", "n_ids", text.alias("text"), as_written.alias("verbatim_text")).withColumn("phrase_id", F.substring(F.md5("text"), 1, 16)), "mined")
-    discard(seqs, *kept)
+    every._written_at = base
+    discard(seqs, every)
     phrases = told.groupBy("phrase_id", "text", "k").agg(F.first("freq").alias("frequency"), F.first("n_ids").alias("n_tinyids")).withColumn("extension_method", F.lit("kmer"))
     return Mined(phrases, told.select("phrase_id", F.col("key").alias(key), "field_path", F.col("pos").alias("token_start"), (F.col("pos") + F.col("k")).alias("token_end"), "verbatim_text"))
 

@@ -27,10 +27,11 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlens.session import table, written
+from textlens.session import discard, table, written
 
 SAMPLE = 4_000
 _M64 = (1 << 64) - 1
@@ -93,26 +94,31 @@ class Index:
             self.segments[i] = balanced(near, self.m[i]) if near and 1 < self.m[i] <= 64 else {}  # very long texts: by hash
         df: Counter = Counter(w for s in sample for w in s)
         self.rank = {w: (c, code(w)) for w, c in df.items()}
+        self.salts: dict[tuple[int, int], int] = {}
 
-    def emit(self, words: list[str]) -> list[tuple[int, bool, bool]]:
-        """(signature, own class, whole segment) in the indexes of the set's class and of the next."""
-        own, codes, out = self.of_size[len(words)], {w: code(w) for w in words}, []
+    def emit(self, words: list[str]) -> np.ndarray:
+        """Signatures in the indexes of the set's class and of the next; the last two bits tell own class and whole segment."""
+        own, codes, out = self.of_size[len(words)], [(w, code(w)) for w in words], []
         for i in (own, own + 1):
             if i not in self.present:
                 continue
             m, table_ = self.m[i], self.segments[i]
             parts: list[list[int]] = [[] for _ in range(m)]
-            for w in words:
-                c = codes[w]
+            for w, c in codes:
                 parts[table_.get(w, c % m)].append(c)
             for k, part in enumerate(parts):
-                salt, total = code(f"{i}/{k}"), sum(part) & _M64
-                for minus in (0, *part):
-                    x = ((total - minus) ^ salt) & _M64
-                    x = ((x ^ (x >> 31)) * 0x9E3779B97F4A7C15) & _M64
-                    x ^= x >> 29
-                    out.append((x - (1 << 63), i == own, minus == 0))
-        return out
+                x = sum(part) & _M64
+                x = np.uint64(x) - np.array([0, *part], np.uint64) ^ np.uint64(self.salt(i, k))
+                x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+                x = (x ^ (x >> np.uint64(29))) & np.uint64(_M64 - 3) | np.uint64(2 * (i == own))
+                x[0] |= np.uint64(1)
+                out.append(x)
+        return np.concatenate(out).view(np.int64)
+
+    def salt(self, i: int, k: int) -> int:
+        if (i, k) not in self.salts:
+            self.salts[i, k] = code(f"{i}/{k}")
+        return self.salts[i, k]
 
     def prefix(self, words: list[str]) -> list[int]:
         p = len(words) - math.ceil(self.t * len(words) - 1e-9) + 1
@@ -137,7 +143,7 @@ def similar_sets(sets: DataFrame, t: float, hot: int = 256) -> DataFrame:
     sample = [r.words for r in sets.orderBy(F.xxhash64("set_id")).limit(SAMPLE).select("words").collect()]
     index = spark.sparkContext.broadcast(Index(sizes, t, sample))  # bounded by SAMPLE sets
 
-    @F.pandas_udf("array<struct<sig:bigint,own:boolean,whole:boolean>>")
+    @F.pandas_udf("array<bigint>")
     def emit(s: pd.Series) -> pd.Series:
         return s.map(lambda w: index.value.emit(list(w)))
 
@@ -146,31 +152,37 @@ def similar_sets(sets: DataFrame, t: float, hot: int = 256) -> DataFrame:
         return s.map(lambda w: index.value.prefix(list(w)))
 
     bit = lambda half: F.aggregate("words", F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(F.when(F.pmod(F.xxhash64(w), F.lit(2)) == half, F.expr("1L")).otherwise(F.expr("0L")) * F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(w, F.lit(1)), F.lit(64)).cast("int"))))
-    rows = sets.select("set_id", F.size("words").alias("n"), bit(0).alias("s0"), bit(1).alias("s1"), F.explode(emit("words")).alias("e"))
-    rows = written(rows.select("set_id", "n", "s0", "s1", "e.*"), "signatures")
+    # a set is a number from here on: rows of signatures are five numbers
+    named = written(sets.select("set_id", "words").withColumn("id", F.monotonically_increasing_id()), "named-sets")
+    rows = named.select("id", F.size("words").alias("n"), bit(0).alias("s0"), bit(1).alias("s1"), F.explode(emit("words")).alias("e"))
+    three = F.lit(3).cast("bigint")
+    rows = written(rows.select((F.col("e") - F.col("e").bitwiseAND(three)).alias("sig"), "id", (F.col("n") * 4 + F.col("e").bitwiseAND(three).cast("int")).alias("nf"), "s0", "s1"), "signatures")
     busy = written(rows.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") > hot).select("sig"), "busy-signatures")
     share = (1 - t) / (1 + t)
 
     def meet(x: DataFrame, on: list[str]) -> DataFrame:
-        left, right = x.where("own").alias("x"), x.alias("y")
+        left, right = x.where("nf & 2 = 2").alias("x"), x.alias("y")
         near = F.expr(f"""
-            (x.whole or y.whole) and x.set_id <> y.set_id
-            and (not y.own or x.whole and (not y.whole or x.set_id < y.set_id))
-            and least(x.n, y.n) >= {t} * greatest(x.n, y.n) - 1e-9
-            and bit_count(x.s0 ^ y.s0) + bit_count(x.s1 ^ y.s1) <= {share} * (x.n + y.n) + 1e-9""")
+            (x.nf | y.nf) & 1 = 1 and x.id <> y.id
+            and (y.nf & 2 = 0 or x.nf & 1 = 1 and (y.nf & 1 = 0 or x.id < y.id))
+            and least(x.nf >> 2, y.nf >> 2) >= {t} * greatest(x.nf >> 2, y.nf >> 2) - 1e-9
+            and bit_count(x.s0 ^ y.s0) + bit_count(x.s1 ^ y.s1) <= {share} * ((x.nf >> 2) + (y.nf >> 2)) + 1e-9""")
         keys = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
-        return left.join(right, keys + [near]).select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b"))
+        return left.join(right, keys + [near]).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
     if busy.isEmpty():
         pairs = meet(rows, ["sig"]).distinct()
     else:
         # only the rows of busy signatures ever carry prefix words
-        heads = sets.select("set_id", F.explode(prefix("words")).alias("word"))
-        warm = rows.join(busy, "sig", "left_semi").join(heads, "set_id")
+        heads = named.select("id", F.explode(prefix("words")).alias("word"))
+        warm = rows.join(busy, "sig", "left_semi").join(heads, "id")
         pairs = meet(rows.join(busy, "sig", "left_anti"), ["sig"]).unionByName(meet(warm, ["sig", "word"])).distinct()
-    one, two = (sets.select(F.col("set_id").alias(c), F.col("words").alias(f"{c}_words")) for c in ("a", "b"))
+    one, two = (named.select(F.col("id").alias(c), F.col("words").alias(f"{c}_words"), F.col("set_id").alias(f"{c}_set")) for c in ("a", "b"))
     both = F.size(F.array_intersect("a_words", "b_words"))
-    return pairs.join(one, "a").join(two, "b").where(both >= t * (F.size("a_words") + F.size("b_words") - both) - 1e-9).select("a", "b")
+    alike = pairs.join(one, "a").join(two, "b").where(both >= t * (F.size("a_words") + F.size("b_words") - both) - 1e-9)
+    out = written(alike.select(F.least("a_set", "b_set").alias("a"), F.greatest("a_set", "b_set").alias("b")), "similar-sets")
+    discard(rows, busy, named)
+    return out
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, t: float = 0.7) -> tuple[DataFrame, DataFrame]:

@@ -339,6 +339,15 @@ def test_wrapper_accepts_every_stream_it_was_made_from():
     assert mk.wrap(["#", "hashrun", "#", "hashrun", "#", "b", "#"])[1][0] == "++"
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text("ab1 .-\n)('<>&`~\\$=#*+_[]{}|!;:lt", max_size=25))
+def test_texts_without_signs_are_one_slot(text):
+    import re
+
+    if not re.search(mk.MAY, text):
+        assert [t for t, _ in mk.lex(text)] in ([], ["#"])
+
+
 def test_clean_keeps_structure():
     assert mk.clean("<h2>Scope</h2><p>a <b>b</b></p><ul><li>x</li><li>y</li></ul><pre>k &lt; 2</pre>") == "# Scope\n\na b\n\n- x\n- y\n\n```\nk < 2\n```"
 

@@ -4,7 +4,8 @@ A name is read into a profile: topic, target group, edition, author spellings, a
 words are idle and which are topics is learned from the names themselves, by ``learn``:
 
 * A word is idle (an aspect, a co-author, a short form of one) if names are seen with and without it, all
-  other words, group and edition being equal: in ``IDLE`` of its contexts or more. Idle words are left out.
+  other words, group and edition being equal: in ``IDLE`` of its contexts or more. Contexts that hold no rarer
+  word do not count: a lead author is not idle because nameless scales exist. Idle words are left out.
 * Of the others, words in ``TOPIC`` of all names or more are topics and must agree; the rest are the telling
   words, whose joined letters are the spelling that is compared.
 
@@ -271,12 +272,16 @@ def learn(parsed: DataFrame) -> Lexicon:
     seen = read.select(place(F.col("t")).alias("place")).distinct()
     total = read.count()
     each = read.withColumn("w", F.explode("t")).where("length(w) >= 2")
-    contexts = each.where("size(t) > 1").select("w", place(F.array_remove("t", F.col("w"))).alias("place")).distinct()
+    often = written(each.groupBy("w").agg(F.count("*").alias("df")), "words")
+    # a context speaks about a word only if it still holds a rarer one: what is left must tell whose name it is
+    told = each.join(often, "w").groupBy("t", "grp", "edition").agg(F.collect_list(F.struct("w", "df")).alias("d"))
+    told = told.withColumn("x", F.explode("d")).where(F.exists("d", lambda y: y["df"] < F.col("x.df")))
+    contexts = told.select("x.w", place(F.array_remove("t", F.col("x.w"))).alias("place")).distinct()
     judged = contexts.join(seen.withColumn("without", F.lit(1)), "place", "left").groupBy("w").agg(F.count("*").alias("n"), F.sum("without").alias("k"))
     known = {r.w: (r.n, r.k or 0) for r in judged.where(F.col("n") >= max(LEAST_CONTEXTS, total / RARE)).collect()}
     idle = {w for w, (n, k) in known.items() if k >= IDLE * n}
-    often = each.where("length(w) >= 4").groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= max(LEAST_TOPIC, TOPIC * total))
-    topics = {r.w for r in often.select("w").collect()} - idle
+    topics = {r.w for r in often.where(F.col("df") >= max(LEAST_TOPIC, TOPIC * total)).where("length(w) >= 4").select("w").collect()} - idle
+    discard(often)
     heads = lambda w, words: min((v for v in words if len(v) > len(w) + 1 and v.startswith(w)), default=None)
     cut = {w for w in {*topics, *known} - idle if len(w) >= 4 and heads(w, idle)}
     topics -= cut

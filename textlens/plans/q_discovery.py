@@ -8,7 +8,7 @@ from textlens.functions import text as tx
 from textlens.operators import curation as cu, discovery as dc, instruments as ins, matching as mt, mining, stripping as sp
 from textlens.operators import grouping as gr
 from textlens.plans.corpus import everything, items, pattern_lists, texts, with_everything, with_items, with_texts
-from textlens.plans.q_groups import _NAMES
+from textlens.plans.q_instruments import _ABBREVIATIONS
 from textlens.plans.q_matching import ORACLES as MATCHING
 from textlens.session import table
 
@@ -97,7 +97,7 @@ def _(spark, d):
     return dc.abbreviation_patterns(everything(spark, d), _acronyms(spark, d))
 
 
-@query("abbreviation_export")
+@query("abbreviation_export", with_texts(_ABBREVIATIONS + " SELECT abbreviation, expansion, CASE WHEN category IN ('instrument', 'study') AND confidence >= 0.8 THEN 'strip' WHEN category IN ('instrument', 'study', 'unknown') THEN 'review' ELSE 'skip' END AS target FROM ab"))
 def _(spark, d):
     entries = ins.classify_abbreviations(ins.parenthetical(everything(spark, d))).withColumn("decision", F.lit(None).cast("string"))
     return dc.export_abbreviations(entries)

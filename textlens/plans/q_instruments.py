@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textlens.operators import aggregates as ag, encoding as en, instruments as ins, patterns as pt, verbatim as vb
 from textlens.operators import grouping as gr
-from textlens.plans.corpus import everything, texts, with_everything, with_texts
+from textlens.plans.corpus import SQL_EVERYTHING, everything, texts, with_everything, with_texts
 from textlens.session import table
 
 QUERIES, ORACLES = {}, {}
@@ -79,7 +79,23 @@ def _(spark, d):
     return ins.family_summary(f, ins.families(f, _RULES, "^the "))
 
 
-@query("abbrev_parenthetical")
+_FILL = "|".join(ins.FILLERS)
+# the tail of t whose initials spell a: the greedy prefix of the regex makes the first letter's place the right-most one
+_ALIGN = (
+    r"w0 AS (SELECT *, list_filter(string_split_regex(trim(t), '\s+'), lambda w: regexp_matches(w, '[^\s,;:]')) AS ws, regexp_extract_all(upper(a), '[A-Z]') AS ls FROM x), "
+    r"w1 AS (SELECT *, flatten(list_transform(range(1, len(ws) + 1), lambda i: list_transform(list_filter(string_split_regex(ws[i], '[-/]'), lambda p: regexp_matches(p, '^[\s,;:]*[A-Za-z]')), lambda p: {'i': i, 'l': upper(regexp_extract(p, '[A-Za-z]'))}))) AS ii FROM w0), "
+    r"w2 AS (SELECT *, array_to_string(list_transform(ii, lambda y: y.l), '') AS s, '^(.*)' || array_to_string(ls, '.*') AS rx FROM w1), "
+    r"w3 AS (SELECT *, CASE WHEN len(ls) > 0 AND regexp_matches(s, rx) THEN ii[length(regexp_extract(s, rx, 1)) + 1].i END AS b FROM w2), "
+    rf"w4 AS (SELECT *, regexp_replace(regexp_replace(array_to_string(ws[b:], ' '), '(?i)^(?:(?:{_FILL})\s+)+(\S)', '\1'), '^[\s,;:]+|[\s,;:]+$', '', 'g') AS c FROM w3), "
+    r"al AS (SELECT * EXCLUDE (ws, ls, ii, s, rx, b, c), regexp_replace(CASE WHEN b IS NOT NULL AND c <> '' THEN c ELSE trim(t) END, '(?i)^(?:the|a|an)\s+', '') AS expansion FROM w4)"
+)
+_PAREN = ins._PAREN.replace("'", "''")
+_IN_PAREN = SQL_EVERYTHING + f", m AS (SELECT tinyId, unnest(regexp_extract_all(text, '{_PAREN}')) AS m FROM every), x AS (SELECT tinyId, regexp_extract(m, '{_PAREN}', 1) AS t, regexp_extract(m, '{_PAREN}', 2) AS a FROM m), {_ALIGN}"
+_CATEGORY = r"CASE WHEN lower(expansion) = '' THEN 'unknown' WHEN regexp_matches(lower(expansion), '\b(questionnaire|scale|inventory|index|survey|checklist|battery|interview|test|form|schedule)\b') THEN 'instrument' WHEN regexp_matches(lower(expansion), '\b(study|trial|cohort|registry)\b') THEN 'study' WHEN regexp_matches(lower(expansion), '\b(institute|consortium|network|university|society)\b') THEN 'organization' ELSE 'medical_term' END"
+_ABBREVIATIONS = _IN_PAREN + f", n AS (SELECT a, expansion, count(*) AS n FROM al GROUP BY 1, 2), b AS (SELECT a, expansion FROM n QUALIFY row_number() OVER (PARTITION BY a ORDER BY n DESC, expansion) = 1), k AS (SELECT a, count(DISTINCT tinyId) AS n_ids FROM al GROUP BY 1), ab AS (SELECT a AS abbreviation, expansion, n_ids, CAST(0.95 AS DOUBLE) AS confidence, {_CATEGORY} AS category FROM b JOIN k USING (a))"
+
+
+@query("abbrev_parenthetical", with_texts(_ABBREVIATIONS + " SELECT * FROM ab"))
 def _(spark, d):
     return ins.classify_abbreviations(ins.parenthetical(everything(spark, d)))
 

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from textlens.functions import paths, text as tx
 from textlens.operators import aggregates as ag, curation as cu, discovery as dc, encoding as en, fields, filters, grouping as gr, instruments as ins, ledger as lg, matching as mt, mining, patterns as pt, stripping as st, verbatim as vb
-from textlens.plans.corpus import items, pattern_lists, texts, with_items, with_texts
+from textlens.plans.corpus import SQL_EVERYTHING, items, pattern_lists, texts, with_items, with_texts
 from textlens.plans.q_curation import ORACLES as CURATION
+from textlens.plans.q_discovery import _LEMMA
+from textlens.plans.q_groups import _LABELS, _NAMES, _TC
+from textlens.plans.q_instruments import _ALIGN, _PAREN
 from textlens.plans.q_matching import ORACLES as MATCHING
 from textlens.session import table
 
@@ -227,7 +230,10 @@ def _(spark, d):
     return ins.three_passes(_everything(spark, d), m)
 
 
-@query("abbreviations_in_context")
+_CONTEXT = SQL_EVERYTHING + f", m AS (SELECT tinyId, field_path, unnest(regexp_extract_all(text, '{_PAREN}')) AS m, generate_subscripts(regexp_extract_all(text, '{_PAREN}'), 1) AS place FROM every), p AS (SELECT tinyId, field_path, place, regexp_extract(m, '{_PAREN}', 1) AS t, regexp_extract(m, '{_PAREN}', 2) AS a FROM m), sn AS (SELECT DISTINCT tinyId, unnest(regexp_extract_all(text, '\\(([A-Z][A-Z0-9-]+)\\)', 1)) AS a FROM every), x AS (SELECT p.* FROM p SEMI JOIN sn ON sn.tinyId = p.tinyId AND sn.a = p.a QUALIFY row_number() OVER (PARTITION BY p.a ORDER BY p.tinyId, field_path, place, t) = 1), {_ALIGN}"
+
+
+@query("abbreviations_in_context", with_texts(_CONTEXT + " SELECT a AS abbreviation, expansion, 'context' AS source FROM al"))
 def _(spark, d):
     t = _everything(spark, d)
     seen = t.select("tinyId", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\(([A-Z][A-Z0-9-]+)\)"), F.lit(1)))).alias("abbreviation"))
@@ -253,7 +259,11 @@ def _(spark, d):
     return ins.token_spans(t, s.where(r"not l rlike '[\\p{L}\\p{N}]$' and not r rlike '^[\\p{L}\\p{N}]'"))
 
 
-@query("semantic_groups")
+_FRAMED = _TC.replace("lower(text)", "lower(name)")
+_NORMAL = r"regexp_replace(regexp_replace(lower(name), '\b(?:in|over|during|within) the (?:past|last|previous)\b', 'in the past', 'g'), '\bin the past (hour|day|week|month|year)\b', 'in the past 1 \1', 'g')"
+
+
+@query("semantic_groups", f"WITH {_NAMES}, {_LABELS}, fr AS (SELECT name, {_FRAMED} AS frame, {_NORMAL} AS normal FROM r), a AS (SELECT fr.name, CASE WHEN frame = 'none' THEN group_label ELSE 'time: ' || normal END AS group_label, frame, false AS generated FROM fr JOIN gl USING (name)), i AS (SELECT DISTINCT regexp_replace(normal, '\\bin the past 1 ', 'in the past ') AS name, 'time: ' || normal AS group_label, frame, true AS generated FROM fr WHERE regexp_matches(normal, '\\bin the past 1 (?:hour|day|week|month|year)\\b')) SELECT * FROM a UNION ALL SELECT * FROM i WHERE name NOT IN (SELECT lower(name) FROM r)")
 def _(spark, d):
     return gr.semantic_groups(table(spark, d, "phrases").select(F.col("text").alias("name")))
 
@@ -287,7 +297,7 @@ def _(spark, d):
     return t.select("tinyId", "field_path", st.line_diff(F.col("text"), F.col("stripped")).alias("diff")).where("diff <> ''")
 
 
-@query("lemma_codes")
+@query("lemma_codes", with_texts(r", tk AS (SELECT tinyId, field_path, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS surface, generate_subscripts(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), 1) AS pos FROM texts), l AS (SELECT tinyId, field_path, pos, " + _LEMMA + " AS token FROM tk), c AS (SELECT token, count(*) AS n FROM l GROUP BY 1), rk AS (SELECT token, CASE WHEN n >= 2 AND row_number() OVER (ORDER BY n DESC, token) <= 10500 THEN row_number() OVER (ORDER BY n DESC, token) ELSE 0 END AS rank FROM c) SELECT tinyId, array_to_string(list(rank ORDER BY field_path, pos), ' ') AS codes FROM l JOIN rk USING (token) GROUP BY 1"))
 def _(spark, d):
     t = en.lemmatised(texts(spark, d), dc.lemma)
     return en.encode(t, ag.vocabulary(t)).select("tinyId", F.array_join(F.transform("codes", lambda c: c.cast("string")), " ").alias("codes"))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from textlens.operators import nested
 from textlens.plans.corpus import items, with_items
-from textlens.session import shared_dir, table
+from textlens.session import scratch, table
 from textlens.sources import files
 
 QUERIES, ORACLES = {}, {}
@@ -26,7 +24,7 @@ def query(name: str, sql: str | None = None):
 
 def _saved(df, ending: str = "tsv") -> str:
     """df in a file of the shared folder."""
-    path = f"{shared_dir(df.sparkSession)}/source-{uuid.uuid4().hex}.{ending}"
+    path = scratch(df.sparkSession, "source") + f"/file.{ending}"
     if ending == "tsv":
         files.write_flat(df, path)
     elif ending == "json":
@@ -109,7 +107,7 @@ def _(spark, d):
     m = table(spark, d, "instrument_match").where("acronym is not null and trim(acronym) <> '' and not contains(acronym, '\"') and acronym = trim(acronym)")
     n = m.groupBy(F.col("acronym").alias("abbreviation")).agg(F.count("*").alias("n_tinyIds"))
     full = n.select("abbreviation", F.lit("x").alias("expansion"), F.lit("instrument").alias("category"), F.when(F.col("n_tinyIds") >= 3, 0.9).otherwise(0.5).alias("confidence"), F.lit("test").alias("source"), "n_tinyIds", F.lit("").alias("decision"), F.lit("").alias("notes"))
-    path = f"{shared_dir(spark)}/source-{uuid.uuid4().hex}.tsv"
+    path = scratch(spark, "source") + "/file.tsv"
     files.write_dictionary(full, path)
     return files.read_dictionary(spark, path).select("abbreviation", F.col("n_tinyIds").cast("bigint").alias("n_tinyIds"), "decision")
 
@@ -119,7 +117,7 @@ def _(spark, d):
     c = table(spark, d, "curation_decision").where("pattern_id is not null and decided_at is not null and trim(decision) <> ''")
     top = c.groupBy("pattern_id").agg(F.max(F.struct("decided_at", F.lower(F.trim("decision")).alias("decision"))).alias("m"))
     rows = top.select(F.lit("phase").alias("phase"), F.col("pattern_id").cast("string").alias("pattern"), F.col("m.decision").alias("decision"), F.col("m.decided_at").cast("string").alias("decided_at"))
-    path = f"{shared_dir(spark)}/source-{uuid.uuid4().hex}.tsv"
+    path = scratch(spark, "source") + "/file.tsv"
     files.write_ledger(rows, path, {"run": 1})
     return files.read_ledger(spark, path).select(F.col("pattern").cast("bigint").alias("pattern_id"), "decision")
 

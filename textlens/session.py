@@ -79,6 +79,13 @@ def _delete(spark: SparkSession, path: str) -> None:
     _scratch.discard(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh place in the shared folder that ``sweep`` deletes as well, for a query's own files."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.add(path)
+    return path
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete tables of ``written()`` that nothing reads any more, as a loop's last state once the next is written."""
     for df in tables:
@@ -87,7 +94,7 @@ def discard(*tables: DataFrame | None) -> None:
 
 
 def sweep() -> None:
-    """Delete every table of ``written()`` that still exists: once the results of all queries so far have been read."""
+    """Delete every table of ``written()`` and place of ``scratch()`` that still exists: once the results of all queries so far have been read."""
     spark = SparkSession.getActiveSession()
     for path in list(_scratch) if spark is not None else ():
         _delete(spark, path)

@@ -23,7 +23,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from textlens.session import discard, shared_dir, table, written
+from textlens.session import discard, scratch, table, written
 
 COUNTS = "term string, n_occurrences bigint, n_records bigint"
 
@@ -159,7 +159,7 @@ def occurrence_counts(spark: SparkSession, sf_dir: str, late_days: int = 7) -> t
     occ = table(spark, sf_dir, "occurrences")
     late = F.coalesce(F.col("loaded_at") > F.col("mined_at") + F.expr(f"INTERVAL {late_days} DAYS"), F.lit(False))
     on_time, after = (term_rows(occ.where(w), "tinyId", "verbatim_text", PLACE) for w in (~late, late))
-    store = TermStore(spark, f"{shared_dir(spark)}/term-counts-{uuid.uuid4().hex}")
+    store = TermStore(spark, scratch(spark, "term-counts"))
     store.apply(added(None, on_time))
     store.apply(added(on_time, after))
     return store.read(), occ.select("tinyId").where("tinyId is not null").distinct().count()

@@ -561,3 +561,36 @@ def test_pairs_of_a_block_that_was_crowded_once_are_compared(spark, monkeypatch)
     df = spark.createDataFrame(rows, "id bigint, pid string, topic string, grp string, edition int, spellings array<string>, acronyms array<string>")
     e = {r.id: r.entity for r in nv.resolve(df).collect()}
     assert e[0] == e[1] and e[2] == e[3] and len(set(e.values())) == 3
+
+
+def _profiles(spark, rows):
+    return spark.createDataFrame(rows, "id bigint, pid string, topic string, grp string, edition int, spellings array<string>, acronyms array<string>")
+
+
+@pytest.mark.parametrize("crowded", [2, 64])
+def test_entities_are_those_of_matching_everything_until_nothing_merges(spark, monkeypatch, crowded):
+    monkeypatch.setattr(nv, "CROWDED", crowded)
+    rnd = random.Random(5)
+    rows = []
+    for i in range(140):
+        name = list(rnd.choice(("plafuplezu", "zuvastetro", "plokudrezu", "bedo")))
+        for _ in range(rnd.randrange(5)):
+            name[rnd.randrange(len(name))] = rnd.choice("abdeklu")
+        rows.append((i, f"p{i:03}", rnd.choice(("sleep", "mood", "")), "", rnd.choice((0, 2)), ["".join(name)], rnd.choice(([], [], ["pss"], ["pss", "zs"], ["zms"]))))
+    # far apart in a block without any near spellings, while others merge
+    rows += [(200, "q0", "pain", "", 0, ["stebaroluka"], ["sps"]), (201, "q1", "pain", "", 0, ["stedanomuka"], ["sps"])]
+    groups = [(r[2:5], {r[5][0]}, set(r[6]), {r[0]}) for r in rows]
+    while pair := next(((x, y) for x, y in itertools.combinations(groups, 2) if x[0] == y[0] and nv.same(x[1], y[1], x[2], y[2], x[0][0])), None):
+        x, y = pair
+        groups = [g for g in groups if g is not x and g is not y] + [(x[0], x[1] | y[1], x[2] | y[2], x[3] | y[3])]
+    e = {r.id: r.entity for r in nv.resolve(_profiles(spark, rows)).collect()}
+    got = {frozenset(i for i in e if e[i] == entity) for entity in e.values()}
+    assert got == {frozenset(g[3]) for g in groups} and e[200] == e[201]
+
+
+def test_resolution_writes_profiles_and_links_but_no_keys(spark, monkeypatch):
+    rows = [(2 * i + j, f"p{i:02}{j}", "sleep", "", 0, [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}vastetro{'bi'[j]}{'xyz'[i % 3] * 3}"], ["pss"]) for i in range(40) for j in range(2)]
+    sizes, kept = [], nv.written
+    monkeypatch.setattr(nv, "written", lambda df, name, by=None: (out := kept(df, name, by), sizes.append(out.count()))[0])
+    nv.resolve(_profiles(spark, rows)).collect()
+    assert sum(sizes) < 30 * len(rows)  # a spelling alone has some 70 keys

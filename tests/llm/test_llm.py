@@ -361,6 +361,27 @@ def test_markup_on_awkward_tables(spark):
     assert mk.marked_texts(df.limit(0)).count() == 0
 
 
+def test_long_streams_teach_their_host_too(spark):
+    rnd = random.Random(3)
+    noise = "".join(f"<{t}>x</{t}>" for t in rnd.choices("b i u s sub sup tt em var cite kbd".split(), k=500))
+    lines, first = f"Rate {noise}\n# None\n# Some\n# Much", f"- Yes\n- No\n\n{noise}"
+    assert all(len(mk.wrap([t for t, _ in mk.lex(x)])) > mk.LONG_STREAM for x in (lines, first))
+    rows = [("s", "1", 0, "h", lines), ("s", "2", 0, "h", "See below.\n# Only one"), ("s", "3", 0, "g", first), ("s", "4", 0, "g", "- only"), ("s", "5", 0, "f", "See below.\n# Only one"), ("s", "6", 0, "f", "- only")]
+    df = spark.createDataFrame(rows, "src string, rec_key string, idx int, host string, text string")
+    assert {r.rec_key: tuple(r.elements) for r in mk.marked_texts(df).collect()} == {"1": ("list",), "2": ("list",), "3": ("list",), "4": ("list",), "5": ("heading",)}
+
+
+def test_what_a_stream_teaches_stands_for_all_of_it():
+    rnd = random.Random(11)
+    for _ in range(300):
+        streams = [[rnd.choice(["#", "b", "h", "/h", "p", "bullet", "bullet", "hashrun", "hashrun", "hash", "br"]) for _ in range(rnd.randint(1, 9))] for _ in range(4)]
+        whole, short = [], []
+        for i, s in enumerate(streams):
+            w = mk.wrap(s)
+            whole, short = mk.align(whole, w), mk.align(short, mk.taught(w) if i % 2 else w)
+        assert [mk.read(mk.compiled(whole), s) for s in streams] == [mk.read(mk.compiled(short), s) for s in streams]
+
+
 # ---- 7
 
 

@@ -16,8 +16,9 @@ token's meaning (``classes``). A sign bound in a Run is a list item; ``#`` bound
 stands apart from other lines, else it is what the host uses it for: an item if its wrapper has a Run of the
 sign, a heading if not; a bullet that alone begins a text is an item only if the host's wrapper has a Run
 of bullets that begins a text. Elements and clean text come from these meanings. A stream that no wrapper has
-seen is read through the wrapper aligned with it; streams of more than ``LONG_STREAM`` nodes take no part in the
-alignment (which is quadratic) and are read through their own wrapper with the host's uses.
+seen is read through the wrapper aligned with it. Streams of more than ``LONG_STREAM`` nodes are not aligned node by
+node (which is quadratic): they are read through their own wrapper with the host's uses, and give the host what they
+teach about signs (``taught``). No meaning hangs on more: a class is settled by the tag, the stream's own Runs and the uses.
 
 Wrappers fold in a tree over distinct streams only, so neither a hot host nor many equal texts meet in
 one task.
@@ -473,6 +474,12 @@ def read(automaton: Automaton, tags) -> list[str]:
     return out
 
 
+def taught(wrapper: list) -> list:
+    """The uses a wrapper teaches, as a short wrapper that can stand for it in the host's: its Runs of signs, and whether one begins a text."""
+    uses = compiled(wrapper).uses
+    return [["^"]] * ("first" in uses) + [["?", [["++", [["t", sign]]]]] for sign in SIGNS if sign in uses]
+
+
 def wrappers(streams: DataFrame, together: int = 128) -> DataFrame:
     """(host, wrapper) from rows (host, tags): distinct streams fold in a tree, about ``together`` at a time, like ones first."""
 
@@ -485,7 +492,7 @@ def wrappers(streams: DataFrame, together: int = 128) -> DataFrame:
 
     @F.pandas_udf("string")
     def wrapped(tags: pd.Series) -> pd.Series:
-        return tags.map(lambda t: json.dumps(w if len(w := wrap(t)) <= LONG_STREAM else []))
+        return tags.map(lambda t: json.dumps(w if len(w := wrap(t)) <= LONG_STREAM else taught(w)))
 
     each = written(streams.select("host", wrapped("tags").alias("w")).distinct(), "wrappers")
     while True:

@@ -348,6 +348,44 @@ def test_strip_lists_equal_the_rules_one_after_the_other(spark):
     assert len(got) == 60 and {r.field_path: (r.a, r.b) for r in got} == want
 
 
+def test_lists_in_parts_equal_the_rules_one_after_the_other(spark, monkeypatch):
+    rnd = random.Random(8)
+    word = lambda n: "".join(rnd.choice("ab ") for _ in range(rnd.randint(1, n)))
+    rules = {s: [(rnd.choice([i, i, None]), word(5), rnd.choice(["", "b", "ab", None]), rnd.choice([[], ["r1"], ["r1", "r2"]])) for i in range(16)] for s in "xyz"}
+    rows = [(f"r{i % 3}", f"p{i}", word(40)) for i in range(60)] + [("r1", "none", None), (None, "p", "ab ab")]
+    lists = {s: spark.createDataFrame(v, "file_ord int, phrase string, replace_with string, ids array<string>") for s, v in rules.items()} | {"empty": spark.createDataFrame([], "file_ord int, phrase string, replace_with string, ids array<string>")}
+    texts = spark.createDataFrame(rows, "tinyId string, field_path string, text string")
+    plan = {"a": ("x",), "b": ("x", "y"), "c": ("z", "x"), "d": ("empty", "x", "y", "z"), "e": ()}
+    whole = sorted(map(str, sp.strip_lists(texts, lists, plan).collect()))
+    monkeypatch.setattr(sp, "PART", 60)  # parts of about five rules, two of them at once
+    monkeypatch.setattr(sp, "HELD", 120)
+    assert sorted(map(str, sp.strip_lists(texts, lists, plan).collect())) == whole
+
+
+def _longer_lists(spark, small, tmp_path, idle):
+    """The tables of the stripping queries with a last rule that changes most texts, and as many rules as asked that occur nowhere."""
+    for name in ("cde_item", "phrases", "inst_full_patterns"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{small}/{name}.parquet")
+    s = spark.read.parquet(f"{small}/substitute_patterns.parquet")
+    blank = {c: F.lit(None).cast(t) for c, t in s.dtypes} | {"replace_with": F.lit("#")}
+    last = spark.range(1).select((F.col("id") + 9_000_000).alias("row_id"), F.lit("e").alias("pattern"))
+    more = spark.range(idle).select((F.col("id") + 1_000_000).alias("row_id"), F.concat(F.lit("~"), "id", F.repeat(F.lit("~"), (F.col("id") % 90).cast("int"))).alias("pattern"))
+    added = last.unionByName(more).withColumns({c: x for c, x in blank.items() if c not in ("row_id", "pattern")}).select(s.columns)
+    s.unionByName(added).write.parquet(str(tmp_path / "substitute_patterns.parquet"))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["clean_text"])
+def test_lists_over_50_000_rules_are_applied_whole(spark, small, tmp_path, name):
+    from textlens.plans import q_groups, q_matching
+
+    query = (q_matching.QUERIES | q_groups.QUERIES)[name]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    want, got = (sorted(map(str, query(spark, _longer_lists(spark, small, tmp_path / d, idle)).collect())) for d, idle in (("a", 1), ("b", 50_100)))
+    assert got == want and any("#" in r for r in got) == (name not in ("production_strip",))
+
+
 def test_production_strip_reads_the_pattern_tables(spark, small):
     from textlens.plans import corpus
 

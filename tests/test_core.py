@@ -375,7 +375,7 @@ def _longer_lists(spark, small, tmp_path, idle):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["clean_text"])
+@pytest.mark.parametrize("name", ["clean_text", "strip_literal_ordered"])
 def test_lists_over_50_000_rules_are_applied_whole(spark, small, tmp_path, name):
     from textlens.plans import q_groups, q_matching
 
@@ -386,6 +386,21 @@ def test_lists_over_50_000_rules_are_applied_whole(spark, small, tmp_path, name)
     assert got == want and any("#" in r for r in got) == (name not in ("production_strip",))
 
 
+def test_long_universal_lists_equal_the_fold(spark, monkeypatch):
+    rnd = random.Random(4)
+    word = lambda n: "".join(rnd.choice("ab ") for _ in range(rnd.randint(0, n)))
+    uni = spark.createDataFrame([(rnd.choice([None, *range(9)]), word(4) or "a", rnd.choice(["", "b", "bb", None])) for _ in range(60)], "ord int, phrase string, replace_with string")
+    own = spark.createDataFrame([(f"r{rnd.randint(0, 2)}", rnd.choice([None, *range(9)]), word(4) or "b", rnd.choice(["", "a"])) for _ in range(40)], "tinyId string, ord int, phrase string, replace_with string")
+    own = own.unionByName(own.limit(5))  # the same rule twice counts twice
+    texts = spark.createDataFrame([(f"r{i % 4}", f"p{i}", word(25)) for i in range(50)] + [("r1", "none", None)], "tinyId string, field_path string, text string")
+    cases = [{}, {"scoped": own}, {"scoped": own, "one_order": True}]
+    done = lambda: [sorted(map(str, sp.strip(texts, uni, **c).collect())) for c in cases]
+    want = done()
+    monkeypatch.setattr(sp, "SHORT", 5)
+    monkeypatch.setattr(sp, "PART", 100)
+    assert done() == want
+
+
 def test_production_strip_reads_the_pattern_tables(spark, small):
     from textlens.plans import corpus
 

@@ -375,7 +375,7 @@ def _longer_lists(spark, small, tmp_path, idle):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["clean_text", "strip_literal_ordered", "remnant_report"])
+@pytest.mark.parametrize("name", ["clean_text", "strip_literal_ordered", "remnant_report", "production_strip"])
 def test_lists_over_50_000_rules_are_applied_whole(spark, small, tmp_path, name):
     from textlens.plans import q_groups, q_matching
 

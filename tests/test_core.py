@@ -414,6 +414,18 @@ def test_production_strip_reads_the_pattern_tables(spark, small):
     assert {r.MFSFPT for r in tables["branch"].where("field_path = 'b'").collect()} == {" pain"}
 
 
+def test_production_strip_cleans_every_variant(spark, small):
+    from textlens.plans import corpus
+    from textlens.plans.workflow import production_strip
+
+    lists = {stage: corpus.with_rules(df, [(w, "")]) for (stage, df), w in zip(corpus.pattern_lists(spark, small).items(), ["zz", "full", "sub", "phrase"])}
+    rows = [("a", "definitions[0].definition", "full sub phrase , the"), ("a", "definitions[1].definition", "nothing  here"), ("b", "designations[0].designation", "full")]
+    tables = production_strip(lists, gr.TEMPORAL_SEEDS).run(spark, {"texts": spark.createDataFrame(rows, "tinyId string, field_path string, text string")})["tables"]
+    got = sorted((r.tinyId, r.field_path, r.variant, r.text) for r in tables["clean"].collect())
+    one = lambda v: sp.clean(tables["branch"].select("tinyId", "field_path", F.col(v).alias("text")), "text", passes=5).collect()
+    assert got == sorted((r.tinyId, r.field_path, v, r.text) for v in sp.STAGES for r in one(v)) and len(got) == 21 and len({g[3] for g in got}) > 5
+
+
 def test_mine_phrases_finds_phrases_of_25_tokens(spark, monkeypatch):
     from textlens.plans import q_mining
 
